@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestra.llm import chat_format, decontaminate, exact_dedup, line_dedup, near_dedup
+from attestra.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, pii, sentencepiece_np, toxicity
 from attestra.llm.common import table
 
 
@@ -26,6 +26,27 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find_pii(table(spark, sf_dir, "documents")))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language_id.held_out("doc_id", 5, 0).alias("held_out"))
+    model = language_id.learn(docs.where(~F.col("held_out")))
+    return language_id.identify(docs, model, keep=("doc_id", "held_out"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = language_id.held_out("doc_id", 4, 2)
+    labels = table(spark, sf_dir, "labels").where(~held)
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "evidence")
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_np.digest(sentencepiece_np.encode_documents(table(spark, sf_dir, "documents")))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -43,6 +64,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_pii": op4_pii,
+    "op5_language_id": op5_language_id,
+    "op6_toxicity": op6_toxicity,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_decontaminate": op8_decontaminate,
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
