@@ -94,7 +94,7 @@ def match_shard(texts: list[str | None], test: BenchmarkBlock) -> list[tuple[int
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | ((local - start)[1:] != (local - start)[:-1]) | (local[1:] > local[:-1] + 1)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(doc)) - 1
+    last = np.append(first[1:], len(doc))[: len(first)] - 1
     out: list[list] = [[] for _ in texts]
     for a, b in zip(first, last, strict=True):
         out[doc[a]].append((test.items[item[a]], int(start[a]), int(local[a]), int(local[b] + size[b] - local[a])))
