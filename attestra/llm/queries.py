@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestra.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, pii, sentencepiece_np, toxicity
+from attestra.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, pii, sentencepiece_np, substring_dedup, toxicity
 from attestra.llm.common import table
 
 
@@ -22,6 +22,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(convs.unionByName(probe)))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_pii": op4_pii,
     "op5_language_id": op5_language_id,

@@ -8,7 +8,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from attestra.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, pii, sentencepiece_np, toxicity
+from attestra.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, pii, sentencepiece_np, substring_dedup, toxicity
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, n_words int"
@@ -277,3 +277,22 @@ def test_unigram_viterbi():
     words = ["▁" + "".join(random.Random(k).choice("ab") for _ in range(k % 9)) for k in range(60)]
     for w, ids in zip(words, m.encode_words(words), strict=True):
         assert "".join(pieces[k] for k in ids) == w and abs(sum(scores[k] for k in ids) - best(w)) < 1e-9
+
+
+@pytest.mark.parametrize("group", [20_000, 1])
+def test_substrings(spark, odd, empty, group):
+    extra = [prose(150, 31), prose(40, 32) + prose(150, 31)[100:700] + prose(50, 33), prose(60, 34) + prose(150, 31)[:401], prose(60, 35) + prose(150, 31)[-400:], "ab" * 600, "a" * 399, "b" * 400, "c" * 401, "é" * 300, "x" + "é" * 201]
+    df = odd.select("doc_id", "text").union(spark.createDataFrame([(5000 + k, t) for k, t in enumerate(extra)], "doc_id long, text string"))
+    docs = df.orderBy("doc_id").collect()
+    want = sorted((r.doc_id, *x) for r, x in zip(docs, substring_dedup.brute_force([r.text for r in docs]), strict=True))
+    out = substring_dedup.substring_dedup(df, group=group).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("h"))
+    assert sorted(rows(out)) == want
+    assert not rows(substring_dedup.substring_dedup(empty))
+
+
+def test_substrings_on_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    all_docs = docs.collect()
+    want = sorted((r.doc_id, *x) for r, x in zip(all_docs, substring_dedup.brute_force([r.text for r in all_docs]), strict=True))
+    out = substring_dedup.substring_dedup(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("h"))
+    assert sorted(rows(out)) == want and any(x[2] for x in want)
