@@ -7,6 +7,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,15 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Longer words than this are encoded one at a time.
 LONG = 48
 #: Words that a worker remembers between batches.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
+
+
+class _Numbered(dict):
+    """Numbers new keys as they come."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
 
 
 def _hashes(codes: np.ndarray) -> np.ndarray:
@@ -59,7 +68,7 @@ class Pieces:
         # a bit for each short hash: most substrings are no piece and stop here
         self.filter = np.zeros(1 << 21, bool)
         self.filter[self._short(self.keys)] = True
-        self.remembered: dict[str, np.ndarray] = {}
+        self._forget()
         # a character in no longer piece ends a word, and is one by itself
         inner = {c for k in usable if len(pieces[k]) > 1 for c in pieces[k]}
         stops = "".join(re.escape(c) for c in "\n\t" if c not in inner)
@@ -188,57 +197,68 @@ class Pieces:
             self._by_hash = dict(zip(self.keys.tolist(), self.scores[self.ids].tolist(), strict=True))
         return self._by_hash
 
-    def _spell(self, words: list[str], codes: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
-        """Ids of segmented words; characters without a piece become bytes."""
+    def _spell(self, words: list[str], codes: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of segmented words behind each other, and how many each has; characters without a piece become bytes."""
         row, s = np.nonzero(end)
         e = end[row, s]
         pre, power = _hashes(codes), _power(codes.shape[1])
-        size = e - s
-        ids = self.probe(pre[row, e] - pre[row, s] * power[size])
-        lost = ids < 0
-        if lost.any():
-            out: list[list[int]] = [[] for _ in words]
-            for r, a, b, k in zip(row.tolist(), s.tolist(), e.tolist(), ids.tolist(), strict=True):
-                if k >= 0:
-                    out[r].append(k)
-                elif len(self.bytes):
-                    out[r] += self.bytes[list(words[r][a:b].encode())].tolist()
-                else:
-                    out[r].append(self.unknown)
-            return [np.array(x, np.int32) for x in out]
-        cut = np.searchsorted(row, np.arange(1, len(words)))
-        return np.split(ids.astype(np.int32), cut)
-
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of distinct words; words of one length advance together."""
-        out: list[np.ndarray | None] = [self.remembered.get(w) for w in words]
+        ids = self.probe(pre[row, e] - pre[row, s] * power[e - s])
+        lost = np.flatnonzero(ids < 0)
+        if len(lost):
+            spelt = [self.bytes[list(words[row[k]][s[k] : e[k]].encode())] if len(self.bytes) else np.array([self.unknown]) for k in lost]
+            n = np.ones(len(ids), np.int64)
+            n[lost] = [len(x) for x in spelt]
+            out = np.repeat(ids, n)
+            out[out < 0] = np.concatenate(spelt)
+            ids, row = out, np.repeat(row, n)
+        return ids.astype(np.int32), np.bincount(row, minlength=len(words))
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words, added to what is remembered in the order of ``words``; words of one length advance together."""
         by: dict[int, list[int]] = {}
         for k, w in enumerate(words):
-            if out[k] is None:
-                by.setdefault(len(w), []).append(k)
-        for n, at in by.items():
-            step = max(1, 400_000 // (n * min(n, self.longest)))
-            if n > LONG:
-                step = 1
-            for lo in range(0, len(at), step):
-                some = at[lo : lo + step]
+            by.setdefault(len(w), []).append(k)
+        flat, at, size, used = [], np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), len(self.flat)
+        for n, places in by.items():
+            step = 1 if n > LONG else max(1, 400_000 // (n * min(n, self.longest)))
+            for lo in range(0, len(places), step):
+                some = places[lo : lo + step]
                 own = [words[k] for k in some]
                 codes = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(own), n).astype(np.uint64)
                 end = self._long(own[0])[None, :] if n > LONG else self._merge(codes) if self.bpe else self._viterbi(codes)
-                for k, ids in zip(some, self._spell(own, codes, end), strict=True):
-                    out[k] = ids
-        if len(self.remembered) < REMEMBERED:
-            self.remembered.update((w, x) for w, x in zip(words[: REMEMBERED // 8], out, strict=False) if len(w) <= LONG)
-        return out
+                ids, count = self._spell(own, codes, end)
+                size[some] = count
+                at[some] = used + np.cumsum(count) - count
+                used += len(ids)
+                flat.append(ids)
+        self.flat = np.concatenate((self.flat, *flat))
+        self.at, self.size = np.concatenate((self.at, at)), np.concatenate((self.size, size))
+
+    def _forget(self) -> None:
+        self.known = _Numbered()
+        self.flat, self.at, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        codes_of: dict[str, int] = {}
-        docs = [np.fromiter((codes_of.setdefault(w, len(codes_of)) for w in self.split.findall(SPACE + t.replace(" ", SPACE))), np.int64) if t else np.zeros(0, np.int64) for t in texts]
-        words = self.encode_words(list(codes_of))
-        size = np.array([len(x) for x in words], np.int64)
-        flat = np.concatenate(words) if words else np.zeros(0, np.int32)
-        at = np.concatenate(([0], np.cumsum(size)[:-1])) if len(size) else size
-        return [_gather(flat, at[d], size[d]) for d in docs]
+        """Ids of each text: its words are numbered, new ones encoded together, and all looked up at once."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        before = len(self.known)
+        number = self.known.__getitem__
+        docs = []
+        for t in texts:
+            words = self.split.findall(SPACE + t.replace(" ", SPACE)) if t else ()
+            docs.append(np.fromiter(map(number, words), np.int64, len(words)))
+        if len(self.known) > before:
+            self._learn(list(islice(self.known, before, None)))
+        return [_gather(self.flat, self.at[d], self.size[d]) for d in docs]
+
+    def encode_words(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of words as they are."""
+        self._forget()
+        self._learn(words)
+        out = [self.flat[a : a + n] for a, n in zip(self.at, self.size, strict=True)]
+        self._forget()
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; the blank before the first word goes."""
