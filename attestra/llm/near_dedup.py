@@ -7,19 +7,23 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestra.llm.common import components, drop_stage, stage
+from attestra.llm.common import components, stage
 
 #: Words in a shingle, and the similarity (in hundredths) from which documents are linked.
 SHINGLE, PERCENT = 5, 75
 #: Permutations: each gives a minimum and a maximum. BANDS bands of ROWS values over all of them.
 PERMUTATIONS, ROWS = 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS
-#: Two bits of each value are kept to estimate similarity before texts are fetched. At a similarity
-#: of 0.75 the distance is 32 with a deviation of 6.4 of 256 bits; 76 is nearly seven of them away.
-FAR_BITS = 76
+#: Four bits of each value are kept to estimate similarity before texts are fetched. Of the 512, a pair at a
+#: similarity of 0.75 differs in 64 with a deviation of 11.3; five deviations more are allowed.
+SKETCH_BITS, FAR_BITS = 4, 120
+#: Ids that a filter of texts may broadcast; beyond it the join is shuffled.
+BROADCAST_IDS = 1_000_000
+#: Random members of a bucket that the rest is compared with before all pairs across components are.
+PIVOTS = 3
 
 _M = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -98,7 +102,8 @@ def _bands(sig: np.ndarray) -> np.ndarray:
 
 def _bits(sig: np.ndarray) -> np.ndarray:
     x = _mix(sig)
-    return np.packbits(np.concatenate(((x & np.uint64(1)).astype(np.uint8), ((x >> np.uint64(1)) & np.uint64(1)).astype(np.uint8)))).view(np.int64)
+    planes = [((x >> np.uint64(k)) & np.uint64(1)).astype(np.uint8) for k in range(SKETCH_BITS)]
+    return np.packbits(np.concatenate(planes)).view(np.int64)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -130,10 +135,10 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """The pairs (src, dst) whose full sets are similar enough. Texts travel only for documents in a pair."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).dropDuplicates(["id"])
-    texts = texts.join(pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "id", "left_semi")
-    texts = stage(texts, "near-texts")
-    full = pairs.join(texts.toDF("src", "a"), "src").join(texts.toDF("dst", "b"), "dst")
+    ids = stage(pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "near-ids")
+    few = ids.count() <= BROADCAST_IDS
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids) if few else ids, "id", "left_semi").dropDuplicates(["id"])
+    full = pairs.join(texts.toDF("dst", "b"), "dst").join(texts.toDF("src", "a"), "src")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[object, np.ndarray] = {}
@@ -165,11 +170,13 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        bucket for each band of four. At 0.75 a link shares no bucket with a
        chance of 5e-6, at 0.8 of 4e-8.
     3. In a bucket each class is paired with its smallest one only; pairs
-       close by their 256 signature bits are confirmed on full sets, and
-       links give components. So a bucket of n makes n pairs, not n * n.
-    4. Only where a bucket still has more than one component, pairs across
-       components are compared, by bits inside the join, and confirmed. No
-       link is lost for the star of step 3, and no bucket is capped.
+       close by their signature bits are confirmed on full sets, and links
+       give components. So a bucket of n makes n pairs, not n * n.
+    4. Where a bucket has more than one component yet, its classes are paired
+       with PIVOTS random members of other components, and confirmed.
+    5. Only where it still has, pairs across components are compared by their
+       bits inside the join, each in the first band that it shares, and
+       confirmed. No bucket is capped and no link is lost to steps 3 and 4.
 
     Null or empty text and text without words have no shingles and are linked
     with nothing. Rows that repeat an id and text return repeated rows; where
@@ -182,28 +189,49 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("bits").alias("bits"), F.first("bands").alias("bands")),
         "near-classes",
     )
-    buckets = classes.select("id", F.col("n_shingles").alias("n"), "bits", F.posexplode("bands").alias("band", "hash"))
-    shared = buckets.groupBy("band", "hash").agg(F.min(F.struct("id", "n", "bits")).alias("star"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    members = stage(buckets.join(shared, ["band", "hash"]), "near-buckets")
-
-    def close(a: str, b: str):
-        return sum((F.bit_count(F.get(F.col(f"{a}bits"), F.lit(k)).bitwiseXOR(F.get(F.col(f"{b}bits"), F.lit(k)))) for k in range(1, 4)), F.bit_count(F.get(F.col(f"{a}bits"), F.lit(0)).bitwiseXOR(F.get(F.col(f"{b}bits"), F.lit(0))))) <= FAR_BITS
-
-    def sized(a: str, b: str):
-        return (100 * F.col(f"{a}n") >= percent * F.col(f"{b}n")) & (100 * F.col(f"{b}n") >= percent * F.col(f"{a}n"))
-
-    stars = members.where(F.col("id") != F.col("star.id")).where(sized("", "star.") & close("", "star.")).select(F.col("star.id").alias("src"), F.col("id").alias("dst")).distinct()
-    stars = stage(stars, "near-stars")
-    links = _confirmed(stars, docs, id_col, text_col, percent)
+    sketch = classes.select("id", F.col("n_shingles").alias("n"), "bits")
+    # a band's number is part of its hash
+    buckets = classes.select("id", F.explode("bands").alias("hash"))
+    shared = buckets.groupBy("hash").agg(F.min("id").alias("star"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    members = stage(buckets.join(shared, "hash"), "near-buckets")
+
+    def bits_apart(a: str, b: str) -> Column:
+        return sum((F.bit_count(F.get(F.col(f"{a}bits"), F.lit(k)).bitwiseXOR(F.get(F.col(f"{b}bits"), F.lit(k)))) for k in range(2 * PERMUTATIONS * SKETCH_BITS // 64)), F.lit(0))
+
+    def near(a: str, b: str) -> Column:
+        sized = (100 * F.col(f"{a}n") >= percent * F.col(f"{b}n")) & (100 * F.col(f"{b}n") >= percent * F.col(f"{a}n"))
+        return sized & (bits_apart(a, b) <= FAR_BITS)
+
+    def promising(pairs: DataFrame) -> DataFrame:
+        s, d = (sketch.select(F.col("id").alias(x), F.struct("n", "bits").alias(f"{x}_")) for x in ("src", "dst"))
+        return pairs.join(s, "src").join(d, "dst").where(near("src_.", "dst_.")).select("src", "dst")
+
+    def open_buckets(parts: DataFrame) -> DataFrame:
+        """Members of the buckets that hold more than one component: (hash, id, part)."""
+        own = members.join(parts.withColumnRenamed("node", "id"), "id", "left").select("hash", "id", F.coalesce("component", "id").alias("part"))
+        mixed = own.groupBy("hash").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("hash")
+        return stage(own.join(mixed, "hash"), "near-open")
+
+    tested = stage(promising(members.where("id <> star").select(F.col("star").alias("src"), F.col("id").alias("dst")).distinct()), "near-pairs")
+    links = _confirmed(tested, docs, id_col, text_col, percent)
     parts = components(links)
 
-    joined = members.join(parts.withColumnRenamed("node", "id"), "id", "left").select("band", "hash", "id", "n", "bits", F.coalesce("component", "id").alias("part"))
-    mixed = joined.groupBy("band", "hash").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("band", "hash")
-    open_ = stage(joined.join(mixed, ["band", "hash"]), "near-open")
-    a, b = open_.alias("a"), open_.alias("b")
-    same = (F.col("a.band") == F.col("b.band")) & (F.col("a.hash") == F.col("b.hash"))
-    across = a.join(b, same & (F.col("a.id") < F.col("b.id")) & (F.col("a.part") != F.col("b.part")) & sized("a.", "b.") & close("a.", "b."))
-    across = stage(across.select(F.col("a.id").alias("src"), F.col("b.id").alias("dst")).distinct().join(stars, ["src", "dst"], "left_anti"), "near-across")
+    open_ = open_buckets(parts)
+    pivot = open_.groupBy("hash").agg(*[F.min(F.struct(F.xxhash64("id", "hash", F.lit(k)).alias("h"), "id", "part")).alias(f"p{k}") for k in range(PIVOTS)])
+    pivot = pivot.select("hash", F.explode(F.array_distinct(F.array(*[F.struct(f"p{k}.id", f"p{k}.part") for k in range(PIVOTS)]))).alias("p"))
+    some = open_.join(pivot, "hash").where(F.col("part") != F.col("p.part")).select(F.least("id", "p.id").alias("src"), F.greatest("id", "p.id").alias("dst")).distinct()
+    some = stage(promising(some.join(tested, ["src", "dst"], "left_anti")), "near-pairs")
+    if some.limit(1).count():
+        links = stage(links.union(_confirmed(some, docs, id_col, text_col, percent)), "near-links")
+        tested = tested.union(some)
+        parts = components(links)
+        open_ = open_buckets(parts)
+
+    full = open_.join(classes.select("id", F.col("n_shingles").alias("n"), "bits", "bands"), "id")
+    a, b = full.alias("a"), full.alias("b")
+    first = F.array_position(F.zip_with("a.bands", "b.bands", lambda x, y: x == y), True) == F.array_position("a.bands", F.col("a.hash"))
+    across = a.join(b, (F.col("a.hash") == F.col("b.hash")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.part") != F.col("b.part")) & near("a.", "b.") & first)
+    across = stage(across.select(F.col("a.id").alias("src"), F.col("b.id").alias("dst")).join(tested, ["src", "dst"], "left_anti"), "near-pairs")
     if across.limit(1).count():
         more = _confirmed(across, docs, id_col, text_col, percent)
         if more.limit(1).count():
@@ -213,5 +241,4 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = classes.select("set_a", "set_b", "n_shingles", "id").join(parts.withColumnRenamed("node", "id"), "id", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("component"))
     out = sigs.select("doc_id", "n_shingles", "set_a", "set_b").join(ids, ["set_a", "set_b", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
-    drop_stage(docs.sparkSession, members)
     return out.select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
