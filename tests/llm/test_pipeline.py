@@ -3,7 +3,7 @@
 import corpus_pipeline
 from attestra.llm import decontaminate
 
-from .test_ops import brute_near, pairs
+from test_ops import brute_near, pairs
 
 SF = "/root/testdata/sf0.001"
 
