@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from attestra.plans import evidence_queries
+from attestra.plans import evidence_queries, linkage_queries
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-for _m in (evidence_queries,):
+for _m in (evidence_queries, linkage_queries):
     QUERIES |= _m.QUERIES
     ORACLES |= _m.ORACLES

@@ -101,3 +101,39 @@ pr1 AS (SELECT id, y, """ + ", ".join(
 ) + """ FROM pr0),
 pr AS (SELECT id, y, """ + ", ".join([*(f"r{k} / (r0 + r1 + r2) AS p{k}" for k in range(3)), *(f"r{k + 3} / (r3 + r4 + r5) AS q{k}" for k in range(3))]) + """ FROM pr1)
 """
+
+
+def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates for linkage, bound to ``part``: two-word names, dates and addresses from keys."""
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(
+        k.alias("candidate_record_id"), F.split("p_name", " ")[0].alias("first_name"), F.split("p_name", " ")[1].alias("last_name"),
+        F.date_format(F.date_add(F.lit("1950-01-01").cast("date"), (k % 900).cast("int")), "yyyy-MM-dd").alias("date_of_birth"),
+        F.concat((k % 700).cast("string"), F.lit(" North Main Street Apt "), (k % 3).cast("string")).alias("observed_street_address"),
+    )
+
+
+PEOPLE_SQL = """
+pe AS (SELECT p_partkey AS id, split_part(p_name, ' ', 1) AS f, split_part(p_name, ' ', 2) AS l,
+  strftime(DATE '1950-01-01' + CAST(p_partkey % 900 AS INTEGER), '%Y-%m-%d') AS d, (p_partkey % 700) || ' North Main Street Apt ' || (p_partkey % 3) AS a FROM part),
+dm AS (SELECT id, id AS source_record_id,
+  CASE id % 7 WHEN 1 THEN left(f, length(f) - 1) WHEN 2 THEN 'SYNGIV-' || f WHEN 3 THEN replace(f, 'e', 'é') WHEN 4 THEN l WHEN 5 THEN '' ELSE ' ' || f || ' ' END AS first_name,
+  CASE WHEN id % 7 = 4 THEN f WHEN id % 11 = 3 THEN left(l, 2) || substr(l, 4) ELSE l END AS last_name,
+  CASE WHEN id % 5 = 0 THEN '' WHEN id % 5 = 1 THEN 'SYNDOB-' || replace(d, '-', '/') WHEN id % 13 = 2 THEN '2024-02-31' ELSE d END AS date_of_birth,
+  CASE WHEN id % 6 = 0 THEN '' ELSE upper(replace(a, 'Street', 'St.')) END AS street_address, 'V' || (id % 300) AS vehicle_ref FROM pe)
+"""
+
+
+def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same people as another source has them: shortened, accented, prefixed, swapped, with gaps."""
+    p, k, f, n = people(spark, sf_dir), F.col("candidate_record_id"), F.col("first_name"), F.col("last_name")
+    d, a = F.col("date_of_birth"), F.col("observed_street_address")
+    first = F.when(k % 7 == 1, F.left(f, F.length(f) - 1)).when(k % 7 == 2, F.concat(F.lit("SYNGIV-"), f)).when(k % 7 == 3, F.replace(f, F.lit("e"), F.lit("é"))).when(k % 7 == 4, n).when(k % 7 == 5, "").otherwise(F.concat(F.lit(" "), f, F.lit(" ")))
+    last = F.when(k % 7 == 4, f).when(k % 11 == 3, F.concat(F.left(n, F.lit(2)), F.substring(n, 4, 100))).otherwise(n)
+    return p.select(
+        k.alias("source_record_id"), first.alias("first_name"), last.alias("last_name"),
+        F.when(k % 5 == 0, "").when(k % 5 == 1, F.concat(F.lit("SYNDOB-"), F.replace(d, F.lit("-"), F.lit("/")))).when(k % 13 == 2, "2024-02-31").otherwise(d).alias("date_of_birth"),
+        F.when(k % 6 == 0, "").otherwise(F.upper(F.replace(a, F.lit("Street"), F.lit("St.")))).alias("street_address"),
+        F.concat(F.lit("V"), (k % 300).cast("string")).alias("vehicle_ref"),
+        F.get(F.array(*[F.lit(s) for s in SOURCES]), (k % 5).cast("int")).alias("source_domain"),
+    )
