@@ -193,6 +193,21 @@ def decontaminate(docs: DataFrame, bench: DataFrame, window: int = 10) -> DataFr
     return back.withColumnsRenamed({f"__keep_{k}": k for k in clash}).select(*docs.columns)
 
 
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bp AS (SELECT item_id, w, least(len(w), 10) AS l, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS p FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, l, array_to_string(w[p:p + l - 1], ' ') AS k FROM bp),
+dp AS (SELECT doc_id, w, l, unnest(generate_series(1, len(w) - l + 1)) AS p FROM d, (SELECT DISTINCT l FROM bw) WHERE len(w) >= l),
+dw AS (SELECT doc_id, l, p, array_to_string(w[p:p + l - 1], ' ') AS k FROM dp),
+h AS (SELECT doc_id, item_id, p, l FROM dw JOIN bw USING (l, k)),
+n AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(generate_series(p, p + l - 1)) AS x FROM h) GROUP BY 1),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN i ON d.doc_id = i.doc_id
+"""
+
+
 def brute_force(docs: list[tuple[int, str | None]], bench: list[tuple[object, str | None]], window: int = 10) -> dict[int, tuple]:
     """The plain definition, for tests."""
     out = {}

@@ -19,7 +19,8 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(chat_format.PROBE).alias("text"),
     )
-    return chat_format.digests(chat_format.format_conversations(convs.unionByName(probe)))
+    out = chat_format.digests(chat_format.format_conversations(convs.unionByName(probe)))
+    return out.drop("n_tokens", "n_loss_tokens")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +81,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES = {
+    "op1_chat_format": chat_format.ORACLE,
+    "op8_decontaminate": decontaminate.ORACLE,
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
 }
