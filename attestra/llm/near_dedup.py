@@ -133,11 +133,29 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, f"doc_id {kind}, n_shingles long, set_a long, set_b long, bits array<long>, bands array<long>")
 
 
+def _texts(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text) of some documents; only their texts travel where the ids are few enough to broadcast."""
+    few = ids.count() <= BROADCAST_IDS
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids) if few else ids, "id", "left_semi").dropDuplicates(["id"])
+
+
+def _marks(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, marks): 32 bits of every shingle of a document, distinct."""
+    ids = stage(ids, "near-ids")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = b[["id"]].reset_index(drop=True)
+            out["marks"] = [np.unique((shingles(t) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in b["text"]]
+            yield out
+
+    return stage(_texts(ids, docs, id_col, text_col).mapInPandas(run, f"id {dict(ids.dtypes)['id']}, marks array<int>"), "near-marks")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """The pairs (src, dst) whose full sets are similar enough. Texts travel only for documents in a pair."""
     ids = stage(pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "near-ids")
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids) if few else ids, "id", "left_semi").dropDuplicates(["id"])
+    texts = _texts(ids, docs, id_col, text_col)
     full = pairs.join(texts.toDF("dst", "b"), "dst").join(texts.toDF("src", "a"), "src")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -174,9 +192,11 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        give components. So a bucket of n makes n pairs, not n * n.
     4. Where a bucket has more than one component yet, its classes are paired
        with PIVOTS random members of other components, and confirmed.
-    5. Only where it still has, pairs across components are compared by their
-       bits inside the join, each in the first band that it shares, and
-       confirmed. No bucket is capped and no link is lost to steps 3 and 4.
+    5. Only where it still has, pairs across components are compared inside
+       the join, each in the first band that it shares: by bits, then by an
+       upper bound of the shared shingles from 32-bit marks of all of them.
+       What the join puts out is confirmed. No bucket is capped and no link
+       is lost to steps 3 and 4.
 
     Null or empty text and text without words have no shingles and are linked
     with nothing. Rows that repeat an id and text return repeated rows; where
@@ -227,10 +247,14 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         parts = components(links)
         open_ = open_buckets(parts)
 
-    full = open_.join(classes.select("id", F.col("n_shingles").alias("n"), "bits", "bands"), "id")
+    marks = _marks(open_.select("id").distinct(), docs, id_col, text_col)
+    full = open_.join(classes.select("id", F.col("n_shingles").alias("n"), "bits", "bands").join(marks, "id"), "id")
     a, b = full.alias("a"), full.alias("b")
     first = F.array_position(F.zip_with("a.bands", "b.bands", lambda x, y: x == y), True) == F.array_position("a.bands", F.col("a.hash"))
-    across = a.join(b, (F.col("a.hash") == F.col("b.hash")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.part") != F.col("b.part")) & near("a.", "b.") & first)
+    # equal shingles have equal marks, so this is never less than what both sets share
+    most = F.size(F.array_intersect("a.marks", "b.marks")) + F.least(F.col("a.n") - F.size("a.marks"), F.col("b.n") - F.size("b.marks"))
+    linked = 100 * most >= percent * (F.col("a.n") + F.col("b.n") - most)
+    across = a.join(b, (F.col("a.hash") == F.col("b.hash")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.part") != F.col("b.part")) & near("a.", "b.") & first & linked)
     across = stage(across.select(F.col("a.id").alias("src"), F.col("b.id").alias("dst")).join(tested, ["src", "dst"], "left_anti"), "near-pairs")
     if across.limit(1).count():
         more = _confirmed(across, docs, id_col, text_col, percent)
@@ -242,3 +266,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = sigs.select("doc_id", "n_shingles", "set_a", "set_b").join(ids, ["set_a", "set_b", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     return out.select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` without those that are near duplicates of a kept one, with all their columns."""
+    gone = near_components(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
