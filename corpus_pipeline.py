@@ -25,8 +25,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of line runs go, and documents of which nothing is left by that; n_chars follows the text."""
-    out = line_dedup(docs).where("n_removed = 0 or n_removed < n_lines")
+    """Later copies of line runs and of long lines go, and documents of which nothing is left by that; n_chars follows the text."""
+    out = line_dedup(docs, lone=True).where("n_removed = 0 or n_removed < n_lines")
     length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return out.withColumn("n_chars", length).select(*docs.columns)
 

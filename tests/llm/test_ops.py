@@ -8,6 +8,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from attestra.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, pii, sentencepiece_np, substring_dedup, toxicity
 
 SF = "/root/testdata/sf0.001"
@@ -150,6 +151,25 @@ def test_lines(odd, empty, k):
     assert not rows(line_dedup.line_dedup(empty))
 
 
+def test_lone_lines(spark):
+    words, dense = prose(50, 31), "漢" * 400
+    short = prose(49, 32)[:399]
+    texts = [f"a\n{words}\nb", f"c\n{words}\nd", f"{dense}\ne", f"f\n{dense}", f"g\n{short}", f"h\n{short}", words, f"{words}\n{words}\ni", f"c\n{words}\nj\n{words}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [texts[0], "c\nd", texts[2], "f", texts[4], texts[5], "", "i", "j"]
+    got = {r.doc_id: r for r in line_dedup.line_dedup(docs, lone=True).collect()}
+    assert [got[k].text for k in range(len(texts))] == want
+    assert [got[k].n_removed for k in range(len(texts))] == [0, 1, 0, 1, 0, 0, 1, 2, 3]
+    assert [got[k].n_runs for k in range(len(texts))] == [0, 1, 0, 1, 0, 0, 1, 1, 2]
+
+
+def test_pipeline_removes_lone_lines(spark):
+    passage = prose(150, 33)
+    docs = spark.createDataFrame([(k, f"before {k}\n{passage}\nafter {k}", "en", "s", 1) for k in range(3)] + [(3, passage, "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, SF).collect()}
+    assert got == {0: f"before 0\n{passage}\nafter 0", 1: "before 1\nafter 1", 2: "before 2\nafter 2"}
+
+
 def luhn(s):
     d = [int(c) for c in reversed(s)]
     return sum(x if k % 2 == 0 else sum(divmod(2 * x, 10)) for k, x in enumerate(d)) % 10 == 0
