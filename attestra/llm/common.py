@@ -77,30 +77,41 @@ def row_key(*cols: Column | str) -> Column:
     return F.struct(F.xxhash64(*cols, *marks).alias("a"), F.xxhash64(F.lit(7), *marks, *reversed(cols)).alias("b"))
 
 
-def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Connected components of an undirected edge list: (node, component).
 
-    ``component`` is the smallest node that can be reached. Labels spread over
-    the edges and are then shortened by one pointer jump a round, all as joins
-    and grouped minima over tables in the shared folder; the driver sees one
-    count a round. Nodes without edges are not in the result.
+    ``component`` is the smallest node that can be reached. In a round every
+    node hooks to its smallest neighbour, if that is smaller; pointers are
+    doubled until each names a root, and the roots are the nodes of the next
+    round. A root that nothing hooked to hooks itself in the next round, so
+    two rounds at least halve the nodes that have edges, whatever the
+    diameter, and rounds go on until no edge is left. All are joins and
+    grouped minima over tables in the shared folder; the driver sees one count
+    a step. Nodes without edges are not in the result.
     """
-    both = stage(
-        edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))
-        .union(edges.select(F.col(dst), F.col(src)))
-        .where("u <> v")
-        .distinct(),
-        "cc-edges",
-    )
-    labels = stage(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("component")), "cc-labels")
-    for _ in range(max_rounds):
-        seen = both.join(labels.select(F.col("node").alias("v"), "component"), "v").groupBy(F.col("u").alias("node")).agg(F.min("component").alias("m"))
-        near = labels.join(seen, "node").select("node", F.col("component").alias("old"), F.least("component", "m").alias("c"))
-        jump = labels.select(F.col("node").alias("c"), F.col("component").alias("cc"))
-        new = stage(near.join(jump, "c", "left").select("node", "old", F.least("c", F.coalesce("cc", "c")).alias("component")), "cc-labels")
-        moved = new.where("component <> old").limit(1).count()
-        drop_stage(labels.sparkSession, labels)
-        labels = new.select("node", "component")
-        if not moved:
+    spark = edges.sparkSession
+    both = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).union(edges.select(F.col(dst), F.col(src)))
+    both = stage(both.where("u <> v").distinct(), "cc-edges")
+    labels = None
+    while True:
+        roots = stage(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("component")), "cc-roots")
+        moved = True
+        while moved:
+            jump = roots.select(F.col("node").alias("component"), F.col("component").alias("top"))
+            new = stage(roots.join(jump, "component").select("node", F.col("component").alias("old"), F.col("top").alias("component")), "cc-roots")
+            moved = new.where("component <> old").limit(1).count() > 0
+            drop_stage(spark, roots)
+            roots = new.select("node", "component")
+        top = roots.select(F.col("node").alias("component"), F.col("component").alias("top"))
+        if labels is None:
+            new = roots
+        else:
+            new = stage(labels.join(top, "component", "left").select("node", F.coalesce("top", "component").alias("component")), "cc-labels")
+            drop_stage(spark, labels)
+        labels = new
+        u, v = top.toDF("u", "ru"), top.toDF("v", "rv")
+        left = stage(both.join(u, "u").join(v, "v").where("ru <> rv").select(F.col("ru").alias("u"), F.col("rv").alias("v")).distinct(), "cc-edges")
+        drop_stage(spark, both)
+        both = left
+        if not both.limit(1).count():
             return labels
-    raise RuntimeError("components did not settle")

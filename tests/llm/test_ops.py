@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from attestra.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, pii, sentencepiece_np, substring_dedup, toxicity
+from attestra.llm.common import components
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, n_words int"
@@ -104,6 +105,14 @@ def test_near_on_documents(spark):
     assert got == brute_near(pairs(docs))
 
 
+def test_components_of_long_chains(spark):
+    chain = random.Random(0).sample(range(1000, 1400), 400)
+    edges = list(zip(chain, chain[1:])) + [(k, 0) for k in range(1, 20)] + [(k + 1, k) for k in range(2000, 2040)] + [(5000, 5000)]
+    got = dict(rows(components(spark.createDataFrame(edges, "src long, dst long"))))
+    assert got == {k: 1000 for k in chain} | {k: 0 for k in range(20)} | {k: 2000 for k in range(2000, 2041)}
+    assert not rows(components(spark.createDataFrame([], "src string, dst string")))
+
+
 def test_decontaminate(spark, odd, empty):
     bench = [(1, " ".join(BASIC.split()[10:30])), (2, "line TWO"), (3, None), (4, "..."), (5, " ".join(LONG.split()[500:509])), (6, prose(30, 77)), (10, "é漢字")]
     table = spark.createDataFrame(bench, "item_id long, text string")
