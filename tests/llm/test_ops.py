@@ -105,6 +105,16 @@ def test_near_on_documents(spark):
     assert got == brute_near(pairs(docs))
 
 
+def test_sketch_tail_is_small_beside_bands():
+    # each value differs with a chance of 1 - 0.75, then half of its four bits do
+    one = [0.75 + 0.25 / 16] + [0.25 * c / 16 for c in (4, 6, 4, 1)]
+    total = [1.0]
+    for _ in range(2 * near_dedup.PERMUTATIONS):
+        total = [sum(one[j] * total[k - j] for j in range(5) if 0 <= k - j < len(total)) for k in range(len(total) + 4)]
+    bands = (1 - 0.75**near_dedup.ROWS) ** near_dedup.BANDS
+    assert sum(total[near_dedup.FAR_BITS + 1 :]) < bands / 100
+
+
 def test_components_of_long_chains(spark):
     chain = random.Random(0).sample(range(1000, 1400), 400)
     edges = list(zip(chain, chain[1:])) + [(k, 0) for k in range(1, 20)] + [(k + 1, k) for k in range(2000, 2040)] + [(5000, 5000)]
