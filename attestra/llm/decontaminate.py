@@ -116,17 +116,23 @@ def benchmark_matches(docs: DataFrame, bench: DataFrame, window: int = 10, block
 
     Returns ``id_col``, the columns ``keep``, n_words and matches. Null and
     empty texts, and items without words, match nothing. An item of fewer
-    words than ``window`` is one window. Repeated rows each return their own
+    words than ``window`` is one window. An item with a null id is matched as any
+    other, with a null in its matches. Repeated rows each return their own
     row. An empty benchmark gives no matches, an empty table no rows.
     """
     spark = docs.sparkSession
-    items = bench.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).where("item_id is not null")
+    items = bench.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
     cols = [id_col, *keep, text_col]
+    # with more blocks each row meets every one: rows are told apart by a key, and repeats of a row by their number
+    source, mark = docs.select(*cols), []
+    if blocks > 1:
+        key, mark = row_key(*cols), ["__row_a", "__row_b"]
+        source = source.select("*", key["a"].alias("__row_a"), key["b"].alias("__row_b"))
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in (id_col, *keep)]
     kept.sort(key=lambda x: [f"`{c}`" for c in (id_col, *keep)].index(x.split(" ")[0]))
-    schema = ", ".join(kept) + f", n_words long, matches {MATCH}"
+    schema = ", ".join([*kept, *[f"{c} long" for c in mark], "n_words long", f"matches {MATCH}"])
 
     def scan(k: int) -> DataFrame:
         block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
@@ -138,21 +144,20 @@ def benchmark_matches(docs: DataFrame, bench: DataFrame, window: int = 10, block
                 for lo in range(0, len(b), 2000):
                     part = b.iloc[lo : lo + 2000]
                     found = match_shard(part[text_col].tolist(), test)
-                    out = part[[id_col, *keep]].reset_index(drop=True)
+                    out = part[[id_col, *keep, *mark]].reset_index(drop=True)
                     out["n_words"] = [n for n, _ in found]
                     out["matches"] = [[dict(zip(("item_id", "item_start", "doc_start", "n_words"), m, strict=True)) for m in ms] for _, ms in found]
                     yield out
 
-        return docs.select(*cols).mapInPandas(run, schema)
+        return source.mapInPandas(run, schema)
 
     if blocks == 1:
         return scan(0)
-    # each row meets every block: rows are told apart by a key, and repeats of a row by their number
     hits = None
     for k in range(blocks):
-        x = scan(k).select(row_key(*[F.col(c) for c in (id_col, *keep)], F.col("n_words")).alias("key"), "*", F.lit(k).alias("block"))
+        x = scan(k).withColumn("block", F.lit(k))
         hits = x if hits is None else hits.unionByName(x)
-    grouped = hits.groupBy("key").agg(
+    grouped = hits.groupBy(*mark).agg(
         *[F.first(c).alias(c) for c in (id_col, *keep, "n_words")],
         F.count_if(F.col("block") == 0).alias("copies"),
         F.array_distinct(F.flatten(F.collect_list("matches"))).alias("matches"),

@@ -138,6 +138,17 @@ def test_decontaminate(spark, odd, empty):
     assert decontaminate.contamination(odd, table.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontaminate_null_and_repeated_ids(spark):
+    item, clean = prose(12, 41), prose(14, 42)
+    docs = spark.createDataFrame([(None, f"x {item} y"), (None, clean), (1, f"x {item} y"), (1, clean), (1, clean), (2, prose(14, 43))], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, item), (5, prose(40, 44)), (6, prose(40, 45))], "item_id long, text string")
+    for size in (1 << 20, 200):
+        got = rows(decontaminate.contamination(docs, bench, block_bytes=size).select("doc_id", "n_words", "n_hit", "n_items", "contaminated"))
+        want = [(None, 14, 0, 0, False), (None, 14, 12, 1, True), (1, 14, 0, 0, False), (1, 14, 0, 0, False), (1, 14, 12, 1, True), (2, 14, 0, 0, False)]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    assert decontaminate.decontaminate(docs, bench).count() == 4
+
+
 def test_decontaminate_on_documents(spark):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     want = decontaminate.brute_force(pairs(docs), [tuple(r) for r in bench.select("item_id", "text").collect()])
