@@ -7,24 +7,25 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestra.llm.common import components, stage
+from attestra.llm.common import components, row_key, stage
 
 #: Words in a shingle, and the similarity (in hundredths) from which documents are linked.
 SHINGLE, PERCENT = 5, 75
 #: Permutations: each gives a minimum and a maximum. BANDS bands of ROWS values over all of them.
 PERMUTATIONS, ROWS = 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS
-#: Four bits of each value are kept to estimate similarity before texts are fetched. Of the 512, a pair at a
-#: similarity of 0.75 differs in 64 with a deviation of 11.3; at 136 the exact tail
-#: is 7e-9, small beside the 5e-6 of the bands.
+#: Four bits of each value are kept to guess which pairs are worth their texts. Of the 512, a pair at a
+#: similarity of 0.75 differs in 64 with a deviation of 11.3. What the guess refuses is met again in step 5.
 SKETCH_BITS, FAR_BITS = 4, 136
-#: Ids that a filter of texts may broadcast; beyond it the join is shuffled.
-BROADCAST_IDS = 1_000_000
-#: Random members of a bucket that the rest is compared with before all pairs across components are.
+#: Keys that a filter of texts may broadcast (24 bytes each); beyond it the join is shuffled.
+BROADCAST_IDS = 250_000
+#: Random members of a bucket that the rest is compared with before the exact join.
 PIVOTS = 3
+#: Pairs of one document that meet in a task; the text of one with more is dealt in several copies.
+SALT = 500
 
 _M = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -113,7 +114,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, bits, bands): one pass over the texts, nothing shuffled."""
+    """(doc_id, a, b, n_shingles, set_a, set_b, bits, bands): one pass over the texts, nothing shuffled. a and b: the row's key."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -127,37 +128,37 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     else:
                         out.append((0, 0, 0, None, None))
                 frame = pd.DataFrame(out, columns=["n_shingles", "set_a", "set_b", "bits", "bands"])
-                frame.insert(0, "doc_id", part["doc_id"].array)
+                for k, c in enumerate(("doc_id", "a", "b")):
+                    frame.insert(k, c, part[c].array)
                 yield frame
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, f"doc_id {kind}, n_shingles long, set_a long, set_b long, bits array<long>, bands array<long>")
+    rows = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text")).select("doc_id", "key.a", "key.b", "text")
+    return rows.mapInPandas(run, f"doc_id {kind}, a long, b long, n_shingles long, set_a long, set_b long, bits array<long>, bands array<long>")
 
 
-def _texts(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text) of some documents; only their texts travel where the ids are few enough to broadcast."""
-    few = ids.count() <= BROADCAST_IDS
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids) if few else ids, "id", "left_semi").dropDuplicates(["id"])
+class _Texts:
+    """The text of any class, by the row that stands for it."""
 
+    def __init__(self, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str):
+        self.classes = classes.select("id", "rep.a", "rep.b")
+        self.rows = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text")).select("key.a", "key.b", "text")
 
-def _marks(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, marks): 32 bits of every shingle of a document, distinct."""
-    ids = stage(ids, "near-ids")
+    def of(self, ids: DataFrame) -> DataFrame:
+        """(id, text); only the texts of these classes travel where they are few enough to broadcast."""
+        wanted = stage(ids.select("id").distinct().join(self.classes, "id"), "near-ids")
+        few = wanted.count() <= BROADCAST_IDS
+        return self.rows.join(F.broadcast(wanted) if few else wanted, ["a", "b"]).select("id", "text").dropDuplicates(["id"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = b[["id"]].reset_index(drop=True)
-            out["marks"] = [np.unique((shingles(t) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in b["text"]]
-            yield out
 
-    return stage(_texts(ids, docs, id_col, text_col).mapInPandas(run, f"id {dict(ids.dtypes)['id']}, marks array<int>"), "near-marks")
-
-
-def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """The pairs (src, dst) whose full sets are similar enough. Texts travel only for documents in a pair."""
-    ids = stage(pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "near-ids")
-    texts = _texts(ids, docs, id_col, text_col)
-    full = pairs.join(texts.toDF("dst", "b"), "dst").join(texts.toDF("src", "a"), "src")
+def _confirmed(pairs: DataFrame, texts: _Texts, percent: int) -> DataFrame:
+    """The pairs (src, dst) whose full sets are similar enough. A class with many pairs as ``src`` is met in several tasks."""
+    found = texts.of(pairs.select(F.explode(F.array("src", "dst")).alias("id")))
+    hot = pairs.groupBy("src").count().where(F.col("count") > SALT).select("src", F.ceil(F.col("count") / SALT).cast("int").alias("salts"))
+    salts = F.coalesce("salts", F.lit(1))
+    dealt = pairs.join(hot, "src", "left").select("src", "dst", F.pmod(F.xxhash64("dst"), salts).cast("int").alias("salt"))
+    copies = found.toDF("src", "x").join(hot, "src", "left").select("src", "x", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    full = dealt.join(found.toDF("dst", "y"), "dst").join(copies, ["src", "salt"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[object, np.ndarray] = {}
@@ -170,63 +171,79 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, pe
             return held[key]
 
         for p in batches:
-            keep = [similar(of(s, a), of(d, b), percent) for s, a, d, b in zip(p["src"], p["a"], p["dst"], p["b"], strict=True)]
+            keep = [similar(of(s, x), of(d, y), percent) for s, x, d, y in zip(p["src"], p["x"], p["dst"], p["y"], strict=True)]
             yield p.loc[keep, ["src", "dst"]]
 
-    kind = dict(pairs.dtypes)["src"]
-    return stage(full.select("src", "dst", "a", "b").mapInPandas(run, f"src {kind}, dst {kind}"), "near-links")
+    return stage(full.select("src", "dst", "x", "y").mapInPandas(run, "src long, dst long"), "near-links")
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per input row: ``id_col``, n_shingles, component_id, kept.
+def _prefixes(open_: DataFrame, texts: _Texts, percent: int) -> DataFrame:
+    """(id, part, n, tok, pos, early): the rarest shingles of each class, by place in the order (frequency, value).
 
-    Documents are linked if their sets of five-word shingles have a Jaccard
-    similarity of ``percent`` hundredths or more; a component is what links
-    join, named by its smallest id, which is the row kept.
+    Two sets that are similar enough share one of the first
+    n - ceil(percent n / 100) + 1 shingles of the larger set, and one of the
+    first n - ceil(2 percent n / (100 + percent)) + 1 (``early``) of the
+    smaller one. Shingles in one class only come first in the order and are
+    met by no other, so they are counted but not shuffled back.
+    """
 
-    1. Equal sets become one class, so exact copies meet no bucket twice.
-    2. Every class has a minimum and a maximum for each permutation, and a
-       bucket for each band of four. At 0.75 a link shares no bucket with a
-       chance of 5e-6, at 0.8 of 4e-8.
-    3. In a bucket each class is paired with its smallest one only; pairs
-       close by their signature bits are confirmed on full sets, and links
-       give components. So a bucket of n makes n pairs, not n * n.
-    4. Where a bucket has more than one component yet, its classes are paired
-       with PIVOTS random members of other components, and confirmed.
-    5. Only where it still has, pairs across components are compared inside
-       the join, each in the first band that it shares: by bits, then by an
-       upper bound of the shared shingles from 32-bit marks of all of them.
-       What the join puts out is confirmed. No bucket is capped and no link
-       is lost to steps 3 and 4, but for the signature bits, which refuse one
-       at 0.75 with a chance of 7e-9.
-
-    Null or empty text and text without words have no shingles and are linked
-    with nothing. Rows that repeat an id and text return repeated rows; where
-    one id has several texts, links of any count for the id. A null id is
-    linked with nothing. Only two input columns are read.
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = b[["id"]].reset_index(drop=True)
+            out["toks"] = [shingles(t).view(np.int64) for t in b["text"]]
+            yield out
+
+    sets = stage(texts.of(open_).mapInPandas(run, "id long, toks array<long>"), "near-sets")
+    each = sets.select("id", F.explode("toks").alias("tok"))
+    shared = each.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    kept = each.join(shared, "tok").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("s"))
+    own = open_.select("id", "part").distinct().join(sets.select("id", F.size("toks").alias("n")), "id").join(kept, "id")
+    far = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    near = F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1
+    alone = F.col("n") - F.size("s")
+    rows = own.select("id", "part", "n", alone.alias("alone"), near.cast("int").alias("near"), F.posexplode(F.slice("s", 1, F.greatest(far - alone, F.lit(0)).cast("int"))).alias("k", "x"))
+    return stage(rows.select("id", "part", "n", "x.tok", (F.col("alone") + F.col("k")).alias("pos"), (F.col("alone") + F.col("k") < F.col("near")).alias("early")), "near-prefixes")
+
+
+def _across(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes in different components that may be similar enough: every one that is so is among them.
+
+    The first shingle that both share lies in both prefixes, and what follows
+    it must suffice for the overlap that the similarity asks for.
     """
-    sigs = stage(signatures(docs, id_col, text_col), "near-sigs")
+    x, y = prefixes.where("early").alias("x"), prefixes.alias("y")
+    smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.id") < F.col("y.id")))
+    rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    enough = (100 + percent) * rest >= percent * (F.col("x.n") + F.col("y.n"))
+    sized = 100 * F.col("x.n") >= percent * F.col("y.n")
+    met = x.join(y, (F.col("x.tok") == F.col("y.tok")) & smaller & sized & enough & (F.col("x.part") != F.col("y.part")))
+    return met.select(F.col("x.id").alias("src"), F.col("y.id").alias("dst")).distinct()
+
+
+def _classes(sigs: DataFrame) -> DataFrame:
+    """Rows of equal sets: a number, n, the smallest id, the row that stands for it, bits and bands."""
     named = sigs.where("n_shingles > 0 and doc_id is not null")
-    classes = stage(
-        named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("bits").alias("bits"), F.first("bands").alias("bands")),
-        "near-classes",
-    )
-    sketch = classes.select("id", F.col("n_shingles").alias("n"), "bits")
+    rep = F.min(F.struct("doc_id", "a", "b")).alias("rep")
+    return named.groupBy("set_a", "set_b", F.col("n_shingles").alias("n")).agg(rep, F.first("bits").alias("bits"), F.first("bands").alias("bands")).withColumn("id", F.monotonically_increasing_id())
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(doc_id, a, b, n_shingles, component_id) of every row."""
+    sigs = stage(signatures(docs, id_col, text_col), "near-sigs")
+    classes = stage(_classes(sigs), "near-classes")
+    texts = _Texts(docs, classes, id_col, text_col)
+    sketch = classes.select("id", "n", "bits")
     # a band's number is part of its hash
     buckets = classes.select("id", F.explode("bands").alias("hash"))
     shared = buckets.groupBy("hash").agg(F.min("id").alias("star"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     members = stage(buckets.join(shared, "hash"), "near-buckets")
 
-    def bits_apart(a: str, b: str) -> Column:
-        return sum((F.bit_count(F.get(F.col(f"{a}bits"), F.lit(k)).bitwiseXOR(F.get(F.col(f"{b}bits"), F.lit(k)))) for k in range(2 * PERMUTATIONS * SKETCH_BITS // 64)), F.lit(0))
-
-    def near(a: str, b: str) -> Column:
-        sized = (100 * F.col(f"{a}n") >= percent * F.col(f"{b}n")) & (100 * F.col(f"{b}n") >= percent * F.col(f"{a}n"))
-        return sized & (bits_apart(a, b) <= FAR_BITS)
-
     def promising(pairs: DataFrame) -> DataFrame:
+        """Pairs that may be similar by size and signature bits; what this refuses stays in an open bucket."""
         s, d = (sketch.select(F.col("id").alias(x), F.struct("n", "bits").alias(f"{x}_")) for x in ("src", "dst"))
-        return pairs.join(s, "src").join(d, "dst").where(near("src_.", "dst_.")).select("src", "dst")
+        sized = (100 * F.col("src_.n") >= percent * F.col("dst_.n")) & (100 * F.col("dst_.n") >= percent * F.col("src_.n"))
+        apart = sum((F.bit_count(F.get("src_.bits", F.lit(k)).bitwiseXOR(F.get("dst_.bits", F.lit(k)))) for k in range(2 * PERMUTATIONS * SKETCH_BITS // 64)), F.lit(0))
+        return pairs.join(s, "src").join(d, "dst").where(sized & (apart <= FAR_BITS)).select("src", "dst")
 
     def open_buckets(parts: DataFrame) -> DataFrame:
         """Members of the buckets that hold more than one component: (hash, id, part)."""
@@ -235,42 +252,90 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return stage(own.join(mixed, "hash"), "near-open")
 
     tested = stage(promising(members.where("id <> star").select(F.col("star").alias("src"), F.col("id").alias("dst")).distinct()), "near-pairs")
-    links = _confirmed(tested, docs, id_col, text_col, percent)
+    links = _confirmed(tested, texts, percent)
     parts = components(links)
 
     open_ = open_buckets(parts)
     pivot = open_.groupBy("hash").agg(*[F.min(F.struct(F.xxhash64("id", "hash", F.lit(k)).alias("h"), "id", "part")).alias(f"p{k}") for k in range(PIVOTS)])
     pivot = pivot.select("hash", F.explode(F.array_distinct(F.array(*[F.struct(f"p{k}.id", f"p{k}.part") for k in range(PIVOTS)]))).alias("p"))
-    some = open_.join(pivot, "hash").where(F.col("part") != F.col("p.part")).select(F.least("id", "p.id").alias("src"), F.greatest("id", "p.id").alias("dst")).distinct()
-    some = stage(promising(some.join(tested, ["src", "dst"], "left_anti")), "near-pairs")
+    some = open_.join(pivot, "hash").where(F.col("part") != F.col("p.part")).select(F.col("p.id").alias("src"), F.col("id").alias("dst")).distinct()
+    some = stage(promising(some.join(tested.union(tested.select("dst", "src")), ["src", "dst"], "left_anti")), "near-pairs")
     if some.limit(1).count():
-        links = stage(links.union(_confirmed(some, docs, id_col, text_col, percent)), "near-links")
+        links = stage(links.union(_confirmed(some, texts, percent)), "near-links")
         tested = tested.union(some)
         parts = components(links)
         open_ = open_buckets(parts)
 
-    marks = _marks(open_.select("id").distinct(), docs, id_col, text_col)
-    full = open_.join(classes.select("id", F.col("n_shingles").alias("n"), "bits", "bands").join(marks, "id"), "id")
-    a, b = full.alias("a"), full.alias("b")
-    first = F.array_position(F.zip_with("a.bands", "b.bands", lambda x, y: x == y), True) == F.array_position("a.bands", F.col("a.hash"))
-    # equal shingles have equal marks, so this is never less than what both sets share
-    most = F.size(F.array_intersect("a.marks", "b.marks")) + F.least(F.col("a.n") - F.size("a.marks"), F.col("b.n") - F.size("b.marks"))
-    linked = 100 * most >= percent * (F.col("a.n") + F.col("b.n") - most)
-    across = a.join(b, (F.col("a.hash") == F.col("b.hash")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.part") != F.col("b.part")) & near("a.", "b.") & first & linked)
-    across = stage(across.select(F.col("a.id").alias("src"), F.col("b.id").alias("dst")).join(tested, ["src", "dst"], "left_anti"), "near-pairs")
-    if across.limit(1).count():
-        more = _confirmed(across, docs, id_col, text_col, percent)
-        if more.limit(1).count():
-            parts = components(links.union(more))
-
-    # the class of a row, by its set; then the component of the class
-    ids = classes.select("set_a", "set_b", "n_shingles", "id").join(parts.withColumnRenamed("node", "id"), "id", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("component"))
-    out = sigs.select("doc_id", "n_shingles", "set_a", "set_b").join(ids, ["set_a", "set_b", "n_shingles"], "left")
-    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
-    return out.select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
-
-
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` without those that are near duplicates of a kept one, with all their columns."""
-    gone = near_components(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    if open_.limit(1).count():
+        both = tested.union(tested.select("dst", "src"))
+        across = stage(_across(_prefixes(open_, texts, percent), percent).join(both, ["src", "dst"], "left_anti"), "near-pairs")
+        if across.limit(1).count():
+            more = _confirmed(across, texts, percent)
+            if more.limit(1).count():
+                parts = components(links.union(more))
+
+    # the class of a row by its set, the component of the class, the smallest id of the component
+    named = classes.select("id", "set_a", "set_b", F.col("n").alias("n_shingles"), F.col("rep.doc_id").alias("least")).join(parts.withColumnRenamed("node", "id"), "id", "left")
+    top = named.where("component is not null").groupBy("component").agg(F.min("least").alias("top"))
+    ids = named.join(top, "component", "left").select("set_a", "set_b", "n_shingles", F.coalesce("top", "least").alias("component_id"))
+    out = sigs.select("doc_id", "a", "b", "n_shingles", "set_a", "set_b").join(ids, ["set_a", "set_b", "n_shingles"], "left")
+    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", "a", "b", "n_shingles", component.alias("component_id"))
+
+
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per input row: ``id_col``, n_shingles, component_id, kept.
+
+    Documents are linked if their sets of five-word shingles have a Jaccard
+    similarity of ``percent`` hundredths or more; a component is what links
+    join, named by its smallest id, which is the row kept.
+
+    1. Equal sets become one class, so exact copies meet no bucket twice.
+    2. Every class has a minimum and a maximum for each permutation, and a
+       bucket for each band of four. At 0.75 a link shares no bucket with a
+       chance of 5e-6, at 0.8 of 4e-8.
+    3. In a bucket each class is paired with one star only; pairs close by
+       their signature bits are confirmed on full sets, and links give
+       components. So a bucket of n makes n pairs, not n * n.
+    4. Where a bucket has more than one component yet, its classes are paired
+       with PIVOTS random members of other components, and confirmed.
+    5. The classes of buckets that still have more than one go through an
+       exact similarity join by length and by the rarest shingles; what shares
+       one across components is confirmed on full sets. Nothing is capped, and
+       no link is lost to steps 3 to 5.
+
+    Words are compared by 64-bit hashes, sets by two 64-bit digests and their
+    size: two different sets of 20,000 shingles share a hash with a chance of
+    2e-11. Null or empty text and text without words have no shingles and are
+    linked with nothing. Rows are documents: repeated rows return repeated
+    rows, and rows of one id with other texts each have their own links. A
+    null id is linked with nothing. A very long text is one row, and its set
+    is sorted in memory. Only two input columns are read; an empty table gives
+    no rows.
+    """
+    out = _components(docs, id_col, text_col, percent)
+    return out.select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` without those that are near duplicates of a kept one, with all their columns, whatever their names.
+
+    The row with the smallest id of a component stays; where several rows have
+    this id, and for exact repeats of a row, all with the text of one of them
+    go but for one row. Rows without words and rows with a null id stay, all
+    of them. An empty table gives no rows.
+    """
+    rows = stage(_components(docs, id_col, text_col, percent).where("n_shingles > 0 and doc_id is not null"), "near-rows")
+    # of rows with the kept id, the one with the smallest key; it may be repeated
+    first = rows.where("doc_id = component_id").groupBy("component_id").agg(F.min(F.struct("a", "b")).alias("best"), F.count(F.lit(1)).alias("c"))
+    again = first.where("c > 1").select("component_id", "best")
+    gone = rows.where("doc_id <> component_id").select("a", "b").union(
+        rows.where("doc_id = component_id").join(again, "component_id").where(F.struct("a", "b") != F.col("best")).select("a", "b")
+    )
+    gone = gone.select(F.struct("a", "b").alias("__near_key")).distinct()
+    repeats = rows.where("doc_id = component_id").groupBy(F.struct("a", "b").alias("__near_key")).count().where("count > 1").select("__near_key")
+    repeats = stage(repeats, "near-repeats")
+    out = docs.withColumn("__near_key", row_key(id_col, text_col)).join(gone, "__near_key", "left_anti")
+    if repeats.limit(1).count():
+        out = out.join(repeats, "__near_key", "left_anti").unionByName(out.join(repeats, "__near_key", "left_semi").dropDuplicates(["__near_key"]))
+    return out.select(*docs.columns)

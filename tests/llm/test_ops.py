@@ -105,6 +105,29 @@ def test_near_on_documents(spark):
     assert got == brute_near(pairs(docs))
 
 
+def test_near_with_repeated_ids(spark):
+    one, two = prose(60, 71), prose(60, 72)
+    docs = spark.createDataFrame([(1, one, 0), (1, two, 1), (2, one + " x", 2), (3, two + " y", 3), (4, prose(60, 73), 4), (4, prose(60, 73), 5), (5, prose(60, 73) + " z", 6), (None, one, 7), (6, None, 8), (7, "", 9)], "doc_id long, text string, id int")
+    got = sorted(rows(near_dedup.near_components(docs).select("doc_id", "component_id")), key=str)
+    assert got == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (5, 4), (None, None), (6, 6), (7, 7)], key=str)
+    kept = near_dedup.keep_one(docs)
+    # one row of id 1 stays, and one of the repeated row of id 4
+    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "4", "6", "7", "None"]
+
+
+def test_exact_join_finds_what_stars_miss(spark):
+    r = random.Random(8)
+    base = prose(90, 81).split()
+    docs = []
+    for k in range(120):
+        w = list(base)
+        for j in r.sample(range(90), r.randint(1, 7)):
+            w[j] = "q%d" % r.randrange(10_000)
+        docs.append((k, " ".join(w)))
+    got = {x[0]: x[1:] for x in rows(near_dedup.near_components(spark.createDataFrame(docs, "doc_id long, text string")))}
+    assert got == brute_near(docs) and len({x[1] for x in got.values()}) > 1
+
+
 def test_sketch_tail_is_small_beside_bands():
     # each value differs with a chance of 1 - 0.75, then half of its four bits do
     one = [0.75 + 0.25 / 16] + [0.25 * c / 16 for c in (4, 6, 4, 1)]
