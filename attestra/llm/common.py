@@ -6,7 +6,9 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +79,15 @@ def row_key(*cols: Column | str) -> Column:
     return F.struct(F.xxhash64(*cols, *marks).alias("a"), F.xxhash64(F.lit(7), *marks, *reversed(cols)).alias("b"))
 
 
+def slices(frame: pd.DataFrame, text: str, rows: int, chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
+    """Neighbouring rows of a batch, at most ``rows`` and about ``chars`` characters at a time; a longer text comes alone."""
+    at, size = 0, frame[text].str.len().fillna(0).to_numpy(dtype=float) if len(frame) else []
+    while at < len(frame):
+        n = max(1, int((size[at : at + rows].cumsum() <= chars).sum()))
+        yield frame.iloc[at : at + n]
+        at += n
+
+
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Connected components of an undirected edge list: (node, component).
 

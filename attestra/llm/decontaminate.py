@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestra.llm.common import row_key
+from attestra.llm.common import row_key, slices, stage
 
-#: Bytes of benchmark text in one block; every block is matched against all documents.
-BLOCK_BYTES = 32 << 20
+#: Bytes of benchmark text in one block (a larger item is a block of its own); every block is matched against all
+#: documents. The driver holds the texts of one block at a time, a task builds the block's windows: 8 bytes of text
+#: make some 60 bytes.
+BLOCK_BYTES = 4 << 20
 
 #: Lower-cases A-Z; bytes that are in no word become blanks. Every byte of a character above 127 is in a word.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -25,22 +30,22 @@ def words(text: str | None) -> list[bytes]:
 
 
 class BenchmarkBlock:
-    """The windows of one block of benchmark items, as numbers of its own vocabulary."""
+    """The suffixes of one block of benchmark items, cut to a window, as numbers of the block's own vocabulary."""
 
     def __init__(self, items: list[tuple[str, str]], window: int):
         self.window, self.vocab = window, {}
         self.items = [x for x, _ in items]
-        keys, item, start, size = [], [], [], []
-        for k, (_, text) in enumerate(items):
-            ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words(text)]
-            n = min(window, len(ids))
-            for p in range(len(ids) - n + 1 if ids else 0):
-                keys.append(ids[p : p + n] + [0] * (window - n))
-                item.append(k)
-                start.append(p)
-                size.append(n)
-        self.keys = np.array(keys, ">u4").reshape(-1, window)
-        self.item, self.start, self.size = (np.array(x, np.int64) for x in (item, start, size))
+        number = lambda w: self.vocab.setdefault(w, len(self.vocab) + 1)
+        parts = [np.fromiter(map(number, ws), np.uint32, len(ws)) for ws in (words(t) for _, t in items)]
+        length = np.array([len(x) for x in parts], np.int64)
+        n = np.where(length > 0, length - np.minimum(length, window) + 1, 0)
+        flat = np.concatenate((*parts, np.zeros(window, np.uint32)))
+        self.item = np.repeat(np.arange(len(parts)), n)
+        self.start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        self.size = np.minimum(length, window)[self.item]
+        at = np.repeat(np.cumsum(length) - length, n) + self.start
+        keys = np.lib.stride_tricks.sliding_window_view(flat, window)[at] if len(at) else np.zeros((0, window), np.uint32)
+        self.keys = np.where(np.arange(window)[None, :] < self.size[:, None], keys, 0).astype(">u4")
         self.least = int(self.size.min()) if len(self.size) else 0
 
     def search(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,47 +109,37 @@ def match_shard(texts: list[str | None], test: BenchmarkBlock) -> list[tuple[int
 MATCH = "array<struct<item_id:string,item_start:int,doc_start:int,n_words:int>>"
 
 
-def benchmark_matches(docs: DataFrame, bench: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Longest verbatim matches of benchmark items in documents.
+_BUILT: dict[str, BenchmarkBlock] = {}
 
-    A batch of documents is a shard with its own suffix array of words; every
-    window of every item is found in it by two binary searches, and windows in
-    a row join into the longest match with its places. The benchmark's size is
-    measured first and it is dealt into blocks of at most about
-    ``block_bytes``; each block goes to all documents, so what a task holds
-    doesn't grow with the benchmark. With one block no row is shuffled.
-
-    Returns ``id_col``, the columns ``keep``, n_words and matches. Null and
-    empty texts, and items without words, match nothing. An item of fewer
-    words than ``window`` is one window. An item with a null id is matched as any
-    other, with a null in its matches. Repeated rows each return their own
-    row. An empty benchmark gives no matches, an empty table no rows.
-    """
+
+def _built(name: str, sent: Broadcast, window: int) -> BenchmarkBlock:
+    """The windows of a broadcast block; a worker remembers the last that it built."""
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = BenchmarkBlock(sent.value, window)
+    return _BUILT[name]
+
+
+def _row_matches(docs: DataFrame, bench: DataFrame, window: int, block_bytes: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, a, b, n_words, matches) of every row; a and b are its key."""
     spark = docs.sparkSession
     items = bench.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
-    cols = [id_col, *keep, text_col]
-    # with more blocks each row meets every one: rows are told apart by a key, and repeats of a row by their number
-    source, mark = docs.select(*cols), []
-    if blocks > 1:
-        key, mark = row_key(*cols), ["__row_a", "__row_b"]
-        source = source.select("*", key["a"].alias("__row_a"), key["b"].alias("__row_b"))
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in (id_col, *keep)]
-    kept.sort(key=lambda x: [f"`{c}`" for c in (id_col, *keep)].index(x.split(" ")[0]))
-    schema = ", ".join([*kept, *[f"{c} long" for c in mark], "n_words long", f"matches {MATCH}"])
+    source = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text")).select("id", "key.a", "key.b", "text")
+    schema = f"id {dict(docs.dtypes)[id_col]}, a long, b long, n_words long, matches {MATCH}"
 
     def scan(k: int) -> DataFrame:
         block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        shared = spark.sparkContext.broadcast(BenchmarkBlock([tuple(r) for r in block.orderBy("item_id", "text").collect()], window))
+        texts = [tuple(r) for r in block.orderBy("item_id", "text").collect()]
+        name, sent = uuid.uuid4().hex, spark.sparkContext.broadcast(texts)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            test = shared.value
+            test = _built(name, sent, window)
             for b in batches:
-                for lo in range(0, len(b), 2000):
-                    part = b.iloc[lo : lo + 2000]
-                    found = match_shard(part[text_col].tolist(), test)
-                    out = part[[id_col, *keep, *mark]].reset_index(drop=True)
+                for part in slices(b, "text", 2000):
+                    found = match_shard(part["text"].tolist(), test)
+                    out = part[["id", "a", "b"]].reset_index(drop=True)
                     out["n_words"] = [n for n, _ in found]
                     out["matches"] = [[dict(zip(("item_id", "item_start", "doc_start", "n_words"), m, strict=True)) for m in ms] for _, ms in found]
                     yield out
@@ -153,20 +148,44 @@ def benchmark_matches(docs: DataFrame, bench: DataFrame, window: int = 10, block
 
     if blocks == 1:
         return scan(0)
-    hits = None
-    for k in range(blocks):
-        x = scan(k).withColumn("block", F.lit(k))
-        hits = x if hits is None else hits.unionByName(x)
-    grouped = hits.groupBy(*mark).agg(
-        *[F.first(c).alias(c) for c in (id_col, *keep, "n_words")],
-        F.count_if(F.col("block") == 0).alias("copies"),
+    # each row meets every block: it is known by its key, which has its text, and repeats of a row by their number
+    hits = reduce(DataFrame.unionByName, [scan(k).withColumn("block", F.lit(k)) for k in range(blocks)])
+    grouped = hits.groupBy("a", "b").agg(
+        F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.count_if(F.col("block") == 0).alias("copies"),
         F.array_distinct(F.flatten(F.collect_list("matches"))).alias("matches"),
-    )
-    return grouped.select(id_col, *keep, "n_words", "matches", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
+    )
+    return grouped.select("id", "a", "b", "n_words", "matches", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
+
+
+def benchmark_matches(docs: DataFrame, bench: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Longest verbatim matches of benchmark items in documents: ``id_col``, n_words, matches.
+
+    A batch of documents is a shard with its own suffix array of words; every
+    suffix of every item is found in it by two binary searches, as deep as the
+    window, and neighbours on one diagonal join into the longest match with
+    its places. The benchmark's size is measured first and it is dealt into
+    blocks of about ``block_bytes``; each block goes to all documents, so what
+    a task holds doesn't grow with the benchmark. With one block no row is
+    shuffled; with more, results are the same.
+
+    Null and empty texts, and items without words, match nothing. An item of
+    fewer words than ``window`` is one window. An item with a null id is
+    matched as any other, with a null in its matches; items of equal id and
+    text are one, matched twice. Repeated rows each return their own row, and
+    rows of one id with other texts have their own matches. A very long text
+    is a shard by itself. Only two input columns are read. An empty benchmark
+    gives no matches, an empty table no rows.
+    """
+    return _row_matches(docs, bench, window, block_bytes, id_col, text_col).select(F.col("id").alias(id_col), "n_words", "matches")
 
 
 def contamination(docs: DataFrame, bench: DataFrame, window: int = 10, **options) -> DataFrame:
-    """Per document: words, words inside any match, items that occur, and whether it is contaminated."""
+    """Per document: words, words inside any match, items that occur, and whether it is contaminated.
+
+    The input may have any further columns; none is returned. Nulls, repeats
+    and empty tables are as in ``benchmark_matches``: a row without words has
+    zeros, and a null item id counts for n_hit and contaminated only.
+    """
     m = benchmark_matches(docs, bench, window, **options)
     ends = F.transform(F.array_sort(F.transform("matches", lambda x: F.struct(x["doc_start"].alias("s"), (x["doc_start"] + x["n_words"]).alias("e")))), lambda x: x)
     hit = F.aggregate(
@@ -188,14 +207,17 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = 10, **options
     )
 
 
-def decontaminate(docs: DataFrame, bench: DataFrame, window: int = 10) -> DataFrame:
-    """The documents without a benchmark window, with all their columns."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_words", "matches"))
-    clash = {c: f"__{c}" for c in ("n_words", "matches") if c in docs.columns}
-    d = docs.withColumnsRenamed(clash).withColumn("__text", F.col("text"))
-    m = benchmark_matches(d, bench, window, keep=("__text", *rest, *clash.values()))
-    back = m.where(F.size("matches") == 0).select("doc_id", F.col("__text").alias("text"), *rest, *[F.col(v).alias(f"__keep_{k}") for k, v in clash.items()])
-    return back.withColumnsRenamed({f"__keep_{k}": k for k in clash}).select(*docs.columns)
+def decontaminate(docs: DataFrame, bench: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without a benchmark window, with all their columns, whatever their names.
+
+    Texts go to the workers once and don't come back: rows with a match are
+    known by their key. Null and empty texts stay; of rows that share an id
+    only those go whose text has a match; repeated rows go or stay together.
+    An empty benchmark takes nothing, an empty table gives no rows.
+    """
+    found = _row_matches(docs, bench, window, block_bytes, id_col, text_col).where(F.size("matches") > 0)
+    gone = stage(found.select(F.struct("a", "b").alias("__leak_key")).distinct(), "leak-keys")
+    return docs.withColumn("__leak_key", row_key(id_col, text_col)).join(gone, "__leak_key", "left_anti").select(*docs.columns)
 
 
 ORACLE = r"""
