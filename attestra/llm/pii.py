@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,44 +19,112 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BASE = ("email", "ip", "card", "phone")
 
-# What may be personal data beyond the base kinds: a long word with a digit (keys, tokens, passwords), a national
-# telephone number, and an address that is spelt out. Labelers judge each match.
+# What may be personal data beyond the base kinds. Labelers judge each match: a long word with a digit (keys, tokens,
+# passwords), a national telephone number, an address that is spelt out, an account number, an identity number, a
+# person's name after a title or with a known given name, and a street address.
 SECRET = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{12,}+"
 LOCAL_PHONE = r"(?<![0-9+().-])(?<![0-9+] )\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])"
 SPELT_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,}+\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]++)++"
-WEAK = {"secret": SECRET, "local_phone": LOCAL_PHONE, "spelt_email": SPELT_EMAIL}
-KINDS = (*BASE, *WEAK)
-
-# Gazetteers: words that name such data. Fixed values.
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+IDENTITY = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+
+# Gazetteers. Fixed values.
+TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Mme", "Mlle", "Monsieur", "Madame", "Sr", "Sra", "Srta", "Don", "Señor", "Señora")
+GIVEN = (
+    "James", "Mary", "Robert", "Patricia", "John", "Jennifer", "Michael", "Linda", "David", "Elizabeth", "William", "Barbara", "Richard", "Susan", "Joseph",
+    "Jessica", "Thomas", "Sarah", "Charles", "Karen", "Daniel", "Nancy", "Matthew", "Lisa", "Anthony", "Sandra", "Mark", "Ashley", "Paul", "Emily", "Steven",
+    "Hans", "Peter", "Klaus", "Jürgen", "Wolfgang", "Stefan", "Andreas", "Monika", "Ursula", "Petra", "Sabine", "Renate", "Claudia", "Jean", "Pierre",
+    "Michel", "André", "Philippe", "Jacques", "Marie", "Nathalie", "Isabelle", "Catherine", "Sylvie", "José", "Antonio", "Juan", "Francisco", "Manuel",
+    "Javier", "Carlos", "Miguel", "María", "Carmen", "Ana", "Isabel", "Dolores", "Pilar", "Teresa",
+)
+STREETS = ("Street", "St", "Avenue", "Ave", "Road", "Rd", "Lane", "Ln", "Drive", "Dr", "Boulevard", "Blvd", "Court", "Ct", "Place", "Pl", "Square", "Terrace", "Way")
+WAYS = ("rue", "avenue", "boulevard", "place", "chemin", "allée", "calle", "avenida", "plaza", "paseo", "camino")
+COUNTRIES = ("AT", "BE", "CH", "CZ", "DE", "DK", "ES", "FI", "FR", "GB", "GR", "HR", "HU", "IE", "IT", "LI", "LU", "NL", "NO", "PL", "PT", "RO", "SE", "SI", "SK", "TR")
 NAMES = {
-    "secret": ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "auth", "bearer", "credential", "ssn", "iban"),
-    "local_phone": ("phone", "tel", "mobile", "fax", "call", "cell", "whatsapp", "sms"),
-    "spelt_email": ("mail", "e-mail", "email", "contact", "write", "reach"),
+    "secret": ("password", "passwd", "pwd", "passphrase", "secret", "token", "api_key", "apikey", "access_key", "private_key", "auth", "bearer", "credential", "passwort", "kennwort", "contraseña", "clave", "mot de passe"),
+    "local_phone": ("phone", "telephone", "tel", "mobile", "fax", "call", "cell", "whatsapp", "sms", "telefon", "rufnummer", "handy", "téléphone", "portable", "teléfono", "móvil"),
+    "spelt_email": ("mail", "e-mail", "email", "contact", "write", "reach", "kontakt", "schreiben", "courriel", "écrire", "correo", "contacto", "escribir"),
+    "iban": ("iban", "account", "bank", "konto", "compte", "cuenta", "transfer", "überweisung", "virement", "transferencia"),
+    "identity": ("ssn", "social security", "social", "taxpayer", "tax id", "identity", "id number", "national id"),
+    "person": ("name", "named", "signed", "by", "from", "contact", "author", "employee", "patient", "customer", "client", "dear", "namens", "nom", "nombre"),
+    "street": ("address", "live at", "lives at", "located at", "ship to", "adresse", "wohnhaft", "dirección", "domicilio", "habite"),
 }
+PERSON = rf"(?<!\p{{L}})(?:(?:{'|'.join(TITLES)})\.?\x20\p{{Lu}}\p{{L}}++|(?:{'|'.join(GIVEN)})\x20\p{{Lu}}\p{{L}}++)(?:[\x20-]\p{{Lu}}\p{{L}}++)?(?!\p{{L}})"
+STREET = rf"(?<![\p{{L}}0-9])(?:[0-9]{{1,5}}\x20(?:\p{{Lu}}\p{{L}}{{1,30}}\x20){{1,3}}(?:{'|'.join(STREETS)})|[0-9]{{1,4}},?\x20(?:{'|'.join(WAYS)})\x20\p{{Lu}}\p{{L}}{{1,30}}|\p{{Lu}}\p{{L}}{{1,30}}(?:straße|strasse|weg|platz|allee)\x20[0-9]{{1,4}})(?![\p{{L}}0-9])"
+WEAK = {"secret": SECRET, "local_phone": LOCAL_PHONE, "spelt_email": SPELT_EMAIL, "iban": IBAN, "identity": IDENTITY, "person": PERSON, "street": STREET}
+KINDS = (*BASE, *WEAK)
+PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, **WEAK}
+#: What a text must hold for a pattern to match at all; cheap to look for.
+HINTS = {
+    "email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]", "secret": "[0-9]", "local_phone": r"[0-9]{3}\D{1,2}[0-9]{3}", "spelt_email": r"at[)\]]",
+    "iban": r"[A-Z]{2}[0-9]{2}", "identity": r"[0-9]-[0-9]{2}-[0-9]", "person": rf"\b(?:{'|'.join(TITLES + GIVEN)})\b", "street": rf"[0-9],?\x20(?:\p{{Lu}}|{'|'.join(WAYS)})|(?:straße|strasse|weg|platz|allee)\x20[0-9]",
+}
 #: Characters before a match that the gazetteer and context labelers see.
 BEFORE = 24
 EM_ROUNDS = 50
+#: Elements that a scan puts together at a time.
+BLOCK = 128
+
+
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)``, with the value computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _scan(n: Column, zero: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
+    """What ``step(state, k) -> (state, out)`` puts out for k = 0 .. n - 1, as array<kind>.
+
+    Arrays grow by blocks and the blocks by an array of blocks, so that a long
+    one isn't copied for each element.
+    """
+    none = F.array().cast(f"array<{kind}>")
 
+    def add(acc: Column, state: Column, out: Column) -> Column:
+        return F.struct(state.alias("state"), F.concat(acc["out"], F.array(out)).alias("out"))
 
-def _spans(text: Column, pattern: str, contains: str) -> Column:
-    """Leftmost matches of a pattern as array<struct<start,end,value,before>> in code points.
+    def one(acc: Column, k: Column) -> Column:
+        state, out = step(acc["state"], k)
+        return add(acc, state, out)
+
+    def block(acc: Column, at: Column) -> Column:
+        begin = F.struct(acc["state"].alias("state"), none.alias("out"))
+        return _let(F.aggregate(F.sequence(at, F.least(at + BLOCK, n) - 1), begin, one), lambda r: add(acc, r["state"], r["out"]))
+
+    begin = F.struct(zero.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    return F.when(n > 0, F.aggregate(F.sequence(F.lit(0), n - 1, F.lit(BLOCK)), begin, block, lambda acc: F.flatten(acc["out"]))).otherwise(none)
+
+
+def _hits(text: Column, kind: str) -> Column:
+    """Leftmost matches: array<struct<gap,size,ok,votes,features>>, with the lengths of each match and of what lies before it.
 
     What lies between matches and the matches themselves come from the same
-    search; their lengths add up to places.
+    search. Base kinds have their test in ``ok``, others their votes.
     """
-    parts = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"))
-    empty = F.array().cast("array<struct<start:int,end:int,value:string,before:string>>")
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), empty.alias("out"))
+    def seen(gap: Column, hit: Column) -> Column:
+        before = F.substring(gap, -BEFORE, BEFORE)
+        weak = kind in WEAK
+        none = F.lit(None).cast("string")
+        return F.struct(
+            F.length(gap).alias("gap"), F.length(hit).alias("size"), (F.lit(True) if weak else _valid(kind, hit)).alias("ok"),
+            (_votes(kind, hit, before) if weak else none).alias("votes"), (_features(hit, before) if weak else none).alias("features"),
+        )
 
-    def step(acc: Column, hit: Column, gaps: Column) -> Column:
-        gap = F.get(gaps, acc["k"])
-        start = acc["at"] + F.length(gap)
-        end = start + F.length(hit)
-        one = F.struct(start.alias("start"), end.alias("end"), hit.alias("value"), F.substring(gap, -BEFORE, BEFORE).alias("before"))
-        return F.struct(end.alias("at"), (acc["k"] + 1).alias("k"), F.concat(acc["out"], F.array(one)).alias("out"))
+    each = F.zip_with(F.split(text, PATTERNS[kind], -1), F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0)), seen)
+    none = F.array().cast("array<struct<gap:int,size:int,ok:boolean,votes:string,features:string>>")
+    return F.when(text.rlike(HINTS[kind]), F.filter(each, lambda x: x["size"].isNotNull())).otherwise(none)
 
-    found = F.aggregate(parts["hits"], zero, lambda acc, hit: step(acc, hit, parts["gaps"]), lambda acc: acc["out"])
-    return F.when(text.rlike(contains), found).otherwise(empty)
+
+def _spans(hits: str) -> Column:
+    """Places of the matches in a column of hits, without those that failed: array<struct<start,end,votes,features>>."""
+    def step(at: Column, k: Column) -> tuple[Column, Column]:
+        x = F.get(hits, k)
+        end = at + x["gap"] + x["size"]
+        return end, end
+
+    ends = _scan(F.size(hits), F.lit(0), step, "int")
+    placed = F.zip_with(ends, F.col(hits), lambda e, x: F.struct((e - x["size"]).alias("start"), e.alias("end"), x["votes"].alias("votes"), x["features"].alias("features"), x["ok"].alias("ok")))
+    good = F.transform(F.filter(placed, lambda x: x["ok"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["votes"].alias("votes"), x["features"].alias("features")))
+    return F.when(F.size(hits) > 0, good).otherwise(F.array().cast("array<struct<start:int,end:int,votes:string,features:string>>"))
 
 
 def _digits(value: Column) -> Column:
@@ -73,16 +142,17 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + x) % 10 == 0
 
 
-def base_spans(text: Column) -> Column:
-    """struct of the four base kinds' spans; matches that fail their test are dropped."""
-    digits_in = lambda x, lo, hi: F.length(_digits(x["value"])).between(lo, hi)
-    octet = lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3) & (F.coalesce(F.substring(F.concat(F.lit("000"), F.ltrim(p, F.lit("0"))), -3, 3), F.lit("999")) <= "255")
-    return F.struct(
-        _spans(text, EMAIL, "@").alias("email"),
-        F.filter(_spans(text, IP, r"[0-9]\.[0-9]"), lambda x: F.forall(F.split(x["value"], r"\."), octet)).alias("ip"),
-        F.filter(_spans(text, CARD, r"[0-9][\x20-]?[0-9]"), lambda x: F.when(digits_in(x, 16, 19), _luhn(_digits(x["value"]))).otherwise(False)).alias("card"),
-        F.filter(_spans(text, PHONE, r"\+[0-9]"), lambda x: digits_in(x, 8, 15)).alias("phone"),
-    )
+def _valid(kind: str, value: Column) -> Column:
+    """The test of a base kind."""
+    digits = _digits(value)
+    if kind == "ip":
+        octet = lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3) & (F.substring(F.concat(F.lit("000"), F.ltrim(p, F.lit("0"))), -3, 3) <= "255")
+        return F.forall(F.split(value, r"\."), octet)
+    if kind == "card":
+        return F.when(F.length(digits).between(16, 19), _luhn(digits)).otherwise(False)
+    if kind == "phone":
+        return F.length(digits).between(8, 15)
+    return F.lit(True)
 
 
 def _joined(spans: Column, kind: str) -> Column:
@@ -96,13 +166,25 @@ def _votes(kind: str, value: Column, before: Column) -> Column:
     data; context: how the match is introduced; mixture: letters and digits.
     """
     named = F.lower(before).rlike(r"(?:" + "|".join(NAMES[kind]) + r")\W{0,4}$")
+    mixed = F.lit("0")
     if kind == "secret":
         shape = value.rlike(r"^(?:AKIA[0-9A-Z]{16}|[0-9a-f]{18}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|(?:ghp|sk|xox[a-z])[_-][A-Za-z0-9-]{16,})$")
         share = F.length(_digits(value)) / F.length(value)
         mixed = F.when(share.between(0.15, 0.9) & (F.length(value) >= 16), "+").when(value.rlike(r"^[0-9-]+$") | (share < 0.05), "-").otherwise("0")
+    elif kind == "local_phone":
+        shape = value.rlike(r"^\([0-9]{3}\) |^[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}$")
+    elif kind == "spelt_email":
+        shape = value.rlike(r"at[)\]].*dot[)\]]")
+    elif kind == "iban":
+        shape = F.substring(value, 1, 2).isin(*COUNTRIES)
+        mixed = F.when(F.length(F.replace(value, F.lit(" "), F.lit(""))).between(15, 34), "+").otherwise("-")
+    elif kind == "identity":
+        shape = ~value.rlike(r"^(?:000|666|9)|-00-|-0000$")
+    elif kind == "person":
+        shape = value.rlike(rf"^(?:{'|'.join(TITLES)})\b")
+        mixed = F.when(value.rlike(rf"^(?:(?:{'|'.join(TITLES)})\.?\x20)?(?:{'|'.join(GIVEN)})\b"), "+").otherwise("0")
     else:
-        shape = value.rlike(r"^\([0-9]{3}\) |^[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}$") if kind == "local_phone" else value.rlike(r"at[)\]].*dot[)\]]")
-        mixed = F.lit("0")
+        shape = value.rlike(rf"^[0-9].*(?:{'|'.join(STREETS)})$|(?:straße|strasse)")
     context = F.when(before.rlike(r"[=:]\s?[\"']?$"), "+").when(before.rlike(r"[.,/#]$"), "-").otherwise("0")
     return F.concat(F.when(shape, "+").otherwise("-"), F.when(named, "+").otherwise("0"), context, mixed)
 
@@ -175,22 +257,42 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     agree on average; one that overlaps a base span goes, so base spans stay.
 
     Spans are in code points, end exclusive. Null text counts as empty.
-    Repeated rows return repeated rows. No row is shuffled by key.
+    Repeated rows return repeated rows; ids may be null or repeat. Columns but
+    these two are not read, whatever their names. An empty table gives no
+    rows. A text of any length is searched once a kind, and places are running
+    sums over its matches, whose cost grows with their number. No row is
+    shuffled by key.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    weak = {k: _spans(text, p, {"secret": "[0-9]", "local_phone": r"[0-9]{3}\D{1,2}[0-9]{3}", "spelt_email": r"at[)\]]"}[k]) for k, p in WEAK.items()}
-    found = docs.select(F.col(id_col).alias("doc_id"), base_spans(text).alias("base"), *[x.alias(k) for k, x in weak.items()])
-    inside = lambda x: F.exists(F.concat(*[F.col(f"base.{k}") for k in BASE]), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+    hits = stage(docs.select(F.col(id_col).alias("doc_id"), *[_hits(text, k).alias(k) for k in KINDS]), "pii-hits")
+    slim = lambda k: F.transform(_spans(k), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
 
-    def judged(kind: str) -> Column:
-        free = F.filter(F.col(kind), lambda x: ~inside(x))
-        return F.transform(free, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), _votes(kind, x["value"], x["before"]).alias("votes"), _features(x["value"], x["before"]).alias("features")))
+    def marked(n: int, kind: str) -> Column:
+        return F.transform(_spans(kind), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(n).alias("kind"), x["votes"].alias("votes"), x["features"].alias("features")))
 
-    slim = [F.transform(F.col(f"base.{k}"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias(k) for k in BASE]
-    found = stage(found.select("doc_id", F.struct(*slim).alias("base"), *[judged(k).alias(k) for k in WEAK]), "pii-spans")
+    some = F.lit(False)
+    for k in WEAK:
+        some = some | (F.size(k) > 0)
+    none = F.array().cast("array<struct<start:int,end:int,kind:int,votes:string,features:string>>")
+    # spans of all kinds in order, where there is a candidate
+    found = stage(hits.select("doc_id", F.struct(*[slim(k).alias(k) for k in BASE]).alias("base"), F.when(some, F.array_sort(F.concat(*[marked(n, k) for n, k in enumerate(KINDS)]))).otherwise(none).alias("all")), "pii-spans")
+    n, last = F.size("all"), F.lit(2147483647)
+
+    def after(end: Column, k: Column) -> tuple[Column, Column]:
+        x = F.get("all", k)
+        return F.when(x["kind"] < len(BASE), F.greatest(end, x["end"])).otherwise(end), x["start"] < end
+
+    def ahead(start: Column, k: Column) -> tuple[Column, Column]:
+        x = F.get("all", n - 1 - k)
+        return F.when(x["kind"] < len(BASE), x["start"]).otherwise(start), start < x["end"]
+
+    touched = F.zip_with(_scan(n, F.lit(0), after, "boolean"), F.reverse(_scan(n, last, ahead, "boolean")), lambda a, b: a | b)
+    free = F.filter(F.zip_with("all", touched, lambda x, t: F.when(~t & (x["kind"] >= len(BASE)), x)), lambda x: x.isNotNull())
+    found = found.select("doc_id", "base", F.when(n > 0, free).otherwise(none).alias("free"))
+    counted = found.select(F.explode("free").alias("c")).groupBy("c.kind", "c.votes", "c.features").count().collect()
     verdicts = {}
     for k in WEAK:
-        cells = [tuple(r) for r in found.select(F.explode(k).alias("c")).groupBy("c.votes", "c.features").count().collect()]
+        cells = [tuple(r)[1:] for r in counted if KINDS[r["kind"]] == k]
         patterns: dict[str, int] = {}
         for v, _, n in cells:
             patterns[v] = patterns.get(v, 0) + n
@@ -207,7 +309,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         if not verdicts[kind]:
             return F.array().cast("array<struct<start:int,end:int>>")
         good = F.array(*[F.lit(f"{v} {f}") for v, f in verdicts[kind]])
-        yes = F.filter(F.col(kind), lambda x: F.array_contains(good, F.concat_ws(" ", x["votes"], x["features"])))
+        yes = F.filter("free", lambda x: (x["kind"] == KINDS.index(kind)) & F.array_contains(good, F.concat_ws(" ", x["votes"], x["features"])))
         return F.transform(yes, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
 
     return found.select(F.col("doc_id").alias(id_col), "base", F.struct(*[accepted(k).alias(k) for k in WEAK]).alias("weak"))
