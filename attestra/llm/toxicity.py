@@ -15,8 +15,8 @@ from attestra.llm.common import row_key, stage
 
 #: Labelled rows in the training sample, of each class.
 SAMPLE_ROWS = 10_000
-#: Terms of the vector space: at most so many, each associated with a class by G2 and odds.
-TERMS, LEAST_G2, LEAST_ODDS = 4096, 16.0, 4.0
+#: Terms of the vector space: all words of the sample that go with a class by so much, in G2 and odds.
+LEAST_G2, LEAST_ODDS = 16.0, 4.0
 NEIGHBOURS, BLOCK = 25, 64
 THRESHOLD = 0.3
 #: Weight of the base rate in a vote, in units of a neighbour at distance 0.
@@ -143,39 +143,47 @@ def _isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray,
     return p[:, 0] / p[:, 2], p[:, 1] / p[:, 2]
 
 
-def _g2(a: int, b: int, pos: int, neg: int) -> tuple[float, float]:
-    """The likelihood ratio of a term's presence (a of pos, b of neg), and its odds ratio."""
-    t, n, g = a + b, pos + neg, 0.0
-    for o, e in ((a, pos * t / n), (b, neg * t / n), (pos - a, pos * (n - t) / n), (neg - b, neg * (n - t) / n)):
-        g += 2 * o * np.log(o / e) if o else 0.0
+def _telling(found: DataFrame, pos: int, neg: int) -> DataFrame:
+    """Terms (term, a, b: rows of each class that have it) that go with a class: G2 of presence, and odds."""
+    a, b, n = F.col("a"), F.col("b"), float(pos + neg)
+    cells = [(a, pos * (a + b) / n), (b, neg * (a + b) / n), (pos - a, pos * (n - a - b) / n), (neg - b, neg * (n - a - b) / n)]
+    g2 = sum((F.when(o > 0, 2 * o * F.log(o / e)).otherwise(0.0) for o, e in cells), F.lit(0.0))
     odds = (a + 0.5) * (neg - b + 0.5) / ((b + 0.5) * (pos - a + 0.5))
-    return float(g), float(max(odds, 1 / odds))
+    return found.where((a + b >= 3) & (g2 >= LEAST_G2) & (F.greatest(odds, 1 / odds) >= LEAST_ODDS)).select("term", g2.alias("g2"))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """A row per input row: key, doc_id, score and evidence (ids of the nearest examples).
-
-    Learns from ``labels`` (doc_id, toxic): about ``sample_rows`` labelled rows
-    of each class by the hash of the id, a documented bound; a row of a class
-    stands for what was left out. Terms of the sample that go with a class span
-    the space; their document frequencies come from all documents, in one pass
-    that keeps each text's few counts and reads no text twice. Neighbours are
-    exact by cosine; votes fall with distance, and are calibrated on the
-    sample, each row judged without itself.
-
-    Null and empty texts, and texts without such a term, get the rate of
+    """A row per input row: key, ``id_col``, score and evidence (ids of the nearest examples).
+
+    Learns from ``labels`` (id, toxic): about ``sample_rows`` labelled rows of
+    each class by the hash of the id, a documented bound; a row of a class
+    stands for what was left out. All words of the sample that go with a class
+    span the space, by a test of significance that no count limits: the cosine
+    of all words finds the nearest language and topic, not the nearest
+    offence. Document frequencies come from all documents, in one pass that
+    keeps each text's few counts and reads no text twice. Neighbours are exact
+    by cosine; votes fall with distance, and are calibrated on the sample,
+    each row judged without itself.
+
+    Null and empty texts, and texts without such a word, get the rate of
     examples without one. Without labels of both classes every score is that
     rate, or 0. Labels that disagree for an id count as their mean, rounded
-    up from a half. ``key`` is that of common.row_key for id and text.
+    up from a half; labels with a null id or value don't count. Of rows of a
+    labelled id with other texts the one with the smallest key is the example;
+    each row has the score of its own text, and repeated rows equal scores. A
+    very long text is counted in one pass in memory. Columns but the two named
+    are not read. An empty table gives no rows. ``key`` is that of
+    common.row_key for id and text.
     """
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key")).select("doc_id", "key.a", "key.b", "text")
     lab = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("doc_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("y"))
     lab = stage(lab, "toxic-labels")
     n = {r[0]: r[1] for r in lab.groupBy("y").count().collect()}
     every = {y: max(1, -(-n.get(y, 0) // sample_rows)) for y in (0, 1)}
     picked = lab.where(F.pmod(F.xxhash64("doc_id"), F.when(F.col("y") == 1, every[1]).otherwise(every[0])) == 0)
     # at most about two times sample_rows ids
-    sample = stage(d.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]), "toxic-sample")
+    rows = d.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min(F.struct("a", "b", "text", "y")).alias("row"))
+    sample = stage(rows.select("doc_id", "row.*"), "toxic-sample")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -189,16 +197,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     p, q = size.get(1, 0), size.get(0, 0)
     vocab: dict[str, int] = {}
     if p and q:
-        found = sample.mapInPandas(count, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("a"), F.sum("neg").alias("b")).where("a + b >= 3")
-        # the same test as below, roughly, so that few terms reach the driver
-        rate = F.abs(F.col("a") / F.lit(p) - F.col("b") / F.lit(q)) / F.sqrt((F.col("a") + F.col("b")) / F.lit((p + q) * 1.0))
-        rows = found.orderBy(F.desc(rate), "term").limit(4 * TERMS).collect()
-        good = []
-        for r in rows:
-            g, odds = _g2(r["a"], r["b"], p, q)
-            if g >= LEAST_G2 and odds >= LEAST_ODDS:
-                good.append((-g, r["term"]))
-        vocab = {t: k for k, (_, t) in enumerate(sorted(good)[:TERMS])}
+        found = sample.select("text", "y").mapInPandas(count, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("a"), F.sum("neg").alias("b"))
+        # bounded by the words of the sample
+        vocab = {r["term"]: k for k, r in enumerate(sorted(_telling(found, p, q).collect(), key=lambda r: (-r["g2"], r["term"])))}
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,11 +231,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     kind = dict(d.dtypes)["doc_id"]
     part = "struct<a:bigint,b:bigint>"
-    seen = stage(d.select("doc_id", "text", row_key("doc_id", "text").alias("key")).select("doc_id", "key.a", "key.b", "text").mapInPandas(vectors, f"doc_id {kind}, a long, b long, terms array<int>, counts array<int>"), "toxic-vectors")
+    seen = stage(d.mapInPandas(vectors, f"doc_id {kind}, a long, b long, terms array<int>, counts array<int>"), "toxic-vectors")
     total = seen.count()
     df = {r[0]: r[1] for r in seen.select(F.explode("terms").alias("t")).groupBy("t").count().collect()}
     idf = np.array([np.log((1 + total) / (1 + df.get(k, 0))) + 1 for k in range(len(vocab))])
-    examples = [tuple(r) for r in seen.join(F.broadcast(sample.select("doc_id", "y")), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "terms", "counts", "y").collect()]
+    own = seen.join(F.broadcast(sample.select("doc_id", "a", "b", "y")), ["doc_id", "a", "b"]).dropDuplicates(["doc_id"])
+    examples = [tuple(r) for r in own.select("doc_id", "terms", "counts", "y").collect()]
     examples.sort(key=lambda e: e[0])
     model = docs.sparkSession.sparkContext.broadcast(Model(vocab, idf, examples, (n.get(0, 0) / q if q else 1.0, n.get(1, 0) / p if p else 1.0)))
 
@@ -246,11 +248,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
             frame["score"], frame["evidence"] = [s for s, _ in out], [e for _, e in out]
             yield frame
 
-    scored = seen.mapInPandas(score, f"doc_id {kind}, a long, b long, score double, evidence array<{kind}>")
+    # what is staged is so small that its files would fill few tasks
+    spread = seen.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a")
+    scored = spread.mapInPandas(score, f"doc_id {kind}, a long, b long, score double, evidence array<{kind}>")
     return scored.select(F.struct("a", "b").cast(part).alias("key"), F.col("doc_id").alias(id_col), "score", "evidence")
 
 
-def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score under ``threshold``."""
-    gone = score_toxicity(docs, labels).where(F.col("score") >= threshold).select(F.col("key").alias("__key")).distinct()
-    return docs.withColumn("__key", row_key("doc_id", "text")).join(gone, "__key", "left_anti").select(*docs.columns)
+def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score under ``threshold``, with all their columns, whatever their names.
+
+    Null and empty texts have the score of texts without a word. Repeated rows
+    go or stay together; of rows that share an id each is judged by its text.
+    An empty table gives no rows; without labels nothing goes.
+    """
+    gone = score_toxicity(docs, labels, id_col, text_col).where(F.col("score") >= threshold).select(F.col("key").alias("__toxic_key")).distinct()
+    return docs.withColumn("__toxic_key", row_key(id_col, text_col)).join(gone, "__toxic_key", "left_anti").select(*docs.columns)
