@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 #: Training sample: about this many documents of a language, this many characters of each, and bytes of dictionary.
 SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 240, 480, 96 << 10
-#: Most languages a model can hold; the driver and every task hold one dictionary for each.
-MOST_LANGS = 256
+#: Bytes of all dictionaries together: the driver and every task hold them. With more languages each has less.
+ALL_BYTES = 64 << 20
+#: More distinct labels than this are no languages, and refused.
+MOST_LANGS = 10_000
 #: Texts are compressed in pieces of this many bytes, each against the bare dictionary.
 PIECE = 8 << 10
 #: Share of the second-best size by which the best must be smaller.
@@ -51,25 +53,30 @@ class Compressors:
 def learn(docs: DataFrame, lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> dict[str, bytes]:
     """Dictionaries from labelled rows (doc_id, text, lang); the most frequent language first.
 
-    The sample is bounded: of each language about ``sample_docs`` documents by
-    the hash of their id, SAMPLE_CHARS characters of each from their middle on.
+    Every label of a text with a letter is learnt, however few or short its
+    texts are. The sample is bounded: of each language about ``sample_docs`` documents by
+    the hash of their id, SAMPLE_CHARS characters of each from their middle
+    on, and at most DICT_BYTES, or an equal share of ALL_BYTES. Rows without a
+    label or text teach nothing; repeated rows count once. An empty table
+    gives no dictionary. Over MOST_LANGS labels raise ValueError.
     """
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col("text").isNotNull() & (F.length("text") >= 40))
-    counts = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGS).collect()
+    rows = docs.where(F.col(lang_col).isNotNull() & F.col("text").rlike(r"\p{L}"))
+    counts = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGS + 1).collect()
+    if len(counts) > MOST_LANGS:
+        raise ValueError(f"over {MOST_LANGS} labels in {lang_col}")
     if not counts:
         return {}
-    every = F.create_map(*[x for r in counts for x in (F.lit(r[0]), F.lit(max(1, r[1] // sample_docs)))])
+    share = min(DICT_BYTES, ALL_BYTES // len(counts))
+    some = max(1, min(sample_docs, 2 * share // SAMPLE_CHARS + 1))
+    every = F.create_map(*[x for r in counts for x in (F.lit(r[0]), F.lit(max(1, r[1] // some)))])
     cut = F.substring(F.col("text"), F.greatest(F.lit(1), F.floor(F.length("text") / 2 - SAMPLE_CHARS / 2)).cast("int"), F.lit(SAMPLE_CHARS))
     picked = rows.where(F.pmod(F.xxhash64("doc_id"), every[F.col(lang_col)]) == 0).select(lang_col, F.xxhash64("doc_id", F.lit(1)).alias("h"), cut.alias("text"))
-    seen: dict[str, list] = {r[0]: [] for r in counts}
-    for lang, h, text in picked.toLocalIterator():
-        if lang in seen:
-            seen[lang].append((h, text))
-    out = {}
-    for lang, found in seen.items():
-        if data := "\n".join(t for _, t in sorted(set(found))).encode()[-DICT_BYTES:]:
-            out[lang] = data
-    return out
+    # a language of which the hash picks no row gives its first one
+    first = rows.groupBy(lang_col).agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(1)).alias("h"), cut.alias("text"))).alias("x")).select(lang_col, "x.*")
+    seen: dict[str, set] = {r[0]: set() for r in counts}
+    for lang, h, text in picked.unionByName(first).toLocalIterator():
+        seen[lang].add((h, text))
+    return {lang: "\n".join(t for _, t in sorted(found)).encode()[-share:] for lang, found in seen.items() if found}
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -80,8 +87,11 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
     relative margin m to the next, and ``rejected`` says that the margin is
     under MARGIN, as for very short or foreign texts; the prediction stands,
     with its low score. Null text and text without a letter are `und`, score
-    0, rejected. Equal sizes go to the more frequent language. Repeated rows
-    return repeated rows.
+    0, rejected, as is every text where no dictionary was learnt. Equal sizes
+    go to the more frequent language. Repeated rows return repeated rows. A
+    very long text is compressed in pieces. Columns of ``docs`` named as the
+    results are not returned, so rename them to keep them. An empty table
+    gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
