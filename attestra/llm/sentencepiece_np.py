@@ -46,9 +46,12 @@ def _power(n: int) -> np.ndarray:
 class Pieces:
     """A vocabulary: pieces with scores, and how they combine.
 
-    ``bpe``: pairs of neighbours merge, best score first and leftmost on ties,
-    as the model was made. Otherwise (unigram) the segmentation with the best
-    sum of scores is found by Viterbi.
+    Words are segmented by Viterbi: the best sum of scores that ends at each
+    place, with a backpointer. For a unigram model any pieces may follow each
+    other. ``bpe``: in the model's own segmentation pairs of neighbours merge,
+    best score first and leftmost on ties. A segmentation is that one exactly
+    if no two neighbours in it would have merged otherwise, so the Viterbi path
+    may only go from a piece to one that it can stand beside.
     """
 
     def __init__(self, pieces: list[str], scores: list[float], byte_ids: np.ndarray, unknown: int, bpe: bool, ordinary: list[bool]):
@@ -68,6 +71,8 @@ class Pieces:
         # a bit for each short hash: most substrings are no piece and stop here
         self.filter = np.zeros(1 << 21, bool)
         self.filter[self._short(self.keys)] = True
+        self.reachable = np.ones(len(pieces), bool)
+        self.paired = bpe and self._split_pieces(usable)
         self._forget()
         # a character in no longer piece ends a word, and is one by itself
         inner = {c for k in usable if len(pieces[k]) > 1 for c in pieces[k]}
@@ -106,12 +111,12 @@ class Pieces:
             table[:, : m - size + 1, size - 1] = self.probe(h.ravel()).reshape(h.shape)
         return table
 
-    def _merge(self, codes: np.ndarray) -> np.ndarray:
-        """Ends of the symbol that starts at each place, 0 where none does, for words of one length."""
+    def _merge(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merges pairs in words of one length, a pair of each word at a time: the end of the symbol that starts at each place (0 where none does), and where the last pair met."""
         n, m = codes.shape
         table, top = self._table(codes), min(codes.shape[1], self.longest)
         score = np.where(table >= 0, self.scores[table], -np.inf)
-        end = np.tile(np.arange(1, m + 1), (n, 1))
+        end, met = np.tile(np.arange(1, m + 1), (n, 1)), np.zeros(n, np.int64)
         live, start = np.arange(n), np.arange(m)
         while len(live) and m > 1:
             e = end[live]
@@ -125,25 +130,105 @@ class Pieces:
             mid = e[np.arange(len(live)), best]
             end[live, best] = after[np.arange(len(live)), best]
             end[live, mid] = 0
-        return end
+            met[live] = mid
+        return end, met
+
+    def _split_pieces(self, usable: list[int]) -> bool:
+        """Finds for each piece the two that it was merged from, and its turn among merges.
+
+        False if pairs alone can't tell the segmentation: where a character of
+        a piece is no piece, or a piece comes before one that it is made of.
+        """
+        n = len(self.pieces)
+        self.length = np.array([len(p) for p in self.pieces], np.int64)
+        self.power = _power(self.longest + 1)
+        self.hash = np.zeros(n, np.uint64)
+        self.hash[self.ids] = self.keys
+        long_ones = np.array([k for k in usable if self.length[k] > 1], np.int64)
+        self.turn = np.full(n, -1, np.int64)
+        self.turn[long_ones[np.argsort(-self.scores[long_ones], kind="stable")]] = np.arange(len(long_ones))
+        self.left, self.right = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+        for size in {int(x) for x in self.length[long_ones]}:
+            own = long_ones[self.length[long_ones] == size]
+            for some in np.array_split(own, max(1, len(own) * size * size // 400_000)):
+                codes = np.array([[ord(c) for c in self.pieces[k]] for k in some], np.uint64).reshape(len(some), size)
+                end, mid = self._merge(codes)
+                whole = end[:, 0] == size
+                self.reachable[some[~whole]] = False
+                pre, rows = _hashes(codes[whole]), np.arange(int(whole.sum()))
+                at = mid[whole]
+                self.left[some[whole]] = self.probe(pre[rows, at])
+                self.right[some[whole]] = self.probe(pre[:, -1] - pre[rows, at] * self.power[size - at])
+        made = long_ones[self.reachable[long_ones]]
+        sides = np.stack((self.left[made], self.right[made]))
+        self.seen, self.verdict = np.full(1 << 20, -1, np.int64), np.zeros(1 << 20, bool)
+        return bool((sides >= 0).all() and (self.turn[sides] < self.turn[made]).all())
+
+    def _beside(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the pieces ``a`` and ``b`` stay apart as neighbours: no merge across them comes before theirs.
+
+        Both are taken apart, the later made one first, down to the characters
+        that touch. While a pair of parts touched, it would have merged if
+        there is a piece for it whose turn came before the next part's.
+        """
+        apart, at = np.ones(len(a), bool), np.arange(len(a))
+        limit = np.full(len(a), len(self.pieces) + 1)
+        a, b = a.copy(), b.copy()
+        while len(at):
+            size = self.length[b]
+            joint = self.probe(self.hash[a] * self.power[np.minimum(size, self.longest)] + self.hash[b])
+            joint = np.where(self.length[a] + size <= self.longest, joint, -1)
+            merged = (joint >= 0) & (self.turn[joint] < limit)
+            apart[at[merged]] = False
+            on = ~merged & ((self.turn[a] >= 0) | (self.turn[b] >= 0))
+            at, a, b = at[on], a[on], b[on]
+            # of equal pieces the left one was made first
+            left_later = self.turn[a] > self.turn[b]
+            limit = np.where(left_later, self.turn[a], self.turn[b] + 1)
+            a, b = np.where(left_later, self.right[a], a), np.where(left_later, b, self.left[b])
+        return apart
+
+    def _allowed(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """As ``_beside``, with the verdicts of many pairs remembered."""
+        pair = a * len(self.pieces) + b
+        slot = self._short(pair.view(np.uint64)) >> 1
+        new = np.flatnonzero(self.seen[slot] != pair)
+        out = self.verdict[slot]
+        if len(new):
+            which, back = np.unique(pair[new], return_inverse=True)
+            found = self._beside(which // len(self.pieces), which % len(self.pieces))
+            out[new] = found[back]
+            place = self._short(which.view(np.uint64)) >> 1
+            # of pairs that share a place one is remembered, with its own verdict
+            last = np.unique(place[::-1], return_index=True)[1]
+            keep = len(place) - 1 - last
+            self.seen[place[keep]], self.verdict[place[keep]] = which[keep], found[keep]
+        return out
 
     def _viterbi(self, codes: np.ndarray) -> np.ndarray:
-        """As ``_merge``, for the best sum of scores: all words advance a place together, maxima keep backpointers."""
+        """Ends of the pieces that start at each place, 0 where none does: words of one length advance a place together, maxima keep backpointers."""
         n, m = codes.shape
         table, top = self._table(codes), min(codes.shape[1], self.longest)
         floor = self.scores.min() - 10.0
-        best, back = np.full((n, m + 1), -np.inf), np.zeros((n, m + 1), np.int64)
+        best, back, last = np.full((n, m + 1), -np.inf), np.zeros((n, m + 1), np.int64), np.full((n, m + 1), -1, np.int64)
         best[:, 0] = 0
+        rows = np.arange(n)
         for j in range(1, m + 1):
             sizes = np.arange(1, min(j, top) + 1)
             k = table[:, j - sizes, sizes - 1]
             step = np.where(k >= 0, self.scores[k], np.where(sizes[None, :] == 1, floor, -np.inf))
+            if self.paired:
+                before = last[:, j - sizes]
+                step = np.where((k < 0) | self.reachable[k], step, -np.inf)
+                r, c = np.nonzero((k >= 0) & (before >= 0) & (step > -np.inf))
+                step[r, c] = np.where(self._allowed(before[r, c], k[r, c]), step[r, c], -np.inf)
             total = best[:, j - sizes] + step
             pick = total.argmax(1)
-            best[:, j] = total[np.arange(n), pick]
+            best[:, j] = total[rows, pick]
             back[:, j] = j - sizes[pick]
+            last[:, j] = k[rows, pick]
         end = np.zeros((n, m), np.int64)
-        at, live = np.full(n, m), np.arange(n)
+        at, live = np.full(n, m), rows
         while len(live):
             prev = back[live, at[live]]
             end[live, prev] = at[live]
@@ -225,7 +310,7 @@ class Pieces:
                 some = places[lo : lo + step]
                 own = [words[k] for k in some]
                 codes = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(own), n).astype(np.uint64)
-                end = self._long(own[0])[None, :] if n > LONG else self._merge(codes) if self.bpe else self._viterbi(codes)
+                end = self._long(own[0])[None, :] if n > LONG else self._viterbi(codes) if self.paired or not self.bpe else self._merge(codes)[0]
                 ids, count = self._spell(own, codes, end)
                 size[some] = count
                 at[some] = used + np.cumsum(count) - count
@@ -295,8 +380,10 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, id_col: str = "do
     Ids equal those of the sentencepiece library for a model with identity
     normalisation. ``round_trip`` says that decoding gives the text again,
     which holds unless the text has the blank sign U+2581 itself. Null and
-    empty texts have no ids and round-trip to the empty text. Only two input
-    columns are read.
+    empty texts have no ids and round-trip to the empty text. Repeated rows
+    return repeated rows; ids may be null. Only two input columns are read,
+    whatever others are named. A very long text is a batch by itself. An empty
+    table gives no rows.
     """
     kind = dict(docs.dtypes)[id_col]
 
