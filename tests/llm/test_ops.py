@@ -250,6 +250,66 @@ def test_pii(odd, empty):
     assert not rows(pii.report(pii.find_pii(empty)))
 
 
+def test_pii_weak_spans(spark):
+    texts = [
+        "password=0030ef94f364d8386a mail a@b.example.com", "token: 1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae", "see 7.1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae@x.example.com",
+        "phone: (302) 555-0182", "call 302-555-0182", "IBAN: DE89 3704 0044 0532 0130 00", "iban=GB82WEST12345698765432", "SSN: 078-05-1120", "ssn=219-09-9999",
+        "Name: Dr. Maria Keller", "signed by Hans Keller", "Address: 12 North Oak Street", "adresse: 5 rue Lepic",
+    ]
+    d = spark.createDataFrame(list(enumerate(texts * 3)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.report(pii.find_pii(d)).collect()}
+    want = {0: "secret:9:27", 1: "secret:7:47", 3: "local_phone:7:21", 5: "iban:6:33", 6: "iban:5:27", 7: "identity:5:16", 9: "person:6:22", 11: "street:9:28"}
+    for k, x in want.items():
+        assert x in got[k].split(","), (k, got[k])
+    # a candidate inside a base span is none
+    assert got[2] == "email:4:60" and got[0] == "email:33:48,secret:9:27"
+
+
+def test_pii_of_very_long_texts(spark):
+    import time
+
+    text = "12, " * 20_000 + "1.2.3.4 " * 5_000 + "token=0030ef94f364d8386a "
+    d = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    pii.report(pii.find_pii(d.limit(0))).collect()
+    began = time.time()
+    r = pii.report(pii.find_pii(d)).first()
+    want = brute_pii(text)
+    assert r.n_ip == 5_000 and r.base_sha256 == hashlib.sha256(",".join(x[1] for x in want).encode()).hexdigest()
+    assert time.time() - began < 30
+
+
+def test_many_lines_in_one_text(spark):
+    import time
+
+    text = "\n".join(f"line {k // 2}" if k % 10 < 4 else f"own {k}" for k in range(50_000))
+    d = spark.createDataFrame([(1, text), (2, text + "\nend")], "doc_id long, text string")
+    line_dedup.line_dedup(d.limit(0)).collect()
+    began = time.time()
+    got = {r.doc_id: r for r in line_dedup.line_dedup(d).collect()}
+    assert got[1].n_lines == 50_000 and got[2].text == "end" and got[2].n_removed == 50_000 and got[2].n_runs == 1
+    assert time.time() - began < 60
+
+
+def test_maximal_runs(spark):
+    a = [f"a{k}" for k in range(9)]
+    texts = ["\n".join(a), "\n".join(["x", *a[2:7], "y", *a[0:2], "z"]), "\n".join([*a, *a])]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    prefixes = line_dedup.repeated_prefixes(d).join(d.select("doc_id", line_dedup.row_key("doc_id", "text").alias("key")), "key")
+    got = {r.doc_id: [(x["at"], x["lines"]) for x in r.runs] for r in line_dedup.repeated_runs(prefixes.drop("doc_id")).join(d.select("doc_id", line_dedup.row_key("doc_id", "text").alias("key")), "key").collect()}
+    assert got == {1: [(1, 5), (7, 2)], 2: [(0, 18)]}
+    # the longest common prefixes: intervals of 2, 4 and 8 lines
+    assert {(r.doc_id, r.lines) for r in prefixes.collect()} == {(1, 2), (1, 4), (2, 2), (2, 4), (2, 8)}
+
+
+def test_hot_lines(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_ROWS", 3)
+    monkeypatch.setattr(line_dedup, "HOT_KEYS", 5)
+    test_lone_lines(spark)
+    docs = [(k, "\n".join(["", "same", "", "same", f"own {k}", ""])) for k in range(60)]
+    got = {r.doc_id: r for r in line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[0].text == "\nsame\nown 0\n" and all(got[k].text == f"own {k}\n" for k in range(1, 60))
+
+
 def test_pii_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for r in pii.report(pii.find_pii(docs)).join(docs.select("doc_id", "text"), "doc_id").collect():
