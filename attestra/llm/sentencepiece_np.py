@@ -111,10 +111,10 @@ class Pieces:
             table[:, : m - size + 1, size - 1] = self.probe(h.ravel()).reshape(h.shape)
         return table
 
-    def _merge(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _merge(self, codes: np.ndarray, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Merges pairs in words of one length, a pair of each word at a time: the end of the symbol that starts at each place (0 where none does), and where the last pair met."""
         n, m = codes.shape
-        table, top = self._table(codes), min(codes.shape[1], self.longest)
+        table, top = self._table(codes) if table is None else table, min(codes.shape[1], self.longest)
         score = np.where(table >= 0, self.scores[table], -np.inf)
         end, met = np.tile(np.arange(1, m + 1), (n, 1)), np.zeros(n, np.int64)
         live, start = np.arange(n), np.arange(m)
@@ -136,8 +136,10 @@ class Pieces:
     def _split_pieces(self, usable: list[int]) -> bool:
         """Finds for each piece the two that it was merged from, and its turn among merges.
 
-        False if pairs alone can't tell the segmentation: where a character of
-        a piece is no piece, or a piece comes before one that it is made of.
+        Pieces of one score have no turn (``tied``: runs of blanks, in the
+        public model); words with one are merged pair by pair. False if pairs
+        alone can't tell the segmentation of the rest: where a character of a
+        piece is no piece, or a piece comes before one that it is made of.
         """
         n = len(self.pieces)
         self.length = np.array([len(p) for p in self.pieces], np.int64)
@@ -148,6 +150,9 @@ class Pieces:
         self.turn = np.full(n, -1, np.int64)
         self.turn[long_ones[np.argsort(-self.scores[long_ones], kind="stable")]] = np.arange(len(long_ones))
         self.left, self.right = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+        self.tied = np.zeros(n + 1, bool)
+        own, times = np.unique(self.scores[long_ones], return_counts=True)
+        self.tied[long_ones] = np.isin(self.scores[long_ones], own[times > 1])
         for size in {int(x) for x in self.length[long_ones]}:
             own = long_ones[self.length[long_ones] == size]
             for some in np.array_split(own, max(1, len(own) * size * size // 400_000)):
@@ -159,7 +164,7 @@ class Pieces:
                 at = mid[whole]
                 self.left[some[whole]] = self.probe(pre[rows, at])
                 self.right[some[whole]] = self.probe(pre[:, -1] - pre[rows, at] * self.power[size - at])
-        made = long_ones[self.reachable[long_ones]]
+        made = long_ones[self.reachable[long_ones] & ~self.tied[long_ones]]
         sides = np.stack((self.left[made], self.right[made]))
         self.seen, self.verdict = np.full(1 << 20, -1, np.int64), np.zeros(1 << 20, bool)
         return bool((sides >= 0).all() and (self.turn[sides] < self.turn[made]).all())
@@ -205,10 +210,10 @@ class Pieces:
             self.seen[place[keep]], self.verdict[place[keep]] = which[keep], found[keep]
         return out
 
-    def _viterbi(self, codes: np.ndarray) -> np.ndarray:
+    def _viterbi(self, codes: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
         """Ends of the pieces that start at each place, 0 where none does: words of one length advance a place together, maxima keep backpointers."""
         n, m = codes.shape
-        table, top = self._table(codes), min(codes.shape[1], self.longest)
+        table, top = self._table(codes) if table is None else table, min(codes.shape[1], self.longest)
         floor = self.scores.min() - 10.0
         best, back, last = np.full((n, m + 1), -np.inf), np.zeros((n, m + 1), np.int64), np.full((n, m + 1), -1, np.int64)
         best[:, 0] = 0
@@ -236,6 +241,19 @@ class Pieces:
             live = live[prev > 0]
         return end
 
+    def _segmented(self, codes: np.ndarray) -> np.ndarray:
+        """Ends of the pieces of words of one length."""
+        if not self.bpe:
+            return self._viterbi(codes)
+        table = self._table(codes)
+        odd = self.tied[table].any((1, 2)) if self.paired else np.ones(len(codes), bool)
+        end = np.empty(codes.shape, np.int64)
+        if not odd.all():
+            end[~odd] = self._viterbi(codes[~odd], table[~odd])
+        if odd.any():
+            end[odd] = self._merge(codes[odd], table[odd])[0]
+        return end
+
     def _long(self, word: str) -> np.ndarray:
         """One long word in memory that grows with its length: pairs from a heap, best first, leftmost on ties."""
         if not self.bpe:
@@ -310,7 +328,7 @@ class Pieces:
                 some = places[lo : lo + step]
                 own = [words[k] for k in some]
                 codes = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(own), n).astype(np.uint64)
-                end = self._long(own[0])[None, :] if n > LONG else self._viterbi(codes) if self.paired or not self.bpe else self._merge(codes)[0]
+                end = self._long(own[0])[None, :] if n > LONG else self._segmented(codes)
                 ids, count = self._spell(own, codes, end)
                 size[some] = count
                 at[some] = used + np.cumsum(count) - count
