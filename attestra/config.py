@@ -50,8 +50,53 @@ class LinkageRules:
     transposition: str = "half"
 
 
+#: Why a method leaves a row open. Fixed values.
+REASONS = {
+    "missing_name": "missing_first_or_last_name",
+    "dob_anchor_unavailable": "missing_or_unmatched_dob",
+    "dob_name_conflict": "dob_matches_but_name_is_weak_or_ambiguous",
+    "address_anchor_unavailable": "missing_or_unmatched_address",
+    "address_name_conflict": "address_matches_but_name_is_weak_or_ambiguous",
+    "ambiguous_verified_alias": "same_verified_alias_points_to_multiple_candidates",
+    "ambiguous_exact_full_name": "exact_full_name_is_not_unique",
+    "short_name_not_fuzzy_matched": "name_too_short_for_safe_fuzzy_linkage",
+    "no_name_block": "no_candidate_in_name_block",
+    "weak_or_ambiguous_fuzzy_name": "fuzzy_name_below_strength_or_margin_threshold",
+    "ambiguous_vehicle_ownership": "vehicle_ref_is_linked_to_multiple_candidates",
+    "vehicle_name_conflict": "vehicle_anchor_and_name_link_point_to_different_candidates",
+    "vehicle_name_noncontradiction_failed": "vehicle_ref_matches_but_owner_name_is_contradictory",
+}
+
+
+@dataclass(frozen=True)
+class SourceSpec:
+    """Where a source is, and which of its columns has which role; '' where none has."""
+
+    path: str
+    phase: str = "T0"
+    first: str = "first_name"
+    last: str = "last_name"
+    state: str = "state"
+    event_date: str = "event_date"
+    observed_date: str = ""
+    vehicle_ref: str = ""
+
+
+#: The sources of a run. Fixed values.
+SOURCE_SPECS = {
+    "address_history": SourceSpec("Data_T0/address_history.csv", event_date="effective_start_date"),
+    "license_id_events": SourceSpec("Data_T0/license_id_events.csv", state="credential_state"),
+    "external_context_signals": SourceSpec("Data_T0/external_context_signals.csv", state="signal_state", event_date="effective_date"),
+    "vehicle_title_events": SourceSpec("Data_T0/vehicle_title_events.csv", first="owner_first_name", last="owner_last_name", state="event_state", vehicle_ref="vehicle_ref"),
+    "work_location_signals": SourceSpec("Data_T0/work_location_signals.csv", state="work_state", event_date="observed_date", observed_date="observed_date"),
+    "evidence_update_stream": SourceSpec("Data_T1/evidence_update_stream.csv", phase="T1", event_date="effective_date", observed_date="observed_date", vehicle_ref="vehicle_ref"),
+}
+
+
 @dataclass(frozen=True)
 class FeatureRules:
+    """Windows and limits of the features. Fixed values."""
+
     windows: tuple[int, ...] = (30, 60, 90, 180, 365)
     half_lives: tuple[int, ...] = (90, 365)
     low_confidence: float = 0.93
@@ -61,6 +106,8 @@ class FeatureRules:
 
 @dataclass(frozen=True)
 class MetricRules:
+    """Limits of the reports. Fixed values."""
+
     top_fractions: tuple[float, ...] = (0.1, 0.2)
     bins: int = 10
     bootstrap: int = 2000

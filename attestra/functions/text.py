@@ -55,11 +55,11 @@ def norm_name(value: Column) -> Column:
 
 
 def norm_dob(value: Column) -> Column:
-    """The first yyyy-mm-dd or yyyy/mm/dd that is a real date, as ISO text; '' otherwise."""
+    """The first yyyymmdd, with or without - or / between its parts, as ISO text if it is a real date; '' otherwise."""
     text = strip_prefix(upper_ascii(value))
-    parts = [F.regexp_extract(text, r"(\d{4})[-/](\d{1,2})[-/](\d{1,2})", k) for k in (1, 2, 3)]
-    iso = F.concat_ws("-", parts[0], F.lpad(parts[1], 2, "0"), F.lpad(parts[2], 2, "0"))
-    return F.coalesce(F.date_format(F.try_to_date(F.nullif(iso, F.lit("-00-00")), "yyyy-MM-dd"), "yyyy-MM-dd"), F.lit(""))
+    parts = [F.regexp_extract(text, r"([0-9]{4})[-/]?([0-9]{2})[-/]?([0-9]{2})", k) for k in (1, 2, 3)]
+    iso = F.when((parts[0] != "") & (parts[0] != "0000"), F.concat_ws("-", *parts))
+    return F.coalesce(F.date_format(F.try_to_date(iso, "yyyy-MM-dd"), "yyyy-MM-dd"), F.lit(""))
 
 
 def norm_address(value: Column) -> Column:
@@ -125,10 +125,18 @@ def bucket(key: Column, n: int = 5) -> Column:
 
 
 def register_functions(spark: SparkSession) -> None:
-    """SQL names for the scalars that Spark has no built-in for."""
+    """SQL names for the scalars: the similarities and the fold as Arrow functions, the normalisers as SQL expressions of these."""
     spark.udf.register("attestra_fold", _fold_any)
     spark.udf.register("jaro_winkler", _pairwise(True))
     spark.udf.register("jaro_winkler_floor", _pairwise(False))
+    prefix = f"^(?:{'|'.join(PREFIXES)})"
+    plain = f"regexp_replace(attestra_fold(coalesce(x, '')), '{prefix}', '')"
+    streets = "map(" + ", ".join(f"'{v}'" for kv in STREET.items() for v in kv) + ")"
+    day = "([0-9]{4})[-/]?([0-9]{2})[-/]?([0-9]{2})"
+    iso = "concat_ws('-', " + ", ".join(f"regexp_extract({plain}, '{day}', {k})" for k in (1, 2, 3)) + ")"
+    spark.sql(f"create or replace temporary function attestra_norm_name(x string) returns string return regexp_replace({plain}, '[^A-Z0-9]', '')")
+    spark.sql(f"create or replace temporary function attestra_norm_dob(x string) returns string return coalesce(date_format(try_to_date(nullif({iso}, '--'), 'yyyy-MM-dd'), 'yyyy-MM-dd'), '')")
+    spark.sql(f"create or replace temporary function attestra_norm_address(x string) returns string return array_join(transform(regexp_extract_all({plain}, '[A-Z0-9]+', 0), w -> coalesce(try_element_at({streets}, w), w)), ' ')")
 
 
 def with_normalized(df: DataFrame, first: str, last: str, dob: str | None = None, address: str | None = None) -> DataFrame:

@@ -11,8 +11,9 @@ from attestra.config import CLASSES, HOME_STATE, SOURCES
 
 #: State names that a search understands. Fixed values.
 STATES = {
-    "delaware": "DE", "pennsylvania": "PA", "new jersey": "NJ", "maryland": "MD", "virginia": "VA", "new york": "NY", "florida": "FL", "texas": "TX",
-    "california": "CA", "ohio": "OH", "north carolina": "NC", "georgia": "GA",
+    "delaware": "DE", "pennsylvania": "PA", "maryland": "MD", "new jersey": "NJ",
+    "virginia": "VA", "new york": "NY", "ohio": "OH", "west virginia": "WV",
+    "north carolina": "NC", "florida": "FL", "texas": "TX", "district of columbia": "DC",
 }
 #: Raw sources of the first snapshot. Fixed values.
 RAW_SOURCES = {
@@ -26,10 +27,10 @@ def state_class(state: Column, home: str = HOME_STATE) -> Column:
 
 
 def canonical_source(phase: Column, source: Column, domain: Column) -> Column:
-    """T0 rows by their table, T1 rows by their domain; what is unknown is external."""
+    """T0 rows by their table, which keeps its name if it is not known; T1 rows by their domain, external if it is not known."""
     names = F.create_map(*[F.lit(x) for kv in RAW_SOURCES.items() for x in kv])
     known = F.when(F.lower(F.trim(domain)).isin(*SOURCES), F.lower(F.trim(domain)))
-    return F.when(phase == "T1", F.coalesce(known, F.lit("external"))).otherwise(F.coalesce(F.try_element_at(names, source), F.when(source.isin(*SOURCES), source), F.lit("external")))
+    return F.when(phase == "T1", F.coalesce(known, F.lit("external"))).otherwise(F.coalesce(F.try_element_at(names, source), source))
 
 
 def safe_ratio(a: Column, b: Column) -> Column:
@@ -53,11 +54,11 @@ def argmax_class(p: list[Column]) -> Column:
     return out
 
 
-def tempered(p: list[Column], t: float, floor: float = 1e-12) -> list[Column]:
+def tempered(p: list[Column], t: float | Column, floor: float = 1e-12) -> list[Column]:
     """Clip, log, divide by the temperature, softmax."""
     clipped = [F.greatest(F.least(x, F.lit(1.0)), F.lit(floor)) for x in p]
     total = sum(clipped[1:], clipped[0])
-    logs = [F.log(x / total) / F.lit(float(t)) for x in clipped]
+    logs = [F.log(x / total) / (t if isinstance(t, Column) else F.lit(float(t))) for x in clipped]
     top = F.greatest(*logs)
     e = [F.exp(x - top) for x in logs]
     z = sum(e[1:], e[0])

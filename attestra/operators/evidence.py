@@ -14,6 +14,7 @@ from attestra.functions.values import decay, safe_ratio, state_class
 
 KEY = "candidate_record_id"
 
+#: Columns whose change between phases is a feature. Fixed values.
 DELTAS = """linked_record_count oos_count_total de_count_total distinct_oos_states days_since_latest_oos days_since_latest_de
 source_diversity state_missing_ratio cross_source_conflict_count link_confidence_mean low_confidence_link_share oos_decay_90d de_decay_90d
 oos_decay_365d de_decay_365d latest_source_oos_count latest_source_de_count active_address_oos_count recent_latest_source_oos_count_365d
@@ -147,7 +148,7 @@ def phase_features(candidates: DataFrame, events: DataFrame, phase: str, updates
     v, c = title & oos & since.isNotNull(), lic & oos & since.isNotNull()
     past, moved = since > grace, since >= 0
     strong = F.col("event_type").isin("title_record", "ownership_change") | (F.col("record_action") == "new_record")
-    same = (F.col("prior") != "") & (F.upper(F.trim("state")) == F.col("prior"))
+    same = (F.col("prior") != "") & (F.upper("state") == F.col("prior"))
     a |= {
         "pre_de_proxy_oos_vehicle_signal_count": _n(v & (since < 0)), "within_60d_oos_vehicle_signal_count": _n(v & since.between(0, grace)), "post_60d_oos_vehicle_signal_count": _n(v & past),
         "_v": F.max(F.when(v & past, since - grace)), "within_60d_active_oos_credential_signal_count": _n(c & active & since.between(0, grace)), "post_60d_active_oos_credential_signal_count": _n(c & active & past),

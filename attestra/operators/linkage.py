@@ -1,25 +1,28 @@
 """Tiered record linkage: blocking joins, similarity, decisions, the vehicle bridge, audits.
 
-Every resolver works on distinct keys, then joins back, so a name that a
-million rows share is scored once. Blocks are unions of equi-joins; no join
-compares all names.
+Every resolver works on distinct keys and on distinct candidate names, so a
+name that a million rows or candidates share is scored once. Blocks are unions
+of equi-joins; no join compares all names. The joins emit pairs of names that
+are dealt anew, by the whole pair, before any is scored.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from attestra.config import LinkageRules
-from attestra.functions.text import bucket, similarity, with_normalized
+from attestra.config import REASONS, SOURCE_SPECS, LinkageRules, SourceSpec
+from attestra.functions.text import bucket, clean_text, similarity, with_normalized
 from attestra.sources.stages import barrier
 
 DECISION = [
-    "candidate_record_id", "link_confidence", "link_tier", "link_method", "first_similarity", "last_similarity", "name_similarity",
+    "candidate_record_id", "link_confidence", "link_tier", "link_method", "first_name_similarity", "last_name_similarity", "name_similarity",
     "dob_match", "address_match", "candidate_pool_size", "runner_up_margin", "ambiguity_reason",
 ]
+#: Columns that a source may have and that the unified table keeps, '' where it has none.
+EXTRAS = ["record_action", "event_type", "source_type", "signal_type", "evidence_quality", "credential_status", "effective_end_date", "source_description"]
 _R = LinkageRules()
 
 
@@ -29,6 +32,11 @@ def candidate_index(candidates: DataFrame) -> DataFrame:
     return c.select(F.col("candidate_record_id").alias("id"), F.col("nf").alias("cf"), F.col("nl").alias("cl"), F.col("nd").alias("cd"), F.col("na").alias("ca"))
 
 
+def candidate_names(index: DataFrame, *by: str) -> DataFrame:
+    """Distinct names (within ``by``), with how many candidates have each and the last of their ids: (*by, cf, cl, n, id)."""
+    return index.groupBy(*by, "cf", "cl").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("id"))
+
+
 def scored(pairs: DataFrame, rules: LinkageRules = _R) -> DataFrame:
     """Adds fs, ls and s to pairs of (nf, nl) and (cf, cl). Equal words stay in the JVM, and a batch compares each pair of words once."""
     out = pairs.withColumn("fs", similarity(F.col("nf"), F.col("cf"), rules.transposition)).withColumn("ls", similarity(F.col("nl"), F.col("cl"), rules.transposition))
@@ -36,21 +44,26 @@ def scored(pairs: DataFrame, rules: LinkageRules = _R) -> DataFrame:
 
 
 def best_of(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """The best candidate of each pool, its size, and the margin to the next (the whole score for a pool of one). Ties by id."""
+    """The best candidate of each pool of names, the pool's size in candidates, and the margin to the next (the whole score for a pool of one).
+
+    Equal scores go to the last id; a name that several candidates have is its own runner-up.
+    """
     w = Window.partitionBy(*keys)
-    order = w.orderBy(F.desc("s"), F.desc("fs"), F.desc("ls"), "id")
-    ranked = pairs.withColumn("k", F.row_number().over(order)).withColumn("next", F.lead("s").over(order)).withColumn("pool", F.count(F.lit(1)).over(w))
+    order = w.orderBy(F.desc("s"), F.desc("fs"), F.desc("ls"), F.desc("id"))
+    ranked = pairs.withColumn("k", F.row_number().over(order)).withColumn("next", F.when(F.col("n") > 1, F.col("s")).otherwise(F.lead("s").over(order))).withColumn("pool", F.sum("n").over(w))
     return ranked.where("k = 1").select(*keys, "id", "cf", "cl", "fs", "ls", "s", F.col("pool").cast("int"), (F.col("s") - F.coalesce("next", F.lit(0.0))).alias("margin"))
 
 
-def _decision(linked: Column, confidence: Column, tier: Column, method: Column, reason: Column, dob: Column | int = 0, address: Column | int = 0, raw: Column | None = None) -> list[Column]:
-    r = (lambda x: F.round(x, 6)) if raw is None else (lambda x: F.when(raw, x).otherwise(F.round(x, 6)))
+def _decision(linked: Column, confidence: Column, tier: Column, method: Column, dob: Column | int = 0, address: Column | int = 0, raw: Column | None = None) -> list[Column]:
+    """The twelve columns of a decision from id, fs, ls, s, pool and margin. Scores have six places, half to even, but for ``raw`` rows."""
+    six = (lambda x: F.bround(x, 6)) if raw is None else (lambda x: F.when(raw, x).otherwise(F.bround(x, 6)))
     lit = lambda x: x if isinstance(x, Column) else F.lit(x)
+    why = F.try_element_at(F.create_map(*[F.lit(x) for kv in REASONS.items() for x in kv]), method)
     return [
-        F.when(linked, F.col("id")).alias("candidate_record_id"), r(F.coalesce(confidence, F.lit(0.0))).alias("link_confidence"), F.when(linked, tier).otherwise("UNRESOLVED").alias("link_tier"),
-        method.alias("link_method"), r(F.coalesce("fs", F.lit(0.0))).alias("first_similarity"), r(F.coalesce("ls", F.lit(0.0))).alias("last_similarity"), r(F.coalesce("s", F.lit(0.0))).alias("name_similarity"),
-        lit(dob).cast("int").alias("dob_match"), lit(address).cast("int").alias("address_match"), F.coalesce("pool", F.lit(0)).alias("candidate_pool_size"), r(F.coalesce("margin", F.lit(0.0))).alias("runner_up_margin"),
-        F.when(linked, "").otherwise(reason).alias("ambiguity_reason"),
+        F.when(linked, F.col("id")).alias("candidate_record_id"), six(F.coalesce(confidence, F.lit(0.0))).alias("link_confidence"), F.when(linked, tier).otherwise("UNRESOLVED").alias("link_tier"),
+        method.alias("link_method"), six(F.coalesce("fs", F.lit(0.0))).alias("first_name_similarity"), six(F.coalesce("ls", F.lit(0.0))).alias("last_name_similarity"), six(F.coalesce("s", F.lit(0.0))).alias("name_similarity"),
+        lit(dob).cast("int").alias("dob_match"), lit(address).cast("int").alias("address_match"), F.coalesce("pool", F.lit(0)).cast("int").alias("candidate_pool_size"), six(F.coalesce("margin", F.lit(0.0))).alias("runner_up_margin"),
+        F.when(linked, "").otherwise(F.coalesce(why, F.lit(""))).alias("ambiguity_reason"),
     ]
 
 
@@ -65,11 +78,17 @@ def _ladder(*steps: tuple[Column, object]) -> Column:
     return out
 
 
+def _anchored(queries: DataFrame, index: DataFrame, key: str, of: str, rules: LinkageRules) -> DataFrame:
+    """Distinct (nf, nl, key) with the best candidate that has the key; a key of many candidates is met by name."""
+    q = queries.select("nf", "nl", key).distinct()
+    names = candidate_names(index.where(F.col(of) != ""), of)
+    pairs = q.where(_named() & (F.col(key) != "")).join(names, F.col(key) == F.col(of)).distinct()
+    return q.join(best_of(scored(pairs, rules), ["nf", "nl", key]), ["nf", "nl", key], "left")
+
+
 def dob_anchor(queries: DataFrame, index: DataFrame, rules: LinkageRules = _R) -> DataFrame:
     """Decisions for distinct (nf, nl, nd): candidates born that day, by name."""
-    q = queries.select("nf", "nl", "nd").distinct()
-    pairs = q.where(_named() & (F.col("nd") != "")).join(index, F.col("nd") == F.col("cd"))
-    b = q.join(best_of(scored(pairs, rules), ["nf", "nl", "nd"]), ["nf", "nl", "nd"], "left")
+    b = _anchored(queries, index, "nd", "cd", rules)
     s, fs, ls, m, one = F.col("s"), F.col("fs"), F.col("ls"), F.col("margin"), F.col("pool") == 1
     exact = (F.col("nf") == F.col("cf")) & (F.col("nl") == F.col("cl"))
     fuzzy = (s >= rules.dob_combined) & (fs >= rules.dob_first) & (ls >= rules.dob_last) & (one | (m >= rules.dob_margin))
@@ -77,35 +96,36 @@ def dob_anchor(queries: DataFrame, index: DataFrame, rules: LinkageRules = _R) -
     linked = _named() & F.coalesce(exact | fuzzy | unique, F.lit(False))
     conf = _ladder((~_named() | s.isNull(), F.lit(0.0)), (exact, rules.exact_dob_score), (fuzzy, rules.fuzzy_dob_score), (unique, rules.unique_dob_score)).otherwise(s)
     method = _ladder((~_named(), "missing_name"), (s.isNull(), "dob_anchor_unavailable"), (exact, "exact_name_and_dob"), (fuzzy, "fuzzy_name_and_exact_dob"), (unique, "unique_dob_and_acceptable_name")).otherwise("dob_name_conflict")
-    return b.select("nf", "nl", "nd", *_decision(linked, conf, F.lit("A"), method, method, dob=F.coalesce(s.isNotNull(), F.lit(False)).cast("int")))
+    return b.select("nf", "nl", "nd", *_decision(linked, conf, F.lit("A"), method, dob=F.coalesce(s.isNotNull(), F.lit(False)).cast("int")))
 
 
 def address_anchor(queries: DataFrame, index: DataFrame, rules: LinkageRules = _R) -> DataFrame:
     """Decisions for distinct (nf, nl, na): candidates at that address, by name."""
-    q = queries.select("nf", "nl", "na").distinct()
-    pairs = q.where(_named() & (F.col("na") != "")).join(index, F.col("na") == F.col("ca"))
-    b = q.join(best_of(scored(pairs, rules), ["nf", "nl", "na"]), ["nf", "nl", "na"], "left")
+    b = _anchored(queries, index, "na", "ca", rules)
     s, one = F.col("s"), F.col("pool") == 1
     unique = one & (s >= rules.unique_combined) & (F.col("fs") >= rules.unique_first) & (F.col("ls") >= rules.unique_last)
     shared = ~one & (s >= rules.shared_address_combined) & (F.col("margin") >= rules.shared_address_margin)
     linked = _named() & F.coalesce(unique | shared, F.lit(False))
     conf = _ladder((~_named() | s.isNull(), F.lit(0.0)), (unique, rules.exact_address_score), (shared, rules.shared_address_score)).otherwise(s)
     method = _ladder((~_named(), "missing_name"), (s.isNull(), "address_anchor_unavailable"), (unique, "exact_unique_address_and_name"), (shared, "shared_address_resolved_by_name")).otherwise("address_name_conflict")
-    return b.select("nf", "nl", "na", *_decision(linked, conf, F.lit("B"), method, method, address=s.isNotNull().cast("int")))
+    return b.select("nf", "nl", "na", *_decision(linked, conf, F.lit("B"), method, address=s.isNotNull().cast("int")))
 
 
 def learn_aliases(decisions: DataFrame, rules: LinkageRules = _R) -> DataFrame:
     """(nf, nl, ids): candidates that strong anchors gave a name to."""
-    strong = decisions.where(F.col("candidate_record_id").isNotNull() & (F.col("link_confidence") >= rules.alias_confidence))
+    strong = decisions.where(_named() & F.col("candidate_record_id").isNotNull() & (F.col("link_confidence") >= rules.alias_confidence))
     return strong.groupBy("nf", "nl").agg(F.sort_array(F.collect_set("candidate_record_id")).alias("ids"))
 
 
-def block_pairs(names: DataFrame, index: DataFrame) -> DataFrame:
-    """Candidates with an equal first or last name; only where there is none, with an equal beginning of one."""
-    ix = index.select("id", "cf", "cl")
-    near = names.join(ix, F.col("nf") == F.col("cf")).union(names.join(ix, F.col("nl") == F.col("cl"))).distinct()
-    rest = names.join(near.select("nf", "nl").distinct(), ["nf", "nl"], "left_anti")
-    far = rest.join(ix, F.substring("nf", 1, 3) == F.substring("cf", 1, 3)).union(rest.join(ix, F.substring("nl", 1, 4) == F.substring("cl", 1, 4))).distinct()
+def block_pairs(queries: DataFrame, names: DataFrame) -> DataFrame:
+    """Candidate names with an equal first or last name; only where there is none, with an equal beginning of one.
+
+    Each pair comes once. Where a common name makes a block large, the join is
+    split at run time, and the distinct pairs are dealt by all of their words.
+    """
+    near = queries.join(names, F.col("nf") == F.col("cf")).union(queries.join(names, F.col("nl") == F.col("cl"))).distinct()
+    rest = queries.join(near.select("nf", "nl").distinct(), ["nf", "nl"], "left_anti")
+    far = rest.join(names, F.substring("nf", 1, 3) == F.substring("cf", 1, 3)).union(rest.join(names, F.substring("nl", 1, 4) == F.substring("cl", 1, 4))).distinct()
     return near.unionByName(far)
 
 
@@ -115,26 +135,24 @@ def resolve_names(queries: DataFrame, index: DataFrame, aliases: DataFrame, rule
     Cheap tiers run first; only names that they leave open are blocked and scored.
     """
     q = queries.select("nf", "nl").distinct()
-    exact = index.groupBy(F.col("cf").alias("nf"), F.col("cl").alias("nl")).agg(F.sort_array(F.collect_set("id")).alias("same"))
+    names = candidate_names(index)
+    exact = names.select(F.col("cf").alias("nf"), F.col("cl").alias("nl"), F.col("n").alias("same"), F.col("id").alias("same_id"))
     q = q.join(aliases, ["nf", "nl"], "left").join(exact, ["nf", "nl"], "left")
-    n_alias, n_same = F.coalesce(F.size("ids"), F.lit(0)), F.coalesce(F.size("same"), F.lit(0))
-    q = q.withColumn("na_", F.when(n_alias > 0, n_alias).otherwise(0)).withColumn("ns_", F.when(n_same > 0, n_same).otherwise(0))
+    q = q.withColumn("na_", F.when(F.col("ids").isNotNull(), F.size("ids")).otherwise(0)).withColumn("ns_", F.coalesce("same", F.lit(0)))
     short = F.least(F.length("nf"), F.length("nl")) < rules.fuzzy_length
     open_ = q.where(_named() & (F.col("na_") == 0) & (F.col("ns_") == 0) & ~short).select("nf", "nl")
-    pool = best_of(scored(block_pairs(open_, index), rules), ["nf", "nl"])
+    pool = best_of(scored(block_pairs(open_, names), rules), ["nf", "nl"])
     # an alias is scored against its candidate too
     known = q.where(_named() & (F.col("na_") == 1)).select("nf", "nl", F.get("ids", F.lit(0)).alias("id")).join(index.select("id", "cf", "cl"), "id")
     alias = scored(known, rules).select("nf", "nl", F.struct("id", "fs", "ls", "s").alias("alias"))
     b = q.join(pool, ["nf", "nl"], "left").join(alias, ["nf", "nl"], "left")
     is_alias, is_exact = F.col("na_") == 1, (F.col("na_") == 0) & (F.col("ns_") == 1)
-    b = (
-        b.withColumn("id", F.when(is_alias, F.col("alias.id")).when(is_exact, F.get("same", F.lit(0))).otherwise(F.col("id")))
-        .withColumn("fs", F.when(is_alias, F.col("alias.fs")).when(F.col("na_") == 0, F.when(F.col("ns_") > 0, 1.0).otherwise(F.col("fs"))))
-        .withColumn("ls", F.when(is_alias, F.col("alias.ls")).when(F.col("na_") == 0, F.when(F.col("ns_") > 0, 1.0).otherwise(F.col("ls"))))
-        .withColumn("s", F.when(is_alias, F.col("alias.s")).when(F.col("na_") == 0, F.when(F.col("ns_") > 0, 1.0).otherwise(F.col("s"))))
-        .withColumn("pool", F.when(F.col("na_") > 0, F.col("na_")).when(F.col("ns_") > 0, F.col("ns_")).otherwise(F.col("pool")))
-        .withColumn("margin", F.when(is_alias | is_exact, F.col("s")).when((F.col("na_") > 1) | (F.col("ns_") > 1), 0.0).otherwise(F.col("margin")))
-    )
+    part = lambda c: F.when(is_alias, F.col(f"alias.{c}")).when(F.col("na_") == 0, F.when(F.col("ns_") > 0, 1.0).otherwise(F.col(c)))
+    b = b.select(
+        "nf", "nl", "na_", "ns_", F.when(is_alias, F.col("alias.id")).when(is_exact, F.col("same_id")).otherwise(F.col("id")).alias("id"), *[part(c).alias(c) for c in ("fs", "ls", "s")],
+        F.when(F.col("na_") > 0, F.col("na_")).when(F.col("ns_") > 0, F.col("ns_")).otherwise(F.col("pool")).alias("pool"),
+        F.when(is_alias | is_exact, 1.0).when((F.col("na_") > 1) | (F.col("ns_") > 1), 0.0).otherwise(F.col("margin")).alias("margin"),
+    )
     s, fs, ls = F.col("s"), F.col("fs"), F.col("ls")
     fuzzy = (s >= rules.name_combined) & (F.least(fs, ls) >= rules.name_each) & (F.col("margin") >= rules.name_margin)
     steps = [
@@ -146,7 +164,9 @@ def resolve_names(queries: DataFrame, index: DataFrame, aliases: DataFrame, rule
     conf = _ladder(*[(c, F.lit(float(x))) for c, _, x, *_ in steps]).otherwise(s)
     linked = _ladder(*[(c, F.lit(y)) for c, _, _, y, _ in steps]).otherwise(F.lit(False))
     tier = _ladder(*[(c, t) for c, *_, t in steps]).otherwise("UNRESOLVED")
-    return b.select("nf", "nl", *_decision(linked, conf, tier, method, method))
+    # a name that is missing has no scores and no pool, whatever shares it
+    clear = [F.when(_named(), F.col(c)).alias(c) for c in ("id", "fs", "ls", "s", "pool", "margin")]
+    return b.select("nf", "nl", "na_", "ns_", *clear).select("nf", "nl", *_decision(linked, conf, tier, method))
 
 
 def prefer_anchor(rows: DataFrame, anchor: DataFrame, names: DataFrame, keys: list[str]) -> DataFrame:
@@ -157,30 +177,40 @@ def prefer_anchor(rows: DataFrame, anchor: DataFrame, names: DataFrame, keys: li
     return out.withColumn("_d", d).select(*rows.columns, *[F.col(f"_d.{c}").alias(c) for c in DECISION])
 
 
-def vehicle_owners(titles: DataFrame, rules: LinkageRules = _R) -> DataFrame:
-    """Per vehicle: ids of strong links and of all links."""
-    linked = F.col("candidate_record_id").isNotNull()
-    return titles.where("vehicle_ref <> ''").groupBy("vehicle_ref").agg(
-        F.collect_set(F.when(linked & (F.col("link_confidence") >= rules.bridge_confidence), F.col("candidate_record_id"))).alias("strong"),
-        F.collect_set(F.when(linked, F.col("candidate_record_id"))).alias("linked"),
-    )
+def vehicle_anchors(titles: DataFrame, rules: LinkageRules = _R) -> DataFrame:
+    """Per vehicle with a link: strong rows, and the least and greatest id of strong and of all links; so no set is gathered."""
+    linked = titles.where((F.col("vehicle_ref") != "") & F.col("candidate_record_id").isNotNull())
+    strong = F.when(F.col("link_confidence") >= rules.bridge_confidence, F.col("candidate_record_id"))
+    return linked.groupBy("vehicle_ref").agg(F.count(strong).alias("strong_rows"), F.min(strong).alias("strong"), F.max(strong).alias("strong_hi"), F.min("candidate_record_id").alias("linked"), F.max("candidate_record_id").alias("linked_hi"))
+
+
+def _eligible() -> Column:
+    return F.col("strong").isNotNull() & (F.col("strong") == F.col("strong_hi")) & (F.col("linked") == F.col("linked_hi"))
+
+
+def owner_fit(open_: DataFrame, index: DataFrame, rules: LinkageRules = _R) -> DataFrame:
+    """Names (nf, nl, owner) that support their owner: fs, ls, s, and the margin m to the best other candidate of the name's block."""
+    open_ = open_.where(_named())
+    mine = scored(open_.join(index.select(F.col("id").alias("owner"), "cf", "cl"), "owner"), rules)
+    mine = mine.select("nf", "nl", "owner", F.col("cf").alias("of"), F.col("cl").alias("ol"), "fs", "ls", "s")
+    strong = mine.where((F.col("s") >= rules.bridge_combined) & (F.col("fs") >= rules.bridge_each) & (F.col("ls") >= rules.bridge_each))
+    block = scored(block_pairs(strong.select("nf", "nl").distinct(), candidate_names(index)), rules).select("nf", "nl", "cf", "cl", "n", F.col("s").alias("other"))
+    own_name = (F.col("cf") == F.col("of")) & (F.col("cl") == F.col("ol"))
+    rival = strong.join(block, ["nf", "nl"]).where(~own_name | (F.col("n") > 1)).groupBy("nf", "nl", "owner").agg(F.max("other").alias("rival"))
+    fit = strong.join(rival, ["nf", "nl", "owner"], "left").withColumn("m", F.col("s") - F.coalesce("rival", F.lit(0.0)))
+    return fit.where(F.col("m") >= rules.bridge_margin).select("nf", "nl", "owner", "fs", "ls", "s", "m")
 
 
 def bridge_titles(titles: DataFrame, index: DataFrame, rules: LinkageRules = _R) -> DataFrame:
     """Links title rows of vehicles whose linked rows agree on one strong owner, if the name fits it and no one else in its block as well."""
-    own = vehicle_owners(titles, rules).where("size(strong) = 1 and size(linked) <= 1").select("vehicle_ref", F.get("strong", F.lit(0)).alias("owner"), F.size("linked").alias("owners"))
+    own = vehicle_anchors(titles, rules).where(_eligible()).select("vehicle_ref", F.col("strong").alias("owner"))
     rows = titles.join(own, "vehicle_ref", "left")
-    open_ = rows.where(F.col("candidate_record_id").isNull() & F.col("owner").isNotNull() & _named()).select("nf", "nl", "owner").distinct()
-    mine = scored(open_.join(index.select(F.col("id").alias("owner"), "cf", "cl"), "owner"), rules).select("nf", "nl", "owner", "fs", "ls", "s")
-    block = scored(block_pairs(open_.select("nf", "nl").distinct(), index), rules).select("nf", "nl", "id", F.col("s").alias("other"))
-    rival = open_.join(block, ["nf", "nl"]).where("id <> owner").groupBy("nf", "nl", "owner").agg(F.max("other").alias("rival"))
-    fit = mine.join(rival, ["nf", "nl", "owner"], "left").withColumn("m", F.col("s") - F.coalesce("rival", F.lit(0.0)))
-    fit = fit.where((F.col("s") >= rules.bridge_combined) & (F.col("fs") >= rules.bridge_each) & (F.col("ls") >= rules.bridge_each) & (F.col("m") >= rules.bridge_margin))
+    fit = owner_fit(rows.where(F.col("candidate_record_id").isNull() & F.col("owner").isNotNull()).select("nf", "nl", "owner").distinct(), index, rules)
     out = rows.join(fit.withColumn("hit", F.lit(True)), ["nf", "nl", "owner"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)) & F.col("candidate_record_id").isNull())
     new = {
         "candidate_record_id": F.col("owner"), "link_confidence": F.lit(rules.bridge_score), "link_tier": F.lit("A"), "link_method": F.lit("unanimous_t0_vehicle_ref_with_strong_name"),
-        "first_similarity": F.round("fs", 6), "last_similarity": F.round("ls", 6), "name_similarity": F.round("s", 6), "dob_match": F.col("dob_match"), "address_match": F.col("address_match"),
-        "candidate_pool_size": F.col("owners"), "runner_up_margin": F.round("m", 6), "ambiguity_reason": F.lit(""),
+        "first_name_similarity": F.bround("fs", 6), "last_name_similarity": F.bround("ls", 6), "name_similarity": F.bround("s", 6), "dob_match": F.lit(0), "address_match": F.lit(0),
+        "candidate_pool_size": F.lit(1), "runner_up_margin": F.bround("m", 6), "ambiguity_reason": F.lit(""),
     }
     return out.select(*[(F.when(F.col("hit"), new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c)) for c in titles.columns])
 
@@ -189,68 +219,142 @@ def resolve_updates(updates: DataFrame, names: DataFrame, titles: DataFrame, ind
     """Updates by name, and title updates by the owner that tier A and B links give their vehicle.
 
     ``updates`` has source_domain, vehicle_ref, nf, nl; ``titles`` are bridged.
+    A vehicle of one owner links unless the name's own link or its score
+    speaks against it; one of several owners stays open, with the name's scores.
     """
-    owners = titles.where("vehicle_ref <> '' and link_tier in ('A', 'B')").groupBy("vehicle_ref").agg(F.collect_set("candidate_record_id").alias("owners"))
+    owners = titles.where("vehicle_ref <> '' and candidate_record_id is not null and link_tier in ('A', 'B')").groupBy("vehicle_ref").agg(F.countDistinct("candidate_record_id").alias("owners"), F.min("candidate_record_id").alias("owner"))
     u = updates.join(names.select("nf", "nl", F.struct(*DECISION).alias("n")), ["nf", "nl"], "left").join(owners, "vehicle_ref", "left")
-    n_own = F.when((F.col("source_domain") == "title") & (F.col("vehicle_ref") != ""), F.coalesce(F.size("owners"), F.lit(0))).otherwise(0)
-    u = u.withColumn("n_own", F.greatest(n_own, F.lit(0))).withColumn("owner", F.when(F.col("n_own") == 1, F.get("owners", F.lit(0))))
+    by_vehicle = (F.col("source_domain") == "title") & (F.col("vehicle_ref") != "")
+    u = u.withColumn("n_own", F.when(by_vehicle, F.coalesce("owners", F.lit(0))).otherwise(0)).withColumn("owner", F.when(F.col("n_own") == 1, F.col("owner")))
     pair = u.where("owner is not null").select("nf", "nl", "owner").distinct().join(index.select(F.col("id").alias("owner"), "cf", "cl"), "owner")
     u = u.join(scored(pair, rules).select("nf", "nl", "owner", "fs", "ls", "s"), ["nf", "nl", "owner"], "left")
-    by_name = (F.col("n_own") == 0) | ~_named()
     many = F.col("n_own") > 1
-    clash = F.col("n.candidate_record_id").isNotNull() & (F.col("n.candidate_record_id") != F.col("owner"))
-    poor = F.col("s") < rules.vehicle_noncontradiction
-    good = ~by_name & ~many & ~clash & ~poor
-    v = u.withColumn("id", F.col("owner")).withColumn("pool", F.col("n_own")).withColumn("margin", F.when(good, F.col("s")).otherwise(0.0))
-    method = _ladder((many, "ambiguous_vehicle_ownership"), (clash, "vehicle_name_conflict"), (poor, "vehicle_name_noncontradiction_failed")).otherwise("known_vehicle_ref_with_noncontradictory_name")
-    conf = _ladder((many, F.lit(0.0)), (clash, F.lit(0.0)), (poor, F.col("s"))).otherwise(F.lit(rules.vehicle_score))
-    dec = _decision(good, conf, F.lit("A"), method, method, raw=poor & ~clash & ~many)
-    v = v.select(*updates.columns, "n", by_name.alias("by_name"), F.struct(*dec).alias("v"))
-    return v.withColumn("d", F.when(F.col("by_name"), F.col("n")).otherwise(F.col("v"))).select(*updates.columns, *[F.col(f"d.{c}").alias(c) for c in DECISION])
+    clash = ~many & F.coalesce(F.col("n.candidate_record_id") != F.col("owner"), F.lit(False))
+    poor = ~many & ~clash & (F.col("s") < rules.vehicle_noncontradiction)
+    good, by_name = ~many & ~clash & ~poor, many | clash
+    of_name = lambda n, c: F.when(by_name, F.col(f"n.{n}")).otherwise(F.col(c))
+    v = u.select(
+        *updates.columns, "n", "n_own", F.col("owner").alias("id"), by_name.alias("by_name"), good.alias("good"), poor.alias("poor"), many.alias("many"), clash.alias("clash"),
+        of_name("first_name_similarity", "fs").alias("fs"), of_name("last_name_similarity", "ls").alias("ls"), of_name("name_similarity", "s").alias("s"),
+        F.when(clash, 2).otherwise(F.col("n_own")).alias("pool"), F.when(good, 1.0).otherwise(0.0).alias("margin"),
+    )
+    method = _ladder((F.col("many"), "ambiguous_vehicle_ownership"), (F.col("clash"), "vehicle_name_conflict"), (F.col("poor"), "vehicle_name_noncontradiction_failed")).otherwise("known_vehicle_ref_with_noncontradictory_name")
+    conf = F.when(F.col("good"), F.lit(rules.vehicle_score)).otherwise(F.col("s"))
+    v = v.select(*updates.columns, "n", "n_own", F.struct(*_decision(F.col("good"), conf, F.lit("A"), method, raw=F.col("poor"))).alias("v"))
+    return v.withColumn("d", F.when(F.col("n_own") == 0, F.col("n")).otherwise(F.col("v"))).select(*updates.columns, *[F.col(f"d.{c}").alias(c) for c in DECISION])
+
+
+def standardize(rows: DataFrame, source: str, spec: SourceSpec, rules: LinkageRules = _R) -> DataFrame:
+    """A source's decided rows in the 29 columns of the unified table; a role or column that the source lacks is ''."""
+    role = lambda c: F.col(c) if c else F.lit("")
+    own = lambda c, default="": F.col(c) if c in rows.columns else F.lit(default)
+    return rows.select(
+        "candidate_record_id", F.lit(spec.phase).alias("phase"), F.lit(source).alias("source"), "source_record_id", own("source_domain", source).alias("source_domain"),
+        role(spec.event_date).alias("event_date"), role(spec.observed_date).alias("observed_date"), role(spec.state).alias("state"), role(spec.vehicle_ref).alias("vehicle_ref"),
+        *DECISION[1:], F.lit(rules.version).alias("link_rule_version"), *[own(c).alias(c) for c in EXTRAS],
+    )
 
 
 class LinkageRun:
-    """All stages in their order: anchors, aliases, names, bridge, updates. Each is a table that later ones read."""
-
-    def __init__(self, candidates: DataFrame, sources: dict[str, DataFrame], rules: LinkageRules = _R):
-        """``sources``: license, address, external, work, title, updates, with first_name, last_name and their keys."""
-        self.rules, self.index = rules, barrier(candidate_index(candidates), "index")
-        n = {k: barrier(with_normalized(d, "first_name", "last_name", "date_of_birth" if k == "license" else None, "street_address" if k == "address" else None), k) for k, d in sources.items()}
-        self.dob, self.address = barrier(dob_anchor(n["license"], self.index, rules), "dob"), barrier(address_anchor(n["address"], self.index, rules), "address")
-        anchors = self.dob.select("nf", "nl", *DECISION).unionByName(self.address.select("nf", "nl", *DECISION))
-        self.aliases = barrier(learn_aliases(anchors, rules), "aliases")
-        keys = reduce(DataFrame.union, [d.select("nf", "nl") for d in n.values()])
-        self.names = barrier(resolve_names(keys, self.index, self.aliases, rules), "names")
-        by_name = lambda d: d.join(self.names, ["nf", "nl"], "left").select(*d.columns, *DECISION)
-        self.license = prefer_anchor(n["license"], self.dob, self.names, ["nf", "nl", "nd"])
-        self.addresses = prefer_anchor(n["address"], self.address, self.names, ["nf", "nl", "na"])
-        self.external, self.work = by_name(n["external"]), by_name(n["work"])
-        self.titles = barrier(bridge_titles(by_name(n["title"]), self.index, rules), "titles")
-        self.updates = resolve_updates(n["updates"], self.names, self.titles, self.index, rules)
-
-    def decided(self) -> DataFrame:
-        """All rows of all sources: phase, source, source_record_id and the decision."""
-        parts = {"license": self.license, "address": self.addresses, "external": self.external, "work": self.work, "title": self.titles, "updates": self.updates}
-        out = [d.select(F.lit("T1" if k == "updates" else "T0").alias("phase"), F.lit(k).alias("source"), "source_record_id", *DECISION) for k, d in parts.items()]
-        return reduce(DataFrame.unionByName, out)
-
-
-def linkage_summary(decided: DataFrame) -> DataFrame:
+    """All stages in their order: anchors, aliases, names, bridge, updates. Each is a table that later ones read, made when it is first asked for."""
+
+    def __init__(self, candidates: DataFrame, sources: dict[str, DataFrame], rules: LinkageRules = _R, specs: dict[str, SourceSpec] = SOURCE_SPECS):
+        """``sources``: a table for each name in ``specs``."""
+        self.rules, self.specs, self.candidates, self.sources = rules, specs, candidates, sources
+
+    def _keys(self, source: str, dob: str | None = None, address: str | None = None) -> DataFrame:
+        spec, d = self.specs[source], self.sources[source]
+        out = with_normalized(d, spec.first, spec.last, dob, address)
+        return out.withColumn("vehicle_ref", clean_text(F.col(spec.vehicle_ref))) if spec.vehicle_ref else out
+
+    @cached_property
+    def index(self) -> DataFrame:
+        return barrier(candidate_index(self.candidates), "index")
+
+    @cached_property
+    def normalized(self) -> dict[str, DataFrame]:
+        keys = {"license_id_events": ("date_of_birth", None), "address_history": (None, "street_address")}
+        return {k: barrier(self._keys(k, *keys.get(k, (None, None))), k) for k in self.specs}
+
+    @cached_property
+    def dob(self) -> DataFrame:
+        return barrier(dob_anchor(self.normalized["license_id_events"], self.index, self.rules), "dob")
+
+    @cached_property
+    def address(self) -> DataFrame:
+        return barrier(address_anchor(self.normalized["address_history"], self.index, self.rules), "address")
+
+    @cached_property
+    def aliases(self) -> DataFrame:
+        return barrier(learn_aliases(self.dob.select("nf", "nl", *DECISION).unionByName(self.address.select("nf", "nl", *DECISION)), self.rules), "aliases")
+
+    @cached_property
+    def names(self) -> DataFrame:
+        keys = reduce(DataFrame.union, [d.select("nf", "nl") for d in self.normalized.values()])
+        return barrier(resolve_names(keys, self.index, self.aliases, self.rules), "names")
+
+    def _by_name(self, source: str) -> DataFrame:
+        d = self.normalized[source]
+        return d.join(self.names, ["nf", "nl"], "left").select(*d.columns, *DECISION)
+
+    @cached_property
+    def license(self) -> DataFrame:
+        return prefer_anchor(self.normalized["license_id_events"], self.dob, self.names, ["nf", "nl", "nd"])
+
+    @cached_property
+    def addresses(self) -> DataFrame:
+        return prefer_anchor(self.normalized["address_history"], self.address, self.names, ["nf", "nl", "na"])
+
+    @cached_property
+    def title_names(self) -> DataFrame:
+        """Titles before the bridge."""
+        return barrier(self._by_name("vehicle_title_events"), "title-names")
+
+    @cached_property
+    def titles(self) -> DataFrame:
+        return barrier(bridge_titles(self.title_names, self.index, self.rules), "titles")
+
+    @cached_property
+    def updates(self) -> DataFrame:
+        return resolve_updates(self.normalized["evidence_update_stream"], self.names, self.titles, self.index, self.rules)
+
+    @cached_property
+    def rows(self) -> dict[str, DataFrame]:
+        """Decided rows of each source."""
+        special = {"license_id_events": "license", "address_history": "addresses", "vehicle_title_events": "titles", "evidence_update_stream": "updates"}
+        return {k: getattr(self, special[k]) if k in special else self._by_name(k) for k in self.specs}
+
+    @cached_property
+    def unified(self) -> DataFrame:
+        """All rows of all sources in 29 columns."""
+        return barrier(reduce(DataFrame.unionByName, [standardize(d, k, self.specs[k], self.rules) for k, d in self.rows.items()]), "unified")
+
+    @property
+    def linked(self) -> DataFrame:
+        return self.unified.where("candidate_record_id is not null")
+
+    @property
+    def unresolved(self) -> DataFrame:
+        return self.unified.where("candidate_record_id is null")
+
+
+def linkage_summary(unified: DataFrame) -> DataFrame:
     linked = F.col("candidate_record_id").isNotNull()
-    return decided.groupBy("phase", "source").agg(
-        F.count(F.lit(1)).alias("records"), F.count_if(linked).alias("linked"), F.count_if(~linked).alias("unresolved"), F.avg(linked.cast("double")).alias("link_rate"),
-        *[F.count_if(F.col("link_tier") == t).alias(f"tier_{t.lower()}") for t in ("A", "B", "C")], F.countDistinct("candidate_record_id").alias("candidates"), F.avg(F.when(linked, F.col("link_confidence"))).alias("mean_confidence"),
+    return unified.groupBy("phase", "source").agg(
+        F.count(F.lit(1)).alias("total_records"), F.count_if(linked).alias("linked_records"), F.count_if(~linked).alias("unresolved_records"), F.bround(F.avg(linked.cast("double")), 6).alias("link_rate"),
+        *[F.count_if(F.col("link_tier") == t).alias(f"tier_{t.lower()}_records") for t in ("A", "B", "C")], F.countDistinct("candidate_record_id").alias("linked_candidate_coverage"),
+        F.coalesce(F.bround(F.avg(F.when(linked, F.col("link_confidence"))), 6), F.lit(0.0)).alias("mean_link_confidence"),
     )
 
 
-def linkage_methods(decided: DataFrame) -> DataFrame:
-    return decided.groupBy("phase", "source", "link_tier", "link_method").count()
+def linkage_methods(unified: DataFrame) -> DataFrame:
+    return unified.groupBy("phase", "source", "link_tier", "link_method").agg(F.count(F.lit(1)).alias("record_count"))
 
 
-def coverage(candidates: DataFrame, decided: DataFrame, names: list[str]) -> DataFrame:
+def coverage(candidates: DataFrame, unified: DataFrame, specs: dict[str, SourceSpec] = SOURCE_SPECS) -> DataFrame:
     """Linked rows per candidate and phase__source, zeros kept."""
-    c = decided.where("candidate_record_id is not null").withColumn("col", F.concat_ws("__", "phase", "source"))
-    wide = c.groupBy("candidate_record_id").pivot("col", names).count()
+    c = unified.where("candidate_record_id is not null").withColumn("col", F.concat_ws("__", F.lower("phase"), "source"))
+    wide = c.groupBy("candidate_record_id").pivot("col", [f"{s.phase.lower()}__{k}" for k, s in specs.items()]).count()
     return candidates.select("candidate_record_id").join(wide, "candidate_record_id", "left").na.fill(0)
 
 
@@ -258,31 +362,71 @@ def key_collisions(index: DataFrame) -> DataFrame:
     """How many names, birth dates and addresses several candidates share."""
     out = []
     for name, key in (("name", F.concat_ws("|", "cf", "cl")), ("dob", F.col("cd")), ("address", F.col("ca"))):
-        g = index.where(key != "").groupBy(key.alias("k")).agg(F.countDistinct("id").alias("n")).where("n > 1")
+        g = index.where(key != "").groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         out.append(g.agg(F.lit(name).alias("key_kind"), F.count(F.lit(1)).alias("shared_keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("candidates")))
     return reduce(DataFrame.union, out)
 
 
+def diagnostics(run: LinkageRun) -> DataFrame:
+    """Counts of a run, a row each: (name, value). Frequencies of methods are method:<name>."""
+    row = lambda df, **aggs: df.agg(*[x.cast("double").alias(k) for k, x in aggs.items()]).unpivot([], list(aggs), "name", "value")
+    some = lambda c: F.coalesce(F.count_if(c), F.lit(0))
+    linked = F.col("candidate_record_id").isNotNull()
+    own = vehicle_anchors(run.title_names, run.rules)
+    after = run.titles.where("vehicle_ref <> '' and candidate_record_id is not null and link_tier in ('A', 'B')").groupBy("vehicle_ref").agg(F.countDistinct("candidate_record_id").alias("n"))
+    open_rows = run.title_names.where("candidate_record_id is null").join(own.where(_eligible()).select("vehicle_ref"), "vehicle_ref", "left_semi")
+    bridged = F.col("link_method") == "unanimous_t0_vehicle_ref_with_strong_name"
+    parts = [
+        row(run.unified, source_record_count=F.count(F.lit(1)), linked_record_count=some(linked), unresolved_record_count=some(~linked), overall_link_rate=F.bround(F.avg(linked.cast("double")), 6), rows_recovered=some(bridged)),
+        row(run.candidates, candidate_count=F.count(F.lit(1))),
+        row(run.aliases, verified_alias_count=some(F.size("ids") == 1), ambiguous_verified_alias_count=some(F.size("ids") > 1)),
+        row(after, vehicle_ref_count=F.count(F.lit(1)), ambiguous_vehicle_ref_count=some(F.col("n") > 1)),
+        row(own, strong_anchor_rows=F.coalesce(F.sum("strong_rows"), F.lit(0)), vehicle_refs_with_strong_anchors=some(F.col("strong").isNotNull()), vehicle_refs_with_conflicting_strong_anchors=some(F.col("strong") != F.col("strong_hi")),
+            vehicle_refs_with_any_linked_owner_conflict=some(F.col("linked") != F.col("linked_hi")), vehicle_refs_eligible_for_bridge=some(_eligible())),
+        row(open_rows, unresolved_rows_on_eligible_vehicle_refs=F.count(F.lit(1))),
+        key_collisions(run.index).select(F.concat(F.lit("candidate_"), "key_kind", F.lit("_key_collisions")).alias("name"), F.col("shared_keys").cast("double").alias("value")),
+        run.unified.groupBy(F.concat(F.lit("method:"), "link_method").alias("name")).agg(F.count(F.lit(1)).cast("double").alias("value")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _audit(accepted: Column, right: Column) -> list[Column]:
+    n, ok = F.coalesce(F.sum(F.when(accepted, F.col("weight"))), F.lit(0)), F.coalesce(F.sum(F.when(accepted & right, F.col("weight"))), F.lit(0))
+    return [n.cast("long").alias("accepted"), ok.cast("long").alias("correct"), (n - ok).cast("long").alias("incorrect"), F.bround(F.try_divide(ok, n), 6).alias("precision")]
+
+
 def anchor_audit(license_rows: DataFrame, index: DataFrame, rules: LinkageRules = _R) -> DataFrame:
-    """Precision and coverage of name links on a fifth of tier A anchors, with aliases learnt from the others."""
-    a = license_rows.where("link_tier = 'A'").withColumn("fold", bucket(F.concat_ws("|", F.col("source_record_id").cast("string"), "nf", "nl", "nd")))
+    """Precision and coverage of name links on a fifth of tier A anchors, dealt by name, with aliases learnt from the others. ``license_rows`` have their anchors' decisions."""
+    a = license_rows.where("link_tier = 'A'").withColumn("fold", bucket(F.concat_ws("|", "nf", "nl"))).withColumn("weight", F.lit(1))
     names = resolve_names(a.where("fold = 0"), index, learn_aliases(a.where("fold <> 0"), rules), rules).select("nf", "nl", F.col("candidate_record_id").alias("guess"))
-    h = a.where("fold = 0").join(names, ["nf", "nl"], "left")
-    linked, right = F.count_if(F.col("guess").isNotNull()), F.count_if(F.col("guess") == F.col("candidate_record_id"))
-    return h.agg(F.count(F.lit(1)).alias("holdout"), linked.alias("accepted"), right.alias("correct"), F.try_divide(right, linked).alias("precision"), F.try_divide(linked, F.count(F.lit(1))).alias("coverage"))
+    h = a.join(names.withColumn("held", F.lit(True)), ["nf", "nl"], "left").withColumn("held", (F.col("fold") == 0) & F.coalesce("held", F.lit(False)))
+    holdout = F.count_if("held")
+    got = F.col("held") & F.col("guess").isNotNull()
+    accepted, *rest = _audit(got, F.col("guess") == F.col("candidate_record_id"))
+    return h.agg(F.count(F.lit(1)).alias("reference_rows"), holdout.alias("holdout_rows"), accepted, *rest, F.bround(F.try_divide(F.count_if(got), holdout), 6).alias("coverage"))
 
 
-def bridge_audit(titles: DataFrame, index: DataFrame, rules: LinkageRules = _R) -> DataFrame:
-    """Leaves each name of a vehicle out: the other rows must agree on one strong owner; is the name's link found again?"""
-    t = titles.where("vehicle_ref <> '' and candidate_record_id is not null")
-    strong = F.when(F.col("link_confidence") >= rules.bridge_confidence, F.col("candidate_record_id"))
-    alias = t.groupBy("vehicle_ref", "nf", "nl").agg(F.max("candidate_record_id").alias("truth"), F.collect_set(strong).alias("strong"), F.collect_set("candidate_record_id").alias("linked"))
-    rest = alias.select("vehicle_ref", F.col("nf").alias("of"), F.col("nl").alias("ol"), F.col("strong").alias("os"), F.col("linked").alias("ln"))
-    held = alias.join(rest, "vehicle_ref").where("nf <> of or nl <> ol").groupBy("vehicle_ref", "nf", "nl", "truth").agg(F.array_distinct(F.flatten(F.collect_list("os"))).alias("s"), F.array_distinct(F.flatten(F.collect_list("ln"))).alias("l"))
-    held = held.where("size(s) = 1 and size(l) = 1").select("vehicle_ref", "nf", "nl", "truth", F.get("s", F.lit(0)).alias("owner"))
-    pair = scored(held.join(index.select(F.col("id").alias("owner"), "cf", "cl"), "owner"), rules)
-    block = scored(block_pairs(held.select("nf", "nl").distinct(), index), rules).select("nf", "nl", "id", F.col("s").alias("other"))
-    rival = held.select("nf", "nl", "owner").distinct().join(block, ["nf", "nl"]).where("id <> owner").groupBy("nf", "nl", "owner").agg(F.max("other").alias("rival"))
-    ok = pair.join(rival, ["nf", "nl", "owner"], "left").where((F.col("s") >= rules.bridge_combined) & (F.col("fs") >= rules.bridge_each) & (F.col("ls") >= rules.bridge_each) & (F.col("s") - F.coalesce("rival", F.lit(0.0)) >= rules.bridge_margin))
-    right = F.count_if(F.col("truth") == F.col("owner"))
-    return ok.agg(F.count(F.lit(1)).alias("tested"), right.alias("correct"), (F.count(F.lit(1)) - right).alias("incorrect"), F.try_divide(right, F.count(F.lit(1))).alias("precision"))
+def bridge_audit(title_names: DataFrame, index: DataFrame, rules: LinkageRules = _R) -> DataFrame:
+    """Leaves each name of a vehicle out: the other rows must agree on one strong owner; is the name's link found again?
+
+    ``title_names`` are titles before the bridge, where a name has one
+    decision. What the others of a vehicle say is its totals without the
+    name's own part, so no two names of a vehicle are joined.
+    """
+    t = title_names.where("vehicle_ref <> '' and candidate_record_id is not null").withColumnRenamed("candidate_record_id", "truth")
+    alias = t.groupBy("vehicle_ref", "nf", "nl", "truth").agg(F.count(F.lit(1)).alias("weight"), (F.max("link_confidence") >= rules.bridge_confidence).alias("strong"))
+    by_id = alias.groupBy("vehicle_ref", "truth").agg(F.count_if("strong").alias("sa"), F.count(F.lit(1)).alias("la"))
+    has = F.when(F.col("sa") > 0, F.col("truth"))
+    total = by_id.groupBy("vehicle_ref").agg(F.count(has).alias("sn"), F.min(has).alias("slo"), F.max(has).alias("shi"), F.count(F.lit(1)).alias("ln"), F.min("truth").alias("llo"), F.max("truth").alias("lhi"))
+    h = alias.where("strong").join(by_id, ["vehicle_ref", "truth"]).join(total, "vehicle_ref")
+
+    def left(names: str, ids: str, lo: str, hi: str) -> Column:
+        """The only id that is left without this name, or null."""
+        other = F.when(F.col(lo) != F.col("truth"), F.col(lo)).otherwise(F.col(hi))
+        return F.when((F.col(names) > 1) & (F.col(ids) == 1), F.col("truth")).when((F.col(names) == 1) & (F.col(ids) == 2), other)
+
+    h = h.withColumn("owner", left("sa", "sn", "slo", "shi")).where(F.col("owner") == left("la", "ln", "llo", "lhi"))
+    fit = owner_fit(h.select("nf", "nl", "owner").distinct(), index, rules).select("nf", "nl", "owner")
+    ok = h.join(fit, ["nf", "nl", "owner"])
+    accepted, *rest = _audit(F.lit(True), F.col("truth") == F.col("owner"))
+    return ok.agg(accepted, *rest, F.countDistinct("vehicle_ref").alias("vehicle_refs_tested"))

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 P = ("p0", "p1", "p2")
-BINS = 1024
+#: Bins of a ranking, by approximate quantiles, so that each holds about as many distinct scores; ranks that a task makes at a time.
+BINS, CHUNK = 128, 4096
 
 
 def picked(p: tuple[str, ...] = P) -> Column:
@@ -21,6 +22,20 @@ def picked(p: tuple[str, ...] = P) -> Column:
     return (F.array_position(a, F.array_max(a)) - 1).cast("int")
 
 
+def normalized(p: tuple[str, ...] = P, floor: float = 1e-12) -> list[Column]:
+    """The probabilities clipped and divided by their sum."""
+    clipped = [F.greatest(F.least(F.col(c), F.lit(1.0)), F.lit(floor)) for c in p]
+    total = reduce(lambda a, b: a + b, clipped)
+    return [(x / total).alias(c) for x, c in zip(clipped, p, strict=True)]
+
+
+def blended(p: tuple[str, ...], q: tuple[str, ...], weight: Column) -> list[Column]:
+    """``q`` with a weight and ``p`` with the rest, divided by their sum."""
+    mixed = [weight * F.col(b) + (1 - weight) * F.col(a) for a, b in zip(p, q, strict=True)]
+    total = reduce(lambda a, b: a + b, mixed)
+    return [x / total for x in mixed]
+
+
 def log_loss_of(p: tuple[str, ...] = P, y: str = "y") -> Column:
     own = F.get(F.array(*p), F.col(y))
     return -F.log(F.greatest(F.least(own, F.lit(1 - 1e-15)), F.lit(1e-15)))
@@ -55,24 +70,47 @@ def calibration(df: DataFrame, conf: Column, right: Column, bins: int = 10) -> D
 
 
 def ece(table: DataFrame) -> DataFrame:
-    return table.agg((F.sum(F.col("n") * F.abs(F.col("accuracy") - F.col("confidence"))) / F.sum("n")).alias("ece"))
+    return table.agg(F.try_divide(F.sum(F.col("n") * F.abs(F.col("accuracy") - F.col("confidence"))), F.sum("n")).alias("ece"))
+
+
+BUNDLE = ("log_loss", "macro_f1", "accuracy", "brier_multiclass", "brier_macro_ovr", "ece_10bin")
+
+
+def bundle_by(df: DataFrame, by: list[str], p: tuple[str, ...] = P, bins: int = 10) -> DataFrame:
+    """The metrics of BUNDLE for each group: a first aggregate by confidence bin, a second over the few bins.
+
+    Macro F1 is the mean over classes that occur, as a label or as a guess.
+    """
+    d = df.select(*by, "y", *normalized(p))
+    k, conf = picked(p), F.greatest(*p)
+    place = reduce(lambda x, y: x + y, [(conf >= e * (1.0 / bins)).cast("int") for e in range(1, bins)])
+    d = d.select(*by, "y", k.alias("k"), conf.alias("c"), log_loss_of(p).alias("ll"), brier_of(p).alias("br"), place.alias("_bin"))
+    n_class = range(len(p))
+    cells = [x for j in n_class for x in (F.count_if(F.col("y") == j).alias(f"s{j}"), F.count_if(F.col("k") == j).alias(f"g{j}"), F.count_if((F.col("k") == j) & (F.col("y") == j)).alias(f"h{j}"))]
+    first = d.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c"), F.count_if(F.col("k") == F.col("y")).alias("r"), F.sum("ll").alias("ll"), F.sum("br").alias("br"), *cells)
+    n = F.sum("n")
+    f1 = [F.try_divide(2 * F.sum(f"h{j}"), F.sum(f"s{j}") + F.sum(f"g{j}")) for j in n_class]
+    macro = F.try_divide(reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(0.0)) for x in f1]), reduce(lambda a, b: a + b, [x.isNotNull().cast("int") for x in f1]))
+    return first.groupBy(*by).agg(
+        F.try_divide(F.sum("ll"), n).alias("log_loss"), macro.alias("macro_f1"), F.try_divide(F.sum("r"), n).alias("accuracy"), F.try_divide(F.sum("br"), n).alias("brier_multiclass"),
+        F.try_divide(F.sum("br"), n * len(p)).alias("brier_macro_ovr"), F.try_divide(F.sum(F.abs(F.col("r") - F.col("c"))), n).alias("ece_10bin"),
+    )
 
 
 def metric_bundle(df: DataFrame, p: tuple[str, ...] = P) -> DataFrame:
-    """Log loss, macro F1, accuracy, both Brier scores and ECE, one row."""
-    k = picked(p)
-    d = df.select("y", *p, k.alias("k"), log_loss_of(p).alias("ll"), brier_of(p).alias("br"))
-    one = d.agg(F.avg("ll").alias("log_loss"), F.avg((F.col("k") == F.col("y")).cast("double")).alias("accuracy"), F.avg("br").alias("brier_sum"), (F.avg("br") / 3).alias("brier_mean"))
-    f1 = per_class(d, F.col("y"), F.col("k")).agg(F.avg("f1").alias("macro_f1"))
-    return one.crossJoin(f1).crossJoin(ece(calibration(d, F.greatest(*p), F.col("k") == F.col("y"))))  # single rows
+    """The metrics of BUNDLE over all rows, one row."""
+    return bundle_by(df, [], p)
 
 
 def running(rows: DataFrame, value: str, sums: list[str], by: list[str], descending: bool = False) -> DataFrame:
-    """Adds cum_<s>, the sum over rows up to each value. ``rows`` has one row per (by, value)."""
-    ends = rows.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    """Adds cum_<s>, the sum over rows up to each value. ``rows`` has one row per (by, value).
+
+    Bins end at approximate quantiles of the group's values, so a heavy tail
+    doesn't fill one; the few bins are summed first, rows inside theirs.
+    """
+    ends = rows.groupBy(*by).agg(F.percentile_approx(value, [k / BINS for k in range(1, BINS)], 10 * BINS).alias("_ends"))
     r = rows.join(F.broadcast(ends), by) if by else rows.crossJoin(F.broadcast(ends))  # one row a group
-    width = F.coalesce(F.try_divide(F.col(value) - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
-    r = r.withColumn("_bin", F.least(F.floor(width * BINS), F.lit(BINS - 1)) * (-1 if descending else 1)).drop("_lo", "_hi")
+    r = r.withColumn("_bin", F.size(F.filter("_ends", lambda e: e < F.col(value))) * (-1 if descending else 1)).drop("_ends")
     bins = r.groupBy(*by, "_bin").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     before = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.select(*by, "_bin", *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_b_{s}") for s in sums])
@@ -87,31 +125,60 @@ def _by_score(df: DataFrame, score: str, positive: Column) -> DataFrame:
 
 
 def average_precision(df: DataFrame, score: str, positive: Column) -> DataFrame:
+    """0 where nothing is positive."""
     r = _by_score(df, score, positive)
-    return r.agg((F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_n")) / F.sum("pos")).alias("average_precision"))
+    return r.agg(F.coalesce(F.try_divide(F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_n")), F.sum("pos")), F.lit(0.0)).alias("average_precision"))
+
+
+def _ranks(df: DataFrame, lo: Column, hi: Column, *keep: Column) -> DataFrame:
+    """A row for each rank from lo to hi. Ranges are cut and the pieces dealt, so that a long one is not one array in one task."""
+    cut = df.where(hi >= lo).select(*keep, F.explode(F.sequence(lo, hi, F.lit(CHUNK).cast("bigint"))).alias("_from"), hi.alias("_to"))
+    cut = cut.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_from")
+    return cut.select("*", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + CHUNK - 1, F.col("_to")))).alias("rank")).drop("_from", "_to")
 
 
 def ndcg(df: DataFrame, score: str, positive: Column) -> DataFrame:
-    """Gains of 0 and 1 under logarithmic discounts, which tied scores share evenly."""
+    """Gains of 0 and 1 under logarithmic discounts, which tied scores share evenly; 0 where nothing is positive."""
     r = _by_score(df, score, positive)
-    ranks = r.select("pos", "n", F.explode(F.sequence(F.col("cum_n") - F.col("n") + 1, F.col("cum_n"))).alias("rank"))
-    dcg = ranks.agg(F.sum(F.col("pos") / F.col("n") / F.log2(F.col("rank") + 1)).alias("dcg"))
-    ideal = r.agg(F.sum("pos").alias("m")).select(F.explode(F.sequence(F.lit(1), F.col("m"))).alias("rank")).agg(F.sum(1 / F.log2(F.col("rank") + 1)).alias("best"))
-    return dcg.crossJoin(ideal).select((F.col("dcg") / F.col("best")).alias("ndcg"))  # single rows
+    ranks = _ranks(r, F.col("cum_n") - F.col("n") + 1, F.col("cum_n"), (F.col("pos") / F.col("n")).alias("gain"))
+    dcg = ranks.agg(F.sum(F.col("gain") / F.log2(F.col("rank") + 1)).alias("dcg"))
+    ideal = _ranks(r.agg(F.sum("pos").alias("m")), F.lit(1).cast("bigint"), F.col("m")).agg(F.sum(1 / F.log2(F.col("rank") + 1)).alias("best"))
+    return dcg.crossJoin(ideal).select(F.coalesce(F.try_divide("dcg", "best"), F.lit(0.0)).alias("ndcg"))  # single rows
 
 
 def top_fraction(df: DataFrame, score: str, key: str, positive: Column, fractions: tuple[float, ...] = (0.1, 0.2)) -> DataFrame:
-    """Precision and recall in the top ceil(n * f) rows, ties by key."""
+    """Precision and recall in the top ceil(n * f) rows, one at least, ties by key."""
     n = df.count()
     out = []
     for f in fractions:
-        k = -int(-n * f // 1)
+        k = max(1, -int(-n * f // 1))
         top = df.orderBy(F.desc(score), key).limit(k).agg(F.count_if(positive).alias("hit"))
-        every = df.agg(F.count_if(positive).alias("all"))
+        every = df.agg(F.greatest(F.lit(1), F.count_if(positive)).alias("all"))
         out.append(top.crossJoin(every).select(F.lit(f).alias("fraction"), F.lit(k).alias("k"), (F.col("hit") / k).alias("precision"), (F.col("hit") / F.col("all")).alias("recall")))  # single rows
     return reduce(DataFrame.union, out)
 
 
+PRIORITY = ("average_precision", "ndcg", "precision_at_top_10pct", "recall_at_top_10pct", "precision_at_top_20pct", "recall_at_top_20pct")
+
+
+def priority_by(df: DataFrame, by: list[str], score: str, positive: Column, key: str, fractions: tuple[float, ...] = (0.1, 0.2)) -> DataFrame:
+    """The rankings of PRIORITY for each of many small groups, as resamples are: a group is sorted in one task."""
+    w = Window.partitionBy(*by)
+    row, peers = w.orderBy(F.desc(score), key), w.orderBy(F.desc(score)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    d = df.select(*by, positive.cast("int").alias("pos"), F.col(score).alias("s"), F.row_number().over(row).alias("r"), F.count(F.lit(1)).over(w).alias("n"), F.sum(positive.cast("int")).over(w).alias("m"), F.sum(positive.cast("int")).over(peers).alias("cp"), F.count(F.lit(1)).over(peers).alias("cn"))
+    d = d.withColumn("gain", F.avg("pos").over(Window.partitionBy(*by, "s"))).withColumn("disc", 1 / F.log2(F.col("r") + 1))
+    zero = lambda x: F.coalesce(x, F.lit(0.0))
+    out = [
+        zero(F.try_divide(F.sum(F.col("pos") * F.col("cp") / F.col("cn")), F.max("m"))).alias("average_precision"),
+        zero(F.try_divide(F.sum(F.col("disc") * F.col("gain")), F.sum(F.when(F.col("r") <= F.col("m"), F.col("disc"))))).alias("ndcg"),
+    ]
+    for f in fractions:
+        k = F.greatest(F.lit(1), F.ceil(F.col("n") * f))
+        hit, name = F.sum(F.when(F.col("r") <= k, F.col("pos")).otherwise(0)), f"{round(100 * f)}pct"
+        out += [(hit / F.max(k)).alias(f"precision_at_top_{name}"), (hit / F.greatest(F.lit(1), F.max("m"))).alias(f"recall_at_top_{name}")]
+    return d.groupBy(*by).agg(*out)
+
+
 def change_detection(df: DataFrame, changed: Column, predicted: Column) -> DataFrame:
     tp, a, g = F.count_if(changed & predicted), F.count_if(changed), F.count_if(predicted)
     z = lambda x, y: F.coalesce(F.try_divide(x, y), F.lit(0.0))
@@ -122,28 +189,41 @@ def unpivoted(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     return df.select(*keys, *[F.col(c).cast("double").alias(c) for c in features]).unpivot(keys, features, "feature", "value")
 
 
-def drift(df: DataFrame, group: str, features: list[str], ks: float = 0.2, smd: float = 0.5, missing: float = 0.1) -> DataFrame:
-    """Two samples (group 0 and 1) per feature: KS distance, standardised mean difference, missing rates, warning."""
-    u = unpivoted(df, [group], features)
-    g = F.col(group)
-    val = u.where("value is not null").groupBy("feature", "value").agg(F.count_if(g == 0).alias("a"), F.count_if(g == 1).alias("b"))
+def drift(df: DataFrame, labelled: str, features: list[str], ks: float = 0.2, smd: float = 0.5, missing: float = 0.1) -> DataFrame:
+    """Labelled rows (1) against the others (0) per feature: counts, means, KS distance, mean difference over the deviation of all, missing rates, warning."""
+    u = unpivoted(df, [labelled], features)
+    g = F.col(labelled)
+    val = u.where("value is not null").groupBy("feature", "value").agg(F.count_if(g == 1).alias("a"), F.count_if(g == 0).alias("b"))
     r = running(val, "value", ["a", "b"], ["feature"])
     tot = val.groupBy("feature").agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
-    dist = r.join(F.broadcast(tot), "feature").groupBy("feature").agg(F.max(F.abs(F.col("cum_a") / F.col("na") - F.col("cum_b") / F.col("nb"))).alias("ks"))
+    dist = r.join(F.broadcast(tot), "feature").groupBy("feature").agg(F.max(F.abs(F.try_divide("cum_a", "na") - F.try_divide("cum_b", "nb"))).alias("ks_statistic"))
     v = lambda k: F.when(g == k, F.col("value"))
+    lost = lambda k: F.avg(F.when(g == k, F.col("value").isNull().cast("double")))
     s = u.groupBy("feature").agg(
-        F.avg(v(0)).alias("m0"), F.avg(v(1)).alias("m1"), F.stddev_pop(v(0)).alias("s0"), F.stddev_pop(v(1)).alias("s1"),
-        *[F.avg(F.when(g == k, F.col("value").isNull().cast("double"))).alias(f"missing{k}") for k in (0, 1)],
+        F.count(v(1)).alias("labeled_count"), F.count(v(0)).alias("unlabeled_count"), F.avg(v(1)).alias("labeled_mean"), F.avg(v(0)).alias("unlabeled_mean"), F.stddev_pop("value").alias("_sd"),
+        lost(1).alias("labeled_missing_rate"), lost(0).alias("unlabeled_missing_rate"),
     )
-    out = s.join(dist, "feature", "left").withColumn("smd", F.coalesce(F.try_divide(F.abs(F.col("m0") - F.col("m1")), F.sqrt((F.col("s0") * F.col("s0") + F.col("s1") * F.col("s1")) / 2)), F.lit(0.0)))
-    warn = (F.coalesce("ks", F.lit(0.0)) > ks) | (F.col("smd") > smd) | (F.abs(F.col("missing0") - F.col("missing1")) > missing)
-    return out.select("feature", "ks", "smd", "missing0", "missing1", warn.alias("warning"))
+    apart = F.col("labeled_mean") - F.col("unlabeled_mean")
+    out = s.join(dist, "feature", "left").select(
+        "*", F.when(F.col("_sd") > 0, apart / F.col("_sd")).otherwise(0.0).alias("standardized_mean_difference"), (F.col("labeled_missing_rate") - F.col("unlabeled_missing_rate")).alias("missing_rate_difference")
+    )
+    over = lambda c, limit: F.coalesce(F.abs(c) > limit, F.lit(False))
+    warn = over("ks_statistic", ks) | over("standardized_mean_difference", smd) | over("missing_rate_difference", missing)
+    return out.drop("_sd").withColumn("warning", warn)
 
 
-def feature_contract(df: DataFrame, features: list[str]) -> DataFrame:
-    u = unpivoted(df.withColumn("_", F.lit(0)), ["_"], features)
+def feature_contract(df: DataFrame, features: list[str], labelled: str) -> DataFrame:
+    """Per feature: type, missing rate, extremes and quantiles of all rows, extremes of labelled rows (1)."""
+    u = unpivoted(df, [labelled], features)
     q = lambda x: F.percentile("value", x)
-    return u.groupBy("feature").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("value").isNull()).alias("missing"), F.min("value").alias("lo"), q(0.01).alias("q01"), q(0.5).alias("median"), q(0.99).alias("q99"), F.max("value").alias("hi"))
+    own = F.when(F.col(labelled) == 1, F.col("value"))
+    kinds = dict(df.dtypes)
+    kind = F.create_map(*[F.lit(x) for c in features for x in (c, kinds[c])])
+    g = u.groupBy("feature").agg(
+        F.avg(F.col("value").isNull().cast("double")).alias("full_missing_rate"), F.min("value").alias("full_min"), q(0.01).alias("full_q01"), q(0.5).alias("full_median"), q(0.99).alias("full_q99"), F.max("value").alias("full_max"),
+        F.min(own).alias("labeled_min"), F.max(own).alias("labeled_max"),
+    )
+    return g.withColumn("dtype", kind[F.col("feature")])
 
 
 def resampled(df: DataFrame, key: str, n_rows: int, draws: int) -> DataFrame:
@@ -155,23 +235,31 @@ def resampled(df: DataFrame, key: str, n_rows: int, draws: int) -> DataFrame:
     return picks.join(df, key)
 
 
-def interval(df: DataFrame, by: str, metrics: list[str]) -> DataFrame:
-    """95 % percentile intervals of per-draw metrics."""
+def interval(df: DataFrame, by: str, metrics: list[str], beneficial: dict[str, bool] | None = None) -> DataFrame:
+    """95 % percentile intervals of per-draw metrics. ``beneficial``: whether lower is better, for the share of draws that are."""
     u = df.unpivot([by], metrics, "metric", "value")
-    return u.groupBy("metric").agg(F.avg("value").alias("mean"), F.percentile("value", 0.025).alias("lo"), F.percentile("value", 0.975).alias("hi"))
+    good = []
+    if beneficial is not None:
+        lower = F.col("metric").isin(*[m for m, low in beneficial.items() if low])
+        good = [F.avg(F.when(lower, F.col("value") < 0).otherwise(F.col("value") > 0).cast("double")).alias("probability_beneficial")]
+    return u.groupBy("metric").agg(F.avg("value").alias("mean"), F.percentile("value", 0.025).alias("ci_2_5"), F.percentile("value", 0.975).alias("ci_97_5"), *good)
+
+
+def differences(before: DataFrame, after: DataFrame, by: str, metrics: list[str]) -> DataFrame:
+    """``after`` minus ``before`` for each draw."""
+    a, b = before.select(by, *[F.col(m).alias(f"_a_{m}") for m in metrics]), after.select(by, *[F.col(m).alias(f"_b_{m}") for m in metrics])
+    return a.join(b, by).select(by, *[(F.col(f"_b_{m}") - F.col(f"_a_{m}")).alias(m) for m in metrics])
 
 
-def fit_temperature(df: DataFrame, p: tuple[str, ...] = P, lo: float = 0.25, hi: float = 5.0, rounds: int = 4, grid: int = 24) -> float:
+def fit_temperature(df: DataFrame, p: tuple[str, ...] = P, lo: float = 0.25, hi: float = 5.0, rounds: int = 5, grid: int = 24) -> float:
     """The temperature with the least log loss: each pass scores a grid, then narrows around its best."""
     from attestra.functions.values import tempered
 
+    q = F.get(F.array(*tempered([F.col(c) for c in p], F.col("t"))), F.col("y"))
     for _ in range(rounds):
         ts = [lo + (hi - lo) * k / grid for k in range(grid + 1)]
-        losses = []
-        for t in ts:
-            q = F.get(F.array(*tempered([F.col(c) for c in p], t)), F.col("y"))
-            losses.append(F.avg(-F.log(F.greatest(q, F.lit(1e-15)))))
-        row = df.agg(*[x.alias(f"l{k}") for k, x in enumerate(losses)]).first()
-        best = min(range(grid + 1), key=lambda k: row[k])
+        every = df.select("y", *p, F.posexplode(F.array(*[F.lit(t) for t in ts])).alias("k", "t"))
+        found = every.groupBy("k").agg(F.avg(-F.log(F.greatest(q, F.lit(1e-15)))).alias("loss")).collect()
+        best = min(found, key=lambda r: (r["loss"], r["k"]))["k"] if found else 0
         lo, hi = ts[max(0, best - 1)], ts[min(grid, best + 1)]
     return (lo + hi) / 2

@@ -92,10 +92,10 @@ _availability("T0")
 _availability("T1")
 
 
-@R.add("future_effective_count", f"{with_(features('T1'))} SELECT {K}, future_effective_record_count FROM f_t1 WHERE future_effective_record_count > 0")
+@R.add("future_effective_count", f"{with_(features('T0'))} SELECT {K}, future_effective_record_count FROM f_t0 WHERE future_effective_record_count > 0")
 def future_effective_count(spark, sf_dir):
     e = evidence(spark, sf_dir)
-    g = ev.gated(ev.as_of_dates(candidates(spark, sf_dir), "T1", e.where("phase = 'T1'")), e, "T1")
+    g = ev.gated(ev.as_of_dates(candidates(spark, sf_dir), "T0", e.where("phase = 'T1'")), e, "T0")
     return g.where("future").groupBy(K).agg(F.count(F.lit(1)).alias("future_effective_record_count"))
 
 

@@ -119,8 +119,12 @@ pe AS (SELECT p_partkey AS id, split_part(p_name, ' ', 1) AS f, split_part(p_nam
 dm AS (SELECT id, id AS source_record_id,
   CASE id % 7 WHEN 1 THEN left(f, length(f) - 1) WHEN 2 THEN 'SYNGIV-' || f WHEN 3 THEN replace(f, 'e', 'é') WHEN 4 THEN l WHEN 5 THEN '' ELSE ' ' || f || ' ' END AS first_name,
   CASE WHEN id % 7 = 4 THEN f WHEN id % 11 = 3 THEN left(l, 2) || substr(l, 4) ELSE l END AS last_name,
-  CASE WHEN id % 5 = 0 THEN '' WHEN id % 5 = 1 THEN 'SYNDOB-' || replace(d, '-', '/') WHEN id % 13 = 2 THEN '2024-02-31' ELSE d END AS date_of_birth,
-  CASE WHEN id % 6 = 0 THEN '' ELSE upper(replace(a, 'Street', 'St.')) END AS street_address, 'V' || (id % 300) AS vehicle_ref FROM pe)
+  CASE WHEN id % 5 = 0 THEN '' WHEN id % 5 = 1 THEN 'SYNDOB-' || replace(d, '-', '/') WHEN id % 13 = 2 THEN '2024-02-31' WHEN id % 10 = 3 THEN 'born ' || replace(d, '-', '') WHEN id % 35 = 8 THEN '1980/1/2' ELSE d END AS date_of_birth,
+  CASE WHEN id % 6 = 0 THEN '' ELSE upper(replace(a, 'Street', 'St.')) END AS street_address,
+  CASE WHEN id % 19 = 0 THEN ' nan' WHEN id % 17 = 0 THEN ' V' || (id + 1) ELSE 'V' || id END AS vehicle_ref,
+  CASE WHEN id % 23 = 0 THEN 'V' || (id + 1) ELSE 'V' || id END AS update_ref,
+  ['address', 'license', 'title', 'external', 'work'][1 + id % 5] AS source_domain, ['new_record', 'status_update', 'record_correction'][1 + id % 3] AS record_action,
+  strftime(DATE '2024-01-01' + CAST(id % 50 AS INTEGER), '%Y-%m-%d') AS event_date, ['DE', 'PA', ''][1 + id % 3] AS state FROM pe)
 """
 
 
@@ -132,8 +136,28 @@ def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = F.when(k % 7 == 4, f).when(k % 11 == 3, F.concat(F.left(n, F.lit(2)), F.substring(n, 4, 100))).otherwise(n)
     return p.select(
         k.alias("source_record_id"), first.alias("first_name"), last.alias("last_name"),
-        F.when(k % 5 == 0, "").when(k % 5 == 1, F.concat(F.lit("SYNDOB-"), F.replace(d, F.lit("-"), F.lit("/")))).when(k % 13 == 2, "2024-02-31").otherwise(d).alias("date_of_birth"),
+        F.when(k % 5 == 0, "").when(k % 5 == 1, F.concat(F.lit("SYNDOB-"), F.replace(d, F.lit("-"), F.lit("/")))).when(k % 13 == 2, "2024-02-31")
+        .when(k % 10 == 3, F.concat(F.lit("born "), F.replace(d, F.lit("-"), F.lit("")))).when(k % 35 == 8, "1980/1/2").otherwise(d).alias("date_of_birth"),
         F.when(k % 6 == 0, "").otherwise(F.upper(F.replace(a, F.lit("Street"), F.lit("St.")))).alias("street_address"),
-        F.concat(F.lit("V"), (k % 300).cast("string")).alias("vehicle_ref"),
-        F.get(F.array(*[F.lit(s) for s in SOURCES]), (k % 5).cast("int")).alias("source_domain"),
+        F.when(k % 19 == 0, " nan").when(k % 17 == 0, F.concat(F.lit(" V"), (k + 1).cast("string"))).otherwise(F.concat(F.lit("V"), k.cast("string"))).alias("vehicle_ref"),
+        F.concat(F.lit("V"), (k + F.when(k % 23 == 0, 1).otherwise(0)).cast("string")).alias("update_ref"),
+        _pick(list(SOURCES), k % 5).alias("source_domain"), _pick(["new_record", "status_update", "record_correction"], k % 3).alias("record_action"),
+        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (k % 50).cast("int")), "yyyy-MM-dd").alias("event_date"), _pick(["DE", "PA", ""], k % 3).alias("state"),
     )
+
+
+def linkage_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six sources of a run, with their own column names. Titles have each vehicle twice, under a damaged and under the plain name."""
+    d, p = damaged(spark, sf_dir), people(spark, sf_dir)
+    names = ["source_record_id", "first_name", "last_name"]
+    titles = d.select((2 * F.col("source_record_id")).alias("source_record_id"), "first_name", "last_name", "vehicle_ref", "event_date", "state")
+    k = F.col("candidate_record_id")
+    plain = p.where(k % 2 == 0).select((2 * k + 1).alias("source_record_id"), "first_name", "last_name", F.concat(F.lit("V"), k.cast("string")).alias("vehicle_ref"), F.lit("2023-12-31").alias("event_date"), F.lit("DE").alias("state"))
+    return {
+        "address_history": d.select(*names, "street_address", "state", F.col("event_date").alias("effective_start_date"), F.lit("").alias("effective_end_date")),
+        "license_id_events": d.select(*names, "date_of_birth", "event_date", F.col("state").alias("credential_state"), F.lit("active").alias("credential_status")),
+        "external_context_signals": d.select(*names, F.col("event_date").alias("effective_date"), F.col("state").alias("signal_state"), F.lit("limited").alias("evidence_quality")),
+        "vehicle_title_events": titles.unionByName(plain).select("source_record_id", F.col("first_name").alias("owner_first_name"), F.col("last_name").alias("owner_last_name"), "vehicle_ref", "event_date", F.col("state").alias("event_state")),
+        "work_location_signals": d.select(*names, F.col("event_date").alias("observed_date"), F.col("state").alias("work_state")),
+        "evidence_update_stream": d.select(*names, "source_domain", "record_action", F.col("update_ref").alias("vehicle_ref"), F.col("event_date").alias("effective_date"), F.col("event_date").alias("observed_date"), "state"),
+    }
