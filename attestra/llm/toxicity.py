@@ -25,15 +25,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def terms(text: str | None) -> Counter:
-    """Words of a text, lower-cased, and the first four and five letters of longer ones, which stand for a stem."""
-    words = Counter(_WORD.findall((text or "").lower()))
-    out = Counter(words)
-    for w, n in words.items():
-        if len(w) > 5:
-            out[w[:5] + "*"] += n
-        if len(w) > 4:
-            out[w[:4] + "*"] += n
-    return out
+    """The words of a text, lower-cased, with their numbers."""
+    return Counter(_WORD.findall((text or "").lower()))
 
 
 class BlockMaxIndex:
@@ -204,24 +197,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = shared.value
-        whole = {t for t in v if not t.endswith("*")}
-        five, four = {t for t in v if len(t) == 6 and t.endswith("*")}, {t for t in v if len(t) == 5 and t.endswith("*")}
-        known: dict[str, tuple[int, ...]] = {}
-
-        def of(w: str) -> tuple[int, ...]:
-            return tuple(v[x] for x in ([w] if w in whole else []) + ([w[:5] + "*"] if len(w) > 5 and w[:5] + "*" in five else []) + ([w[:4] + "*"] if len(w) > 4 and w[:4] + "*" in four else []))
-
         for b in batches:
             out = []
             for t in b["text"]:
                 c: Counter = Counter()
                 for w in _WORD.findall((t or "").lower()) if v else ():
-                    x = known.get(w)
-                    if x is None:
-                        if len(known) > 300_000:
-                            known.clear()
-                        x = known[w] = of(w)
-                    for k in x:
+                    k = v.get(w)
+                    if k is not None:
                         c[k] += 1
                 ks = sorted(c)
                 out.append((ks, [c[k] for k in ks]))
