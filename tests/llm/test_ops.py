@@ -361,6 +361,65 @@ def test_toxicity(spark, odd, empty):
     assert toxicity.reject_toxic(odd, few).columns == odd.columns
 
 
+def test_scores_equal_dense_vectors(spark):
+    """Every score from plain matrices: words, document frequencies, cosines, votes, pools."""
+    import numpy as np
+
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    held = language_id.held_out("doc_id", 4, 2)
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, labels.where(~held)).collect()}
+    text = {r.doc_id: r.text for r in docs.collect()}
+    words = {d: toxicity.terms(t) for d, t in text.items()}
+    label = {r.doc_id: r.toxic for r in labels.where(~held).collect() if r.toxic is not None and r.doc_id in text}
+    pos, neg = sum(label.values()), len(label) - sum(label.values())
+
+    def telling(t):
+        a, b = sum(t in words[d] and label[d] == 1 for d in label), sum(t in words[d] and label[d] == 0 for d in label)
+        n, g = pos + neg, 0.0
+        for o, e in ((a, pos * (a + b) / n), (b, neg * (a + b) / n), (pos - a, pos * (n - a - b) / n), (neg - b, neg * (n - a - b) / n)):
+            g += 2 * o * np.log(o / e) if o else 0
+        odds = (a + 0.5) * (neg - b + 0.5) / ((b + 0.5) * (pos - a + 0.5))
+        return a + b >= 3 and g >= toxicity.LEAST_G2 and max(odds, 1 / odds) >= toxicity.LEAST_ODDS
+
+    vocab = sorted(t for t in {t for d in label for t in words[d]} if telling(t))
+    assert vocab
+    df = np.array([sum(t in w for w in words.values()) for t in vocab])
+    idf = np.log((1 + len(words)) / (1 + df)) + 1
+    dense = {d: np.array([(1 + np.log(w[t])) * i if t in w else 0.0 for t, i in zip(vocab, idf)]) for d, w in words.items()}
+    unit = {d: v / np.linalg.norm(v) if v.any() else v for d, v in dense.items()}
+    some = sorted(d for d in label if unit[d].any())
+    base = sum(label.values()) / len(label)
+    blank = [label[d] for d in label if not unit[d].any()]
+    matrix, y = np.array([unit[d] for d in some]), np.array([label[d] for d in some])
+
+    def vote(d, without=None):
+        cos = np.round(matrix @ unit[d], 12)
+        best = [k for k in np.lexsort((some, -cos)) if some[k] != without and cos[k] > 0][: toxicity.NEIGHBOURS]
+        w = 0.1 / (1.1 - np.minimum(cos[best], 1))
+        return ((w * y[best]).sum() + toxicity.SMOOTH * base * 0.1) / (w.sum() + toxicity.SMOOTH * 0.1)
+
+    cuts, rates = toxicity._isotonic(np.array([vote(d, d) for d in some]), y.astype(float), np.ones(len(some)))
+    assert (np.diff(rates) > 0).all()
+    for d in words:
+        want = (sum(blank) + base) / (len(blank) + 1)
+        if unit[d].any():
+            raw = vote(d)
+            want = 0.5 * raw + 0.5 * np.interp(raw, cuts, rates)
+        assert abs(got[d] - min(1, max(0, want))) < 1e-9, d
+
+
+def test_toxicity_of_repeated_ids(spark):
+    bad, good = "you awful scum " * 3, "a quiet day by the river "
+    docs = [(k, bad + f"w{k}") for k in range(40)] + [(300 + k, good + f"w{k}") for k in range(160)] + [(7, good + "w7"), (7, good + "w7"), (None, bad), (200, None), (201, ""), (202, bad * 2000)]
+    labels = [(k, 1) for k in range(40)] + [(300 + k, 0) for k in range(160)]
+    d, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    one, two = (sorted((str(r.doc_id), r.key.a, r.score) for r in toxicity.score_toxicity(x, lab).collect()) for x in (d, d.orderBy(F.desc("text")).repartition(3)))
+    assert one == two and len(one) == len(docs)
+    kept = toxicity.reject_toxic(d, lab)
+    ids = [r.doc_id for r in kept.collect()]
+    assert ids.count(7) == 2 and 202 not in ids and None not in ids and {200, 201} <= set(ids)
+
+
 def test_block_max_is_exact():
     import numpy as np
 
@@ -394,6 +453,17 @@ def test_sentencepiece(spark, odd, empty):
     assert not rows(sentencepiece_np.encode_documents(empty))
 
 
+def test_pieces_beside_each_other(spark):
+    """The Viterbi path over pairs that stand apart is the library's segmentation, on words of many documents."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_np.MODEL)
+    model = sentencepiece_np.load()
+    assert model.paired
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.text]
+    assert all(a.tolist() == b for a, b in zip(model.encode(texts), sp.encode(texts), strict=True))
+
+
 def test_unigram_viterbi():
     import numpy as np
 
@@ -412,6 +482,27 @@ def test_unigram_viterbi():
         assert "".join(pieces[k] for k in ids) == w and abs(sum(scores[k] for k in ids) - best(w)) < 1e-9
 
 
+def test_language_against_plain_compression(spark):
+    """Each prediction from the library's own calls, piece by piece; labels with short texts only are learnt too."""
+    import zstandard as z
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("held", language_id.held_out("doc_id", 5, 0))
+    short = spark.createDataFrame([(9000 + k, "zzq xxv", "xx") for k in range(3)] + [(9100, "12 34", "yy"), (9101, None, "yy")], "doc_id long, text string, lang string")
+    model = language_id.learn(docs.where("not held").select("doc_id", "text", "lang").union(short))
+    assert "xx" in model and "yy" not in model and set(model) - {"xx"} == {r[0] for r in docs.where("lang is not null").select("lang").distinct().collect()}
+    for r in language_id.identify(docs, model).join(docs.select("doc_id", "text"), "doc_id").limit(40).collect():
+        data, size = (r.text or "").encode(), {}
+        if not re.search(r"[^\W\d_]", r.text or ""):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        for lang, d in model.items():
+            c = z.ZstdCompressor(level=language_id.LEVEL, dict_data=z.ZstdCompressionDict(d, dict_type=z.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False)
+            size[lang] = sum(len(c.compress(data[k : k + language_id.PIECE])) for k in range(0, len(data), language_id.PIECE))
+        best, second = sorted(size.values())[:2]
+        m = 1 - best / second
+        assert size[r.lang_pred] == best and abs(r.score - m / (m + language_id.MARGIN)) < 1e-12
+
+
 @pytest.mark.parametrize("group", [20_000, 1])
 def test_substrings(spark, odd, empty, group):
     extra = [prose(150, 31), prose(40, 32) + prose(150, 31)[100:700] + prose(50, 33), prose(60, 34) + prose(150, 31)[:401], prose(60, 35) + prose(150, 31)[-400:], "ab" * 600, "a" * 399, "b" * 400, "c" * 401, "é" * 300, "x" + "é" * 201]
