@@ -76,7 +76,7 @@ def phase_features(candidates: DataFrame, events: DataFrame, phase: str, updates
     e = gated(cand, events, phase).withColumn("sc", state_class(F.col("state"), home)).withColumn("own", F.lit(False))
     # the candidate's own row ends the residence timeline and counts nowhere else
     me = cand.select(
-        KEY, "candidate_dt", "as_of", F.lit("T0").alias("phase"), F.lit("").alias("src"), F.lit(None).cast("long").alias("source_record_id"),
+        KEY, "candidate_dt", "as_of", F.lit("T0").alias("phase"), F.lit("").alias("src"), F.lit(None).cast(events.schema["source_record_id"].dataType).alias("source_record_id"),
         F.col("candidate_dt").alias("event_dt"), F.col("observed_state").alias("state"), state_class(F.col("observed_state"), home).alias("sc"),
         F.lit(False).alias("future"), (F.col("candidate_dt") <= F.col("as_of")).alias("available"), F.lit(True).alias("own"),
     )

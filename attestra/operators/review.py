@@ -149,10 +149,10 @@ def case_list(cases: DataFrame, sort: str = "review_priority", descending: bool
     """
     found = case_filter(cases, key=key, **filters)
     c = F.col(sort)
-    out = found.orderBy(c.desc_nulls_first() if descending else c.asc_nulls_last(), key)
+    out = found.crossJoin(F.broadcast(found.agg(F.count(F.lit(1)).alias("total"))))  # one row
+    out = out.orderBy(c.desc_nulls_first() if descending else c.asc_nulls_last(), key)
     out = out.offset(skip) if skip else out
-    out = out.limit(limit) if limit else out
-    return out.crossJoin(F.broadcast(found.agg(F.count(F.lit(1)).alias("total"))))  # one row
+    return out.limit(limit) if limit else out
 
 
 def both_phases(cases: DataFrame, sort: str = "review_priority", descending: bool = True, skip: int = 0, limit: int = 0, key: str = "candidate_record_id", **filters) -> DataFrame:

@@ -1,20 +1,24 @@
 """Scalars, decisions and features on small scenarios, and queries against DuckDB."""
 
 import math
+import random
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from attestra import cli
 from attestra.config import LinkageRules, fingerprint
+from attestra.functions import text
 from attestra.functions.text import jaro_winkler, norm_address, norm_dob, norm_name
 from attestra.functions.values import anchor_weight, argmax_class, evidence_group, tempered
 from attestra.operators import evidence as ev
 from attestra.operators import linkage as lk
 from attestra.operators import metrics as mt
-from attestra.operators import models, review
+from attestra.operators import behaviour, models, review, submission
 from attestra.plans.registry import ORACLES, QUERIES
-from attestra.sources import files
+from attestra.sources import catalog, files
+from attestra.streaming import updates
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents benchmark labels conversations pages embeddings".split()
@@ -58,7 +62,7 @@ def test_bridge(spark, extra, owner):
     rows = [(1, "V1", "ALICE", "MORRISON", *dec("CAN-A", 0.955, "CAN-A")), (2, "V1", "ALICE", "MORRISON", *dec(None, 0.0, None))]
     if extra:
         rows.append((3, "V1", "ALICIA", "MORRISON", *dec(extra[0], extra[1], extra[0])))
-    t = spark.createDataFrame([(a, b, c, d, *x[1:]) for a, b, c, d, *x in rows], "source_record_id int, vehicle_ref string, nf string, nl string, candidate_record_id string, link_confidence double, link_tier string, link_method string, first_similarity double, last_similarity double, name_similarity double, dob_match int, address_match int, candidate_pool_size int, runner_up_margin double, ambiguity_reason string")
+    t = spark.createDataFrame([(a, b, c, d, *x[1:]) for a, b, c, d, *x in rows], "source_record_id int, vehicle_ref string, nf string, nl string, candidate_record_id string, link_confidence double, link_tier string, link_method string, first_name_similarity double, last_name_similarity double, name_similarity double, dob_match int, address_match int, candidate_pool_size int, runner_up_margin double, ambiguity_reason string")
     got = {r.source_record_id: r.candidate_record_id for r in lk.bridge_titles(t, lk.candidate_index(people)).collect()}
     assert got[2] == owner
 
@@ -120,9 +124,214 @@ def test_temperature(spark):
 
 
 def test_lists(spark):
-    c = spark.createDataFrame([(1, 0.9, "A"), (2, None, "B"), (3, 0.2, "C")], "candidate_record_id int, t1_priority double, primary_state string")
+    c = spark.createDataFrame([(1, "w", 0.9, 0.9, "Weak"), (2, "w", None, None, "Weak"), (13, "n", 0.2, 0.5, "Strong"), (4, None, 0.1, 0.5, "Strong")], "candidate_record_id int, t1_class string, t1_priority double, t1_confidence double, evidence_strength string")
     ids = lambda **k: [r[0] for r in review.case_list(c, **k).collect()]
-    assert ids() == [2, 1, 3] and ids(descending=False) == [3, 1, 2] and ids(limit=1, skip=1) == [1] and ids(q="b") == [2]
+    assert ids() == [2, 1, 13] and ids(descending=False) == [13, 1, 2] and ids(limit=1, skip=1) == [1] and ids(q="3") == [13] and ids(strong="Strong") == [13] and ids(predicted="w", band="critical") == [1]
+    assert {r.total for r in review.case_list(c, limit=1).collect()} == {3}
+
+
+def test_dates_and_ties(spark):
+    d = spark.createDataFrame([("19800102",), ("1980/1/2",), ("1980/01/02",), ("SYNDOB-1980-0102x",), ("0000-01-01",), ("born 1980-13-01 or 1980-01-01",)], "x string")
+    assert [r[0] for r in d.select(norm_dob(F.col("x"))).collect()] == ["1980-01-02", "", "1980-01-02", "1980-01-02", "", ""]
+    text.register_functions(spark)
+    d.createOrReplaceTempView("attestra_days")
+    assert [r[0] for r in spark.sql("select attestra_norm_dob(x) from attestra_days").collect()][:4] == ["1980-01-02", "", "1980-01-02", "1980-01-02"]
+    assert spark.sql("select attestra_norm_address(' 10 North Máin Street')").first()[0] == "10 N MAIN ST"
+    people = spark.createDataFrame([(k, "Ann", "Lee", "1980-01-02", "1 Oak") for k in (1, 2)], "candidate_record_id long, first_name string, last_name string, date_of_birth string, observed_street_address string")
+    q = spark.createDataFrame([("ANN", "LEE", "1980-01-02")], "nf string, nl string, nd string")
+    r = lk.dob_anchor(q, lk.candidate_index(people)).first()
+    # of equal candidates the last one, with no margin
+    assert (r.candidate_record_id, r.runner_up_margin, r.candidate_pool_size) == (2, 0.0, 2)
+
+
+def _loop_jaro_winkler(a, b):
+    """The definition, with marks on both words."""
+    if a == b:
+        return 1.0 if a else 0.0
+    if not a or not b:
+        return 0.0
+    reach, ma, mb = max(0, max(len(a), len(b)) // 2 - 1), set(), set()
+    for i in range(len(a)):
+        for j in range(max(0, i - reach), min(i + reach + 1, len(b))):
+            if j not in mb and a[i] == b[j]:
+                ma.add(i)
+                mb.add(j)
+                break
+    if not ma:
+        return 0.0
+    t = sum(a[i] != b[j] for i, j in zip(sorted(ma), sorted(mb), strict=True)) / 2
+    m = len(ma)
+    base = (m / len(a) + m / len(b) + (m - t) / m) / 3
+    k = 0
+    while base > 0.7 and k < min(4, len(a), len(b)) and a[k] == b[k]:
+        k += 1
+    return min(1.0, base + 0.1 * k * (1 - base)) if base > 0.7 else base
+
+
+def test_jaro_winkler_of_many_pairs():
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("ABCD") for _ in range(r.randint(0, 9)))
+    for _ in range(20_000):
+        a, b = word(), word()
+        assert abs(jaro_winkler(a, b) - _loop_jaro_winkler(a, b)) < 1e-12, (a, b)
+
+
+def test_no_positives(spark):
+    d = spark.createDataFrame([(k, 1, 0.2, 0.5, 0.3) for k in range(5)], "id int, y int, p0 double, p1 double, p2 double")
+    assert mt.average_precision(d, "p0", F.col("y") == 0).first()[0] == 0.0 and mt.ndcg(d, "p0", F.col("y") == 0).first()[0] == 0.0
+    assert [tuple(r)[2:] for r in mt.top_fraction(d, "p0", "id", F.col("y") == 0).collect()] == [(0.0, 0.0)] * 2
+    b = mt.bundle_by(d, []).first()
+    # classes that neither labels nor guesses have don't count
+    assert b.macro_f1 == 1.0 and abs(b.ece_10bin - 0.5) < 1e-12
+    assert mt.bundle_by(d.limit(0), []).first().log_loss is None
+
+
+def test_heavy_tails(spark):
+    d = spark.range(3000).select(F.pow(F.lit(10.0), (F.col("id") % 300) / 10).alias("v"), (F.col("id") % 7 == 0).cast("int").alias("g"))
+    r = mt.drift(d, "g", ["v"]).first()
+    rows = sorted((x.v, x.g) for x in d.collect())
+    n1 = sum(g for _, g in rows)
+    best = a = b = 0
+    for k, (v, g) in enumerate(rows):
+        a, b = a + g, b + 1 - g
+        if k + 1 == len(rows) or rows[k + 1][0] != v:
+            best = max(best, abs(a / n1 - b / (len(rows) - n1)))
+    assert abs(r.ks_statistic - best) < 1e-12
+
+
+def _labelled(spark, n=90):
+    r = random.Random(4)
+    rows = [(k, k % 3, k % 3 + r.random(), r.random() if k % 5 else None) for k in range(n)]
+    return spark.createDataFrame(rows, "id int, label int, a double, b double")
+
+
+def test_models(spark, tmp_path):
+    d = _labelled(spark)
+    out = models.nested(d, "id", ["a", "b"], models.LOGISTIC_GRID[1:], outer=2, inner=2)
+    rows = out.rows.collect()
+    assert len(rows) == 90 and all(abs(x.p0 + x.p1 + x.p2 - 1) < 1e-9 and abs(x.raw0 + x.raw1 + x.raw2 - 1) < 1e-9 for x in rows)
+    assert out.config == "logistic_c_1_0" and {x.fold for x in out.metrics().collect()} == {None, 0, 1}
+    again = models.nested(d, "id", ["a", "b"], models.LOGISTIC_GRID[1:], inner=2, folds=out.rows.select("id", "fold"))
+    assert {(x.id, x.fold) for x in again.rows.collect()} == {(x.id, x.fold) for x in rows}
+    final = models.final_fit(d, ["a", "b"], models.LOGISTIC_GRID, out)
+    final.fitted.save(spark, str(tmp_path / "m"))
+    back = models.Fitted.load(spark, str(tmp_path / "m"))
+    one, two = ([tuple(x) for x in f.predict(d, ["id"]).orderBy("id").collect()] for f in (final.fitted, back))
+    assert one == two and final.fitted.importances(spark).first().feature == "a"
+    table = models.predictions_table(final.predict(d, ["id"]), "id", "T0")
+    assert table.columns == ["id", "phase", "p_review_warranted", "p_review_not_warranted", "p_insufficient_evidence", "predicted_class", "review_priority"]
+
+
+def test_boosted(spark, tmp_path):
+    d = _labelled(spark, 60).where("label < 2 or id > 50")
+    grid = ({"id": "b", "kind": "boosted", "depth": 2, "rounds": 4, "step": 0.3},)
+    oof, rounds = models.inner_oof(d, "id", ["a", "b"], grid[0], 2)
+    assert oof.count() == d.count() and len(rounds) == 2 and all(1 <= x <= 4 for x in rounds)
+    f = models.Fitted.of(d, ["a", "b"], grid[0])
+    f.save(spark, str(tmp_path / "b"))
+    one, two = ([tuple(x) for x in g.predict(d, ["id"]).orderBy("id").collect()] for g in (f, models.Fitted.load(spark, str(tmp_path / "b"))))
+    assert one == two
+
+
+def test_choices():
+    assert models.choose_model({"log_loss": 1.0, "macro_f1": 0.4}, {"log_loss": 1.02, "macro_f1": 0.5})[0] == "boosted"
+    assert models.choose_model({"log_loss": 1.0, "macro_f1": 0.43}, {"log_loss": 1.0, "macro_f1": 0.4})[0] == "boosted"
+    assert models.choose_model({"log_loss": 1.0, "macro_f1": 0.41}, {"log_loss": 1.0, "macro_f1": 0.4})[0] == "logistic"
+    before, after = {"log_loss": 1.0, "brier_multiclass": 0.6, "macro_f1": 0.4}, {"log_loss": 0.98, "brier_multiclass": 0.6, "macro_f1": 0.4}
+    assert models.clear_improvement(before, after, 30) and not models.clear_improvement(before, after, 29)
+
+
+def test_joins_that_must_be_one_to_one(spark):
+    a, twice = spark.createDataFrame([(1,), (2,)], "id int"), spark.createDataFrame([(1, 1), (1, 2)], "id int, x int")
+    for left, right in ((a, twice), (twice, a), (a, twice.limit(1))):
+        with pytest.raises(ValueError):
+            models.one_to_one(left, right, "id")
+    p = spark.createDataFrame([(1, 0, 0, 0.5, 0.2, 0.3)], "id int, fold int, label int, p0 double, p1 double, p2 double")
+    assert behaviour.aligned(p, p, "id").count() == 1
+    with pytest.raises(ValueError):
+        behaviour.aligned(p, p.withColumn("fold", F.lit(1)), "id")
+    with pytest.raises(ValueError):
+        models.predictors(a)
+
+
+def test_submission(spark, tmp_path):
+    keys = spark.createDataFrame([(1, "T0"), (1, "T1")], "candidate_record_id int, phase string")
+    good = keys.select("*", F.lit("review_warranted").alias("predicted_class"), F.lit(0.5).alias("p_review_warranted"), F.lit(0.3).alias("p_review_not_warranted"), F.lit(0.2).alias("p_insufficient_evidence"), F.lit(0.5).alias("review_priority"))
+    out = submission.submission(keys, good)
+    submission.refused(submission.validate_submission(out, keys))
+    submission.write_submission(out, [str(tmp_path / "a"), str(tmp_path / "b")])
+    back = [files.read_text_csv(spark, str(tmp_path / x)) for x in "ab"]
+    assert files.content_hash(back[0]) == files.content_hash(back[1])
+    submission.refused(submission.validate_submission(back[0], keys.withColumn("candidate_record_id", F.col("candidate_record_id").cast("string"))))
+    with pytest.raises(ValueError, match="not_numeric"):
+        submission.refused(submission.validate_submission(back[0].withColumn("review_priority", F.lit("x")), keys))
+    with pytest.raises(ValueError, match="missing columns"):
+        submission.validate_submission(good.drop("phase"), keys)
+    with pytest.raises(ValueError):
+        submission.submission(keys, good.union(good))
+
+
+def test_small_functions(spark):
+    d = spark.createDataFrame([(1, "PA", "new_record", "a.b*c A.B*C")], "i int, s string, e string, t string")
+    r = d.select(review.field_label(F.lit("oos_de_count")).alias("l"), review.highlighted(F.col("t"), "a.b*c").alias("h"), review.highlighted(F.col("t"), "a").alias("n"), review.snippet(F.col("s"), F.col("e"), F.col("i")).alias("x")).first()
+    assert tuple(r) == ("Oos de count", "[a.b*c] [A.B*C]", "a.b*c A.B*C", "PA · new record · 1")
+    assert catalog.references("delta_post_60d_oos_vehicle_signal_count", ["v"], ["c"]) == ["v"] and catalog.references("oos_count", ["v"], ["c"]) == []
+    assert catalog.described(d).schema["e"].metadata["description"]
+
+
+def test_rules_and_manifests(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"name_margin": 0.1}')
+    assert files.load_rules(str(tmp_path / "r.json"), LinkageRules).name_margin == 0.1
+    (tmp_path / "bad.json").write_text('{"nothing": 1}')
+    with pytest.raises(ValueError):
+        files.load_rules(str(tmp_path / "bad.json"), LinkageRules)
+    copy = files.freeze(str(tmp_path / "r.json"), str(tmp_path / "frozen"))
+    assert files.file_hash(copy) == files.file_hash(str(tmp_path / "r.json")) and len(files.code_hash(str(tmp_path))) == 64
+    assert list(files.manifest(str(tmp_path), [copy])) == ["frozen/r.json"]
+    files.write_json({"a": 1}, str(tmp_path / "x.json"))
+    files.write_report("T", {"t": spark.range(2)}, str(tmp_path / "x.md"))
+    assert (tmp_path / "x.md").read_text().count("| 1 |") == 1
+    with pytest.raises(Exception, match="not a date"):
+        spark.createDataFrame([("2024-02-30",)], "d string").select(files.strict_date(F.col("d"))).collect()
+    assert files.numeric_columns(spark.createDataFrame([(1, "x", 2.0)], "a int, b string, c double"), ("c",)) == ["a"]
+    assert files.same_ids(spark.range(3), spark.range(3), "id") and not files.same_ids(spark.range(3), spark.range(4), "id")
+    assert files.columns_without(spark.range(1).withColumn("x", F.lit(1)), "id").columns == ["x"]
+
+
+def test_empty_stream(spark, tmp_path):
+    spark.range(0).selectExpr("id as event_id", "id as user_id", "current_timestamp() as ts", "'x' as event_type", "1.0 as value").write.parquet(str(tmp_path / "events.parquet"))
+    assert updates.latest_states(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_by_command(spark, tmp_path):
+    """The stages of a small run, one after the other, through their files."""
+    root = tmp_path / "data"
+    for sub in ("Data_T0", "Data_T1"):
+        (root / sub).mkdir(parents=True)
+    first, last = ["Ann", "Bob", "Cal", "Dee", "Eve", "Fay"], ["Lee", "Moe", "Nash", "Oaks", "Pike", "Quill"]
+    people = [(f"C{k}", first[k % 6], last[k // 6 % 6] + "abcdefghij"[k % 10], f"19{50 + k % 40}-01-{1 + k % 28:02d}", f"{k} North Oak Street", "2024-03-01", ["DE", "PA"][k % 2]) for k in range(36)]
+
+    def put(name, head, rows):
+        (root / name).write_text("\n".join([head, *(",".join(map(str, r)) for r in rows)]) + "\n")
+
+    put("Data_T0/candidate_records.csv", "candidate_record_id,first_name,last_name,date_of_birth,observed_street_address,candidate_created_date,observed_state", people)
+    put("Data_T0/license_id_events.csv", "source_record_id,first_name,last_name,date_of_birth,event_date,credential_state,credential_status", [(f"L{k}", p[1], p[2], p[3], "2024-01-10", "PA", "active") for k, p in enumerate(people)])
+    put("Data_T0/address_history.csv", "source_record_id,first_name,last_name,street_address,effective_start_date,effective_end_date,state", [(f"A{k}", p[1], p[2], p[4], "2023-12-01", "", "DE") for k, p in enumerate(people)])
+    put("Data_T0/external_context_signals.csv", "source_record_id,first_name,last_name,effective_date,signal_state,evidence_quality", [(f"E{k}", p[1], p[2], "2024-02-01", "MD", "limited") for k, p in enumerate(people)])
+    put("Data_T0/vehicle_title_events.csv", "source_record_id,owner_first_name,owner_last_name,vehicle_ref,event_date,event_state,event_type", [(f"V{k}", p[1], p[2], f"R{k}", "2024-02-10", "PA", "title_record") for k, p in enumerate(people)])
+    put("Data_T0/work_location_signals.csv", "source_record_id,first_name,last_name,observed_date,work_state", [(f"W{k}", p[1], p[2], "2024-02-15", "DE") for k, p in enumerate(people)])
+    put("Data_T1/evidence_update_stream.csv", "source_record_id,source_domain,record_action,first_name,last_name,vehicle_ref,effective_date,observed_date,state", [(f"U{k}", ["title", "address"][k % 2], "new_record", p[1], p[2], f"R{k}", "2024-03-05", "2024-03-20", "PA") for k, p in enumerate(people)])
+    classes = ["review_warranted", "review_not_warranted", "insufficient_evidence"]
+    put("labels.csv", "candidate_record_id,label_t0,label_t1", [(p[0], classes[k % 3], classes[(k // 2) % 3]) for k, p in enumerate(people)])
+    put("template.csv", "candidate_record_id,phase", [(p[0], t) for p in people for t in ("T0", "T1")])
+    out = str(tmp_path / "out")
+    small = ["--outer", "2", "--inner", "2", "--kinds", "logistic"]
+    for stage in (["linkage", str(root), out], ["features", str(root), out], ["compact", out], ["t0", out, str(root / "labels.csv"), *small], ["t1", out, str(root / "labels.csv"), *small], ["behaviour", out, str(root / "labels.csv"), "--resamples", "20"], ["metrics", out, str(root / "labels.csv"), str(root / "template.csv"), "--resamples", "20"], ["compare", out, out, "--resamples", "20"], ["validate", f"{out}/submission", str(root / "template.csv")]):
+        cli.main(stage, spark)
+    linked = files.read_text_csv(spark, f"{out}/linkage/linked_events")
+    assert len(linked.columns) == 29 and linked.count() == 6 * 36
+    assert files.read_text_csv(spark, f"{out}/submission").count() == 72
+    assert len(files.read_text_csv(spark, f"{out}/features/features_t0").columns) == 153
 
 
 def test_folds(spark):
@@ -147,7 +356,7 @@ def _norm(v):
     return round(float(v), 6) if isinstance(v, float | int) and not isinstance(v, bool) else v if isinstance(v, bool) else str(v)
 
 
-SLOW = {"alias_learning", "name_tiers"}
+SLOW = {"alias_learning", "name_tiers", "vehicle_bridge", "update_resolution", "linked_split", "linkage_summary", "linkage_methods", "coverage_pivot", "anchor_audit", "deltas_full"}
 
 
 @pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
