@@ -228,7 +228,7 @@ def _classes(sigs: DataFrame) -> DataFrame:
 
 
 def _components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """(doc_id, a, b, n_shingles, component_id) of every row."""
+    """(doc_id, a, b, n_shingles, component_id, part) of every row; part numbers the component, null where a row has no words."""
     sigs = stage(signatures(docs, id_col, text_col), "near-sigs")
     classes = stage(_classes(sigs), "near-classes")
     texts = _Texts(docs, classes, id_col, text_col)
@@ -277,10 +277,10 @@ def _components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Da
     # the class of a row by its set, the component of the class, the smallest id of the component
     named = classes.select("id", "set_a", "set_b", F.col("n").alias("n_shingles"), F.col("rep.doc_id").alias("least")).join(parts.withColumnRenamed("node", "id"), "id", "left")
     top = named.where("component is not null").groupBy("component").agg(F.min("least").alias("top"))
-    ids = named.join(top, "component", "left").select("set_a", "set_b", "n_shingles", F.coalesce("top", "least").alias("component_id"))
+    ids = named.join(top, "component", "left").select("set_a", "set_b", "n_shingles", F.coalesce("top", "least").alias("component_id"), F.coalesce("component", "id").alias("part"))
     out = sigs.select("doc_id", "a", "b", "n_shingles", "set_a", "set_b").join(ids, ["set_a", "set_b", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "a", "b", "n_shingles", component.alias("component_id"))
+    return out.select("doc_id", "a", "b", "n_shingles", component.alias("component_id"), "part")
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -320,21 +320,16 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without those that are near duplicates of a kept one, with all their columns, whatever their names.
 
-    The row with the smallest id of a component stays; where several rows have
-    this id, and for exact repeats of a row, all with the text of one of them
-    go but for one row. Rows without words and rows with a null id stay, all
-    of them. An empty table gives no rows.
+    The row with the smallest id of a component stays, of several such rows
+    one; of exact repeats of a row one. Rows of one id with other texts that
+    are not linked are in components of their own and stay. Rows without words
+    and rows with a null id stay, all of them. An empty table gives no rows.
     """
     rows = stage(_components(docs, id_col, text_col, percent).where("n_shingles > 0 and doc_id is not null"), "near-rows")
-    # of rows with the kept id, the one with the smallest key; it may be repeated
-    first = rows.where("doc_id = component_id").groupBy("component_id").agg(F.min(F.struct("a", "b")).alias("best"), F.count(F.lit(1)).alias("c"))
-    again = first.where("c > 1").select("component_id", "best")
-    gone = rows.where("doc_id <> component_id").select("a", "b").union(
-        rows.where("doc_id = component_id").join(again, "component_id").where(F.struct("a", "b") != F.col("best")).select("a", "b")
-    )
-    gone = gone.select(F.struct("a", "b").alias("__near_key")).distinct()
-    repeats = rows.where("doc_id = component_id").groupBy(F.struct("a", "b").alias("__near_key")).count().where("count > 1").select("__near_key")
-    repeats = stage(repeats, "near-repeats")
+    best = rows.groupBy("part").agg(F.min(F.struct("doc_id", "a", "b")).alias("best"), F.count(F.lit(1)).alias("c")).where("c > 1").select("part", "best")
+    multi = rows.join(best, "part").withColumn("own", (F.col("a") == F.col("best.a")) & (F.col("b") == F.col("best.b"))).select(F.struct("a", "b").alias("__near_key"), "own")
+    gone = stage(multi.where("not own").select("__near_key").distinct(), "near-gone")
+    repeats = stage(multi.where("own").groupBy("__near_key").count().where("count > 1").select("__near_key"), "near-repeats")
     out = docs.withColumn("__near_key", row_key(id_col, text_col)).join(gone, "__near_key", "left_anti")
     if repeats.limit(1).count():
         out = out.join(repeats, "__near_key", "left_anti").unionByName(out.join(repeats, "__near_key", "left_semi").dropDuplicates(["__near_key"]))
