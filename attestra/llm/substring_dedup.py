@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,8 +19,8 @@ LENGTH, GRAM = 400, 32
 BATCHES = 4
 #: Distinct contexts of one gram that a task compares; larger groups are compared window by window instead.
 GROUP = 20_000
-#: Keys that a filter of texts may broadcast; beyond it the join is shuffled.
-BROADCAST_KEYS = 1_000_000
+#: Keys that a filter of texts may broadcast, some 100 bytes each; beyond it the join is shuffled.
+BROADCAST_KEYS = 250_000
 
 _BASE = 0xD1342543DE82EF95
 _POS_BITS = 20
@@ -105,37 +106,54 @@ def suffixes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", le
     return rows.mapInPandas(run, SUFFIX)
 
 
-class SuffixFamily:
-    """Sorted runs of sampled suffixes, one per distinct context, in levels of doubling size.
+ENTRY = ["gram", "context", "lo", "hi"]
+
 
-    A new batch becomes a run; as long as the youngest level is as large, the
-    two are merged. So a suffix is rewritten once a doubling, and n batches
-    leave at most log2(n) + 1 levels to scan. Runs are tables in the shared
-    folder, sorted by gram and context.
+class SuffixFamily:
+    """Suffix arrays of sampled suffixes in levels of doubling size.
+
+    A batch becomes a run: its distinct suffixes by (gram, context), an order
+    in which equal strings are neighbours, which is all that a scan for equal
+    ones needs of a suffix array's order; with it goes the run's list of grams,
+    each with its least and greatest context. Before a new run is merged it is
+    merge-scanned against every level, entry by entry and gram by gram, each
+    once on either side: equal entries are long matches (``whole``), a gram
+    with other contexts on the other side may hold matches of a part of them
+    (``shared``). Then, as long as the youngest level is as large, the two are
+    merged. So a suffix is rewritten once a doubling, and n batches leave at
+    most log2(n) + 1 levels to scan. Runs are tables in the shared folder.
     """
 
     def __init__(self) -> None:
-        self.levels: list[tuple[int, DataFrame]] = []
+        self.levels: list[tuple[int, DataFrame, DataFrame]] = []
+        self.whole: list[DataFrame] = []
+        self.shared: list[DataFrame] = []
 
     def add(self, batch: DataFrame) -> None:
-        run = batch.groupBy("gram", "context", "lo", "hi").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("a", "b", "p")).alias("where"))
-        size = 1
+        run = stage(batch.groupBy(*ENTRY).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("a", "b", "p")).alias("where")), "suffix-run")
+        grams = stage(run.groupBy("gram").agg(F.min("context").alias("least"), F.max("context").alias("most")), "suffix-grams")
+        self.whole.append(run.where("n > 1").select(*ENTRY))
+        self.shared.append(grams.where("least <> most").select("gram"))
+        for _, entries, others in self.levels:
+            self.whole.append(run.select(*ENTRY).join(entries.select(*ENTRY), ENTRY))
+            there = others.select("gram", F.col("least").alias("l"), F.col("most").alias("m"))
+            self.shared.append(grams.join(there, "gram").where("least <> l or most <> m").select("gram"))
+        size, merged = 1, False
         while self.levels and self.levels[-1][0] == size:
-            run = self._merged([run, self.levels.pop()[1]])
-            size *= 2
-        self.levels.append((size, stage(run, "suffix-level")))
-
-    @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        whole = runs[0]
-        for r in runs[1:]:
-            whole = whole.unionByName(r)
-        return whole.groupBy("gram", "context", "lo", "hi").agg(F.sum("n").alias("n"), F.min("where").alias("where"))
-
-    def scan(self) -> DataFrame:
-        """All levels merged: each context with its number of places."""
-        runs = [x for _, x in self.levels]
-        return runs[0] if len(runs) == 1 else stage(self._merged(runs), "suffix-scan")
+            _, entries, others = self.levels.pop()
+            run = run.unionByName(entries).groupBy(*ENTRY).agg(F.sum("n").alias("n"), F.min("where").alias("where"))
+            grams = grams.unionByName(others).groupBy("gram").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+            size, merged = size * 2, True
+        self.levels.append((size, stage(run, "suffix-level") if merged else run, stage(grams, "suffix-grams") if merged else grams))
+
+    def found(self) -> tuple[DataFrame, DataFrame]:
+        """The entries that are repeated as a whole, and the entries of all levels whose grams have several contexts, with how many (m)."""
+        whole = stage(reduce(DataFrame.unionByName, self.whole).distinct(), "suffix-whole")
+        shared = stage(reduce(DataFrame.unionByName, self.shared).distinct(), "suffix-shared")
+        entries = reduce(DataFrame.unionByName, [e.join(shared, "gram", "left_semi") for _, e, _ in self.levels])
+        entries = entries.groupBy(*ENTRY).agg(F.min("where").alias("where"))
+        several = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("m"))
+        return whole, stage(entries.join(several, "gram"), "suffix-partly")
 
 
 def _windows(frame: pd.DataFrame, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -240,14 +258,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     family = SuffixFamily()
     for k in range(batches):
         family.add(all_suffixes.where(F.col("batch") == k))
-    seen = family.scan()
-
     # a context at two places is repeated as a whole; others share at most a part with another context of their gram
-    whole = seen.where("n > 1").select("gram", "context", "lo", "hi", F.array(F.struct("lo", "hi")).cast(INTERVALS).alias("repeated"))
-    several = seen.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    partly = stage(seen.join(several, "gram").select("gram", "context", "lo", "hi", "n", "m", "where"), "suffix-partly")
+    matched, partly = family.found()
+    whole = matched.select(*ENTRY, F.array(F.struct("lo", "hi")).cast(INTERVALS).alias("repeated"))
     texts = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-    wanted = stage(partly.groupBy(F.struct("where.a", "where.b").alias("key")).agg(F.collect_list(F.struct("where.p", "gram", "context", "lo", "hi", "n", "m")).alias("cuts")), "suffix-wanted")
+    wanted = stage(partly.groupBy(F.struct("where.a", "where.b").alias("key")).agg(F.collect_list(F.struct("where.p", *ENTRY, "m")).alias("cuts")), "suffix-wanted")
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -262,15 +277,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pd.DataFrame(out, columns=["gram", "context", "lo", "hi", "m", "bytes"])
 
     contexts = _of_keys(texts, wanted).select("text", "cuts").mapInPandas(cut, "gram long, context long, lo int, hi int, m long, bytes binary")
-    most = several.agg(F.max("m")).first()[0] or 0
+    most = partly.agg(F.max("m")).first()[0] or 0
     if most > group:
         contexts = stage(contexts, "suffix-contexts")
         part = _compared(contexts.where(F.col("m") <= group), length).unionByName(_by_window(contexts.where(F.col("m") > group), length))
     else:
         part = _compared(contexts, length)
-    part = stage(part.join(seen.where("n > 1").select("gram", "context", "lo", "hi"), ["gram", "context", "lo", "hi"], "left_anti"), "suffix-repeated")
+    part = stage(part.join(matched, ENTRY, "left_anti"), "suffix-repeated")
     verdict = whole.unionByName(part)
-    spans = all_suffixes.join(verdict, ["gram", "context", "lo", "hi"]).select(
+    spans = all_suffixes.join(verdict, ENTRY).select(
         F.struct("a", "b").alias("key"), F.explode("repeated").alias("r"), "p"
     )
     return stage(
@@ -307,15 +322,19 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Every byte is removed that a string of ``length`` bytes covers which also
     starts anywhere else in the input, all copies included.
 
-    Suffixes are sampled so that equal strings sample the same suffix, indexed
-    in batches by a SuffixFamily, and merge-scanned by gram. Equal contexts are
-    repeated as they are; only contexts that share a gram with another one are
-    fetched and compared window by window. Grams with over ``group`` contexts
-    are compared over all tasks by window hashes, none is capped.
-
-    Repeated rows are copies of each other. Texts under ``length`` bytes stay
-    whole. A cut may fall inside a character, so what is kept is binary. An
-    empty table gives no rows.
+    Suffixes are sampled so that equal strings sample the same suffix. Batches
+    of them are merge-scanned against the levels of a SuffixFamily and added to
+    it. Equal contexts are repeated as they are; only contexts that share a
+    gram with another one are fetched and compared window by window. Grams with
+    over ``group`` contexts are compared over all tasks by window hashes, none
+    is capped. Contexts and windows are compared by 64-bit hashes, windows
+    among those of one gram only: two different ones of n have one hash with a
+    chance of n * n / 4e19.
+
+    Repeated rows are copies of each other; ids may be null or repeat. Texts
+    under ``length`` bytes stay whole. A cut may fall inside a character, so
+    what is kept is binary. A very long text is hashed in pieces. Columns but
+    the two named are not read. An empty table gives no rows.
     """
     spans = repeated_spans(docs, id_col, text_col, length, batches, group)
     kind = dict(docs.dtypes)[id_col]
