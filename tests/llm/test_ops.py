@@ -111,8 +111,8 @@ def test_near_with_repeated_ids(spark):
     got = sorted(rows(near_dedup.near_components(docs).select("doc_id", "component_id")), key=str)
     assert got == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (5, 4), (None, None), (6, 6), (7, 7)], key=str)
     kept = near_dedup.keep_one(docs)
-    # one row of id 1 stays, and one of the repeated row of id 4
-    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "4", "6", "7", "None"]
+    # both texts of id 1 stay, as they are not linked, and one of the repeated row of id 4
+    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "4", "6", "7", "None"]
 
 
 def test_exact_join_finds_what_stars_miss(spark):
@@ -514,6 +514,21 @@ def test_substrings(spark, odd, empty, group):
     assert not rows(substring_dedup.substring_dedup(empty))
 
 
+def test_suffix_family_levels(spark):
+    docs = spark.createDataFrame([(k, prose(120, 500 + k % 5) + f" own {k}") for k in range(40)], "doc_id long, text string")
+    want = sorted((r.doc_id, *x) for r, x in zip(docs.collect(), substring_dedup.brute_force([r.text for r in docs.collect()]), strict=True))
+    for batches in (1, 3, 5):
+        out = substring_dedup.substring_dedup(docs, batches=batches).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("h"))
+        assert sorted(rows(out)) == want
+    family = substring_dedup.SuffixFamily()
+    some = substring_dedup.suffixes(docs, batches=7)
+    sizes = []
+    for k in range(7):
+        family.add(some.where(F.col("batch") == k))
+        sizes.append([s for s, *_ in family.levels])
+    assert sizes == [[1], [2], [2, 1], [4], [4, 1], [4, 2], [4, 2, 1]]
+
+
 def test_substrings_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     all_docs = docs.collect()
