@@ -33,12 +33,14 @@ def _fold_any(values: pd.Series) -> pd.Series:
 def upper_ascii(value: Column) -> Column:
     """Trimmed, without combining marks, upper case; missing is ''.
 
-    Plain ASCII, nearly every value, stays in the JVM; the compatibility
-    decomposition that Spark lacks runs for the rest only, in Arrow batches.
+    Plain ASCII, nearly every value, is folded in the JVM; the compatibility
+    decomposition that Spark lacks gets the rest in Arrow batches, and nulls
+    for what is folded already.
     """
     plain = F.trim(F.coalesce(value, F.lit("")))
     easy = F.when(F.lower(plain) == "nan", "").otherwise(F.upper(plain))
-    return F.when(plain.rlike(r"^[\x00-\x7F]*$"), easy).otherwise(_fold_any(plain))
+    ascii_only = plain.rlike(r"^[\x00-\x7F]*$")
+    return F.when(ascii_only, easy).otherwise(_fold_any(F.when(~ascii_only, plain)))
 
 
 def clean_text(value: Column) -> Column:

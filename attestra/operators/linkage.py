@@ -8,7 +8,10 @@ are dealt anew, by the whole pair, before any is scored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property, reduce
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +27,7 @@ DECISION = [
 #: Columns that a source may have and that the unified table keeps, '' where it has none.
 EXTRAS = ["record_action", "event_type", "source_type", "signal_type", "evidence_quality", "credential_status", "effective_end_date", "source_description"]
 _R = LinkageRules()
+T = TypeVar("T")
 
 
 def candidate_index(candidates: DataFrame) -> DataFrame:
@@ -255,6 +259,12 @@ def standardize(rows: DataFrame, source: str, spec: SourceSpec, rules: LinkageRu
     )
 
 
+def _side_by_side(jobs: list[Callable[[], T]]) -> list[T]:
+    """Independent stages at the same time, as jobs of one session."""
+    with ThreadPool(min(6, len(jobs))) as pool:
+        return pool.map(lambda f: f(), jobs)
+
+
 class LinkageRun:
     """All stages in their order: anchors, aliases, names, bridge, updates. Each is a table that later ones read, made when it is first asked for."""
 
@@ -274,7 +284,7 @@ class LinkageRun:
     @cached_property
     def normalized(self) -> dict[str, DataFrame]:
         keys = {"license_id_events": ("date_of_birth", None), "address_history": (None, "street_address")}
-        return {k: barrier(self._keys(k, *keys.get(k, (None, None))), k) for k in self.specs}
+        return dict(zip(self.specs, _side_by_side([lambda k=k: barrier(self._keys(k, *keys.get(k, (None, None))), k) for k in self.specs]), strict=True))
 
     @cached_property
     def dob(self) -> DataFrame:
@@ -286,7 +296,9 @@ class LinkageRun:
 
     @cached_property
     def aliases(self) -> DataFrame:
-        return barrier(learn_aliases(self.dob.select("nf", "nl", *DECISION).unionByName(self.address.select("nf", "nl", *DECISION)), self.rules), "aliases")
+        self.normalized, self.index
+        anchors = _side_by_side([lambda: self.dob, lambda: self.address])
+        return barrier(learn_aliases(reduce(DataFrame.unionByName, [d.select("nf", "nl", *DECISION) for d in anchors]), self.rules), "aliases")
 
     @cached_property
     def names(self) -> DataFrame:
