@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -15,7 +17,9 @@ from pyspark.sql import functions as F
 
 #: Control strings of the template. Each becomes one token, so no token of a text reaches over its ends.
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
-TOKENIZER = os.environ.get("ATTESTRA_BPE_JSON", "/opt/tokenizers/byte_bpe_50k.json")
+TOKENIZER = os.environ.get("ATTESTRA_BPE", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+#: How this vocabulary cuts texts before it merges bytes. Fixed value.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def escape(text: str) -> str:
@@ -45,19 +49,45 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return [tuple(unescape(x) for x in t.split(SEP)) for t in re.split(re.escape(END), formatted)[:-1] for t in [t.removeprefix(START)]]
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import AddedToken, Tokenizer
-    from tokenizers.pre_tokenizers import ByteLevel
+_BLANKS = re.compile(r"(?<!\s)[ \t\n\r\x0b\x0c]{4096,}(?!\s)")
+
+
+class Encoder:
+    """A byte-level vocabulary of ranks, with the control strings as the ids after it, and how many bytes each id stands for."""
+
+    def __init__(self, path: str):
+        import tiktoken
 
-    t = Tokenizer.from_file(path)
-    t.pre_tokenizer = ByteLevel(add_prefix_space=False, trim_offsets=False)
-    from tokenizers.processors import ByteLevel as Post
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, Path(path).read_bytes().splitlines())}
+        first = max(ranks.values()) + 2
+        self.special = {x: first + k for k, x in enumerate((START, SEP, END))}
+        self.bpe = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
+        # a run of blanks is one piece but for its last; very long ones are cut out, as the pattern can't go back so far
+        self.whole = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        self.size = np.zeros(first + len(self.special), np.int64)
+        for token, k in (ranks | {x.encode(): k for x, k in self.special.items()}).items():
+            self.size[k] = len(token)
 
-    t.post_processor = Post(trim_offsets=False)
-    t.add_special_tokens([AddedToken(x, special=True, normalized=False) for x in (START, SEP, END)])
-    return t
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and the code points where each begins and ends; tokens of one character's bytes share its place."""
+        ids, at = [], 0
+        for run in _BLANKS.finditer(text):
+            stop = run.end() - (run.end() < len(text))
+            ids += self.bpe.encode(text[at : run.start()], allowed_special="all") + self.whole.encode_ordinary(text[run.start() : stop])
+            at = stop
+        ids = np.array(ids + self.bpe.encode(text[at:], allowed_special="all"), np.int32)
+        ends = np.cumsum(self.size[ids])
+        starts = ends - self.size[ids]
+        data = np.frombuffer(text.encode(), np.uint8)
+        if len(data) != len(text):
+            begun = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+            starts, ends = begun[starts + 1] - 1, begun[ends]
+        return ids, starts.astype(np.int32), ends.astype(np.int32)
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def mask_tokens(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
@@ -76,8 +106,9 @@ def format_conversations(convs: DataFrame, tokenizer_path: str = TOKENIZER, loss
     are not read. Turns go by (turn, role, text), nulls first, so ties and
     repeated rows have one order and all stay. Null role and text count as
     empty; a null conv_id is a conversation of its own. An empty table gives
-    no rows. A conversation is encoded once, as a whole; its texts must fit in
-    a task together, as a training example must.
+    no rows. A conversation is encoded once, as a whole, and the places of its
+    tokens are sums of their bytes; its texts must fit in a task together, as
+    a training example must.
 
     Returns conv_id, formatted, input_ids, token_start, token_end (code points
     of ``formatted``) and loss_mask.
@@ -85,15 +116,14 @@ def format_conversations(convs: DataFrame, tokenizer_path: str = TOKENIZER, loss
     rows = convs.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tok = _tokenizer(tokenizer_path)
+        tok = _encoder(tokenizer_path)
         for b in batches:
             for lo in range(0, len(b), 64):
-                part = b.iloc[lo : lo + 64]
-                done = [render([(t["role"] or "", t["text"] or "") for t in turns], loss_role) for turns in part["turns"]]
-                out = []
-                for (text, spans), enc in zip(done, tok.encode_batch([x for x, _ in done], add_special_tokens=False), strict=True):
-                    at = np.array(enc.offsets, np.int32).reshape(-1, 2)
-                    out.append((text, np.array(enc.ids, np.int32), at[:, 0], at[:, 1], mask_tokens(at[:, 0], at[:, 1], spans)))
+                part, out = b.iloc[lo : lo + 64], []
+                for turns in part["turns"]:
+                    text, spans = render([(t["role"] or "", t["text"] or "") for t in turns], loss_role)
+                    ids, starts, ends = tok.encode(text)
+                    out.append((text, ids, starts, ends, mask_tokens(starts, ends, spans)))
                 frame = pd.DataFrame(out, columns=["formatted", "input_ids", "token_start", "token_end", "loss_mask"])
                 frame.insert(0, "conv_id", part["conv_id"].array)
                 yield frame
