@@ -330,6 +330,27 @@ def test_chat(spark):
     assert not chat_format.format_conversations(t.limit(0)).collect()
 
 
+def test_encoder_equals_the_other_library():
+    """Ids and places, against the library that reports offsets itself."""
+    from tokenizers import AddedToken, Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
+    from tokenizers.processors import ByteLevel as Post
+
+    other = Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json")
+    other.pre_tokenizer, other.post_processor = ByteLevel(add_prefix_space=False, trim_offsets=False), Post(trim_offsets=False)
+    other.add_special_tokens([AddedToken(x, special=True, normalized=False) for x in (chat_format.START, chat_format.SEP, chat_format.END)])
+    own = chat_format._encoder(chat_format.TOKENIZER)
+    r = random.Random(6)
+    wild = ["".join(r.choice("ab eé \n\t▁th1漢.🎉'<|>\\s\x00") for _ in range(r.randint(0, 200))) for _ in range(300)]
+    blanks = ["a" + " " * 9000 + "b", "\n" * 5000 + "x" + " \t" * 4000, "a" + " " * 5000 + "\nb<|im_end|>" + " " * 4096]
+    for text in [*wild, *blanks, *(t for t in TEXTS if t), chat_format.render([("user", t) for t in wild[:50]])[0]]:
+        enc = other.encode(text, add_special_tokens=False)
+        ids, starts, ends = own.encode(text)
+        assert ids.tolist() == enc.ids and list(zip(starts.tolist(), ends.tolist())) == enc.offsets, text
+    for long_text in (" " * 2_000_000, "x" * 2_000_000):
+        assert own.encode(long_text)[2][-1] == 2_000_000
+
+
 @pytest.mark.parametrize("text", ["<|", "<\\|", "<\\\\|x<|", "|<|<<||", "a"])
 def test_escape(text):
     assert chat_format.unescape(chat_format.escape(text)) == text and "<|" not in chat_format.escape(text)
