@@ -17,9 +17,10 @@ SHINGLE, PERCENT = 5, 75
 #: Permutations: each gives a minimum and a maximum. BANDS bands of ROWS values over all of them.
 PERMUTATIONS, ROWS = 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS
-#: Four bits of each value are kept to guess which pairs are worth their texts. Of the 512, a pair at a
-#: similarity of 0.75 differs in 64 with a deviation of 11.3. What the guess refuses is met again in step 5.
-SKETCH_BITS, FAR_BITS = 4, 136
+#: Four bits of each value are kept to estimate similarity before texts are fetched. Of the 512, a pair at a
+#: similarity of 0.75 differs in 64 with a deviation of 11.3. Stars and pivots are compared up to NEAR_BITS: what
+#: that refuses is met again in step 5. There the tail beyond FAR_BITS is 7e-9, small beside the 5e-6 of the bands.
+SKETCH_BITS, NEAR_BITS, FAR_BITS = 4, 80, 136
 #: Keys that a filter of texts may broadcast (24 bytes each); beyond it the join is shuffled.
 BROADCAST_IDS = 250_000
 #: Random members of a bucket that the rest is compared with before the exact join.
@@ -238,12 +239,12 @@ def _components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Da
     shared = buckets.groupBy("hash").agg(F.min("id").alias("star"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     members = stage(buckets.join(shared, "hash"), "near-buckets")
 
-    def promising(pairs: DataFrame) -> DataFrame:
-        """Pairs that may be similar by size and signature bits; what this refuses stays in an open bucket."""
+    def promising(pairs: DataFrame, most: int) -> DataFrame:
+        """Pairs that may be similar by size and signature bits."""
         s, d = (sketch.select(F.col("id").alias(x), F.struct("n", "bits").alias(f"{x}_")) for x in ("src", "dst"))
         sized = (100 * F.col("src_.n") >= percent * F.col("dst_.n")) & (100 * F.col("dst_.n") >= percent * F.col("src_.n"))
         apart = sum((F.bit_count(F.get("src_.bits", F.lit(k)).bitwiseXOR(F.get("dst_.bits", F.lit(k)))) for k in range(2 * PERMUTATIONS * SKETCH_BITS // 64)), F.lit(0))
-        return pairs.join(s, "src").join(d, "dst").where(sized & (apart <= FAR_BITS)).select("src", "dst")
+        return pairs.join(s, "src").join(d, "dst").where(sized & (apart <= most)).select("src", "dst")
 
     def open_buckets(parts: DataFrame) -> DataFrame:
         """Members of the buckets that hold more than one component: (hash, id, part)."""
@@ -251,15 +252,16 @@ def _components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Da
         mixed = own.groupBy("hash").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("hash")
         return stage(own.join(mixed, "hash"), "near-open")
 
-    tested = stage(promising(members.where("id <> star").select(F.col("star").alias("src"), F.col("id").alias("dst")).distinct()), "near-pairs")
+    tested = stage(promising(members.where("id <> star").select(F.col("star").alias("src"), F.col("id").alias("dst")).distinct(), NEAR_BITS), "near-pairs")
     links = _confirmed(tested, texts, percent)
     parts = components(links)
 
     open_ = open_buckets(parts)
-    pivot = open_.groupBy("hash").agg(*[F.min(F.struct(F.xxhash64("id", "hash", F.lit(k)).alias("h"), "id", "part")).alias(f"p{k}") for k in range(PIVOTS)])
+    # one order of all classes for each k: buckets of one group have the same pivots, so a pair is met once
+    pivot = open_.groupBy("hash").agg(*[F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id", "part")).alias(f"p{k}") for k in range(PIVOTS)])
     pivot = pivot.select("hash", F.explode(F.array_distinct(F.array(*[F.struct(f"p{k}.id", f"p{k}.part") for k in range(PIVOTS)]))).alias("p"))
     some = open_.join(pivot, "hash").where(F.col("part") != F.col("p.part")).select(F.col("p.id").alias("src"), F.col("id").alias("dst")).distinct()
-    some = stage(promising(some.join(tested.union(tested.select("dst", "src")), ["src", "dst"], "left_anti")), "near-pairs")
+    some = stage(promising(some.join(tested.union(tested.select("dst", "src")), ["src", "dst"], "left_anti"), NEAR_BITS), "near-pairs")
     if some.limit(1).count():
         links = stage(links.union(_confirmed(some, texts, percent)), "near-links")
         tested = tested.union(some)
@@ -268,7 +270,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Da
 
     if open_.limit(1).count():
         both = tested.union(tested.select("dst", "src"))
-        across = stage(_across(_prefixes(open_, texts, percent), percent).join(both, ["src", "dst"], "left_anti"), "near-pairs")
+        across = stage(promising(_across(_prefixes(open_, texts, percent), percent).join(both, ["src", "dst"], "left_anti"), FAR_BITS), "near-pairs")
         if across.limit(1).count():
             more = _confirmed(across, texts, percent)
             if more.limit(1).count():
@@ -302,7 +304,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     5. The classes of buckets that still have more than one go through an
        exact similarity join by length and by the rarest shingles; what shares
        one across components is confirmed on full sets. Nothing is capped, and
-       no link is lost to steps 3 to 5.
+       no link is lost to steps 3 to 5, but for the signature bits of the last,
+       which refuse one at 0.75 with a chance of 7e-9.
 
     Words are compared by 64-bit hashes, sets by two 64-bit digests and their
     size: two different sets of 20,000 shingles share a hash with a chance of
