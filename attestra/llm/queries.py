@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestra.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, pii, sentencepiece_np, substring_dedup, toxicity
+from attestra.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, pii, sentencepiece_np, substring_dedup, toxicity, url_filter
 from attestra.llm.common import table
 
 
@@ -67,6 +67,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op13_url_filter": op13_url_filter,
 }
 
 ORACLES = {
@@ -85,4 +90,5 @@ ORACLES = {
     "op8_decontaminate": decontaminate.ORACLE,
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op13_url_filter": url_filter.ORACLE,
 }
