@@ -62,13 +62,17 @@ def window_scores(windows: DataFrame, order: int = ORDER) -> DataFrame:
     seen = windows.where("a + b > 0")
     suffix = F.explode(F.transform(F.sequence(F.lit(1), F.lit(order + 1)), lambda n: F.struct(n.alias("n"), F.substring("window", -n, n).alias("gram"))))
     counts = seen.select(suffix.alias("s"), "a", "b").groupBy("s.n", "s.gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    # one model without context: its totals are two numbers each, not a key that all windows share
+    bare = counts.where("n = 1").agg(*[F.coalesce(f, F.lit(0)) for f in (F.sum("a"), F.count_if(F.col("a") > 0), F.sum("b"), F.count_if(F.col("b") > 0))]).first()
     contexts = (
-        counts.groupBy("n", F.expr("substring(gram, 1, n - 1)").alias("context"))
+        counts.where("n > 1").groupBy("n", F.expr("substring(gram, 1, n - 1)").alias("context"))
         .agg(F.sum("a").alias("na"), F.count_if(F.col("a") > 0).alias("ta"), F.sum("b").alias("nb"), F.count_if(F.col("b") > 0).alias("tb"))
     )
     chain = windows.select("window", suffix.alias("s")).select("window", "s.*").withColumn("context", F.expr("substring(gram, 1, n - 1)"))
-    known = chain.join(counts, ["n", "gram"], "left").join(contexts, ["n", "context"], "left")
-    steps = known.groupBy("window").agg(F.sort_array(F.collect_list(F.struct("n", *[F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in ("a", "na", "ta", "b", "nb", "tb")]))).alias("steps"))
+    known = chain.join(counts, ["n", "gram"], "left").withColumn("context", F.when(F.col("n") > 1, F.col("context"))).join(contexts, ["n", "context"], "left")
+    totals = dict(zip(("na", "ta", "nb", "tb"), bare, strict=True))
+    stats = [F.coalesce(c, F.when(F.col("n") == 1, totals[c]) if c in totals else F.lit(0), F.lit(0)).cast("double").alias(c) for c in ("a", "na", "ta", "b", "nb", "tb")]
+    steps = known.groupBy("window").agg(F.sort_array(F.collect_list(F.struct("n", *stats))).alias("steps"))
 
     def chance(own: str, n: str, t: str) -> Column:
         return F.aggregate("steps", F.lit(1.0 / ALPHABET), lambda p, s: F.when(s[n] > 0, (s[own] + s[t] * p) / (s[n] + s[t])).otherwise(p))
