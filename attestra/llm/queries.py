@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestra.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, pii, sentencepiece_np, substring_dedup, toxicity, upsert, url_filter
+from attestra.llm import chat_format, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, pii, sentencepiece_np, substring_dedup, token_alignment, toxicity, upsert, url_filter
 from attestra.llm.common import table
 
 
@@ -67,6 +67,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(table(spark, sf_dir, "documents"))
+
+
 def op12_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     clients = table(spark, sf_dir, "clients")
     files, folder = upsert.upsert_clients(spark, clients, table(spark, sf_dir, "client_changes"))
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_token_alignment": op11_token_alignment,
     "op12_upsert": op12_upsert,
     "op13_url_filter": op13_url_filter,
 }

@@ -69,7 +69,7 @@ def window_scores(windows: DataFrame, order: int = ORDER) -> DataFrame:
         .agg(F.sum("a").alias("na"), F.count_if(F.col("a") > 0).alias("ta"), F.sum("b").alias("nb"), F.count_if(F.col("b") > 0).alias("tb"))
     )
     chain = windows.select("window", suffix.alias("s")).select("window", "s.*").withColumn("context", F.expr("substring(gram, 1, n - 1)"))
-    known = chain.join(counts, ["n", "gram"], "left").withColumn("context", F.when(F.col("n") > 1, F.col("context"))).join(contexts, ["n", "context"], "left")
+    known = chain.join(counts, ["n", "gram"], "left").withColumn("context", F.when(F.col("n") > 1, F.col("context")).otherwise(F.col("window"))).join(contexts, ["n", "context"], "left")
     totals = dict(zip(("na", "ta", "nb", "tb"), bare, strict=True))
     stats = [F.coalesce(c, F.when(F.col("n") == 1, totals[c]) if c in totals else F.lit(0), F.lit(0)).cast("double").alias(c) for c in ("a", "na", "ta", "b", "nb", "tb")]
     steps = known.groupBy("window").agg(F.sort_array(F.collect_list(F.struct("n", *stats))).alias("steps"))
