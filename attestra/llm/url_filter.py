@@ -82,15 +82,16 @@ def window_scores(windows: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def _cut(labelled: DataFrame) -> float:
-    """The difference under which a text is rejected: the edge of a bin that keeps the share of accepted rows over it plus that of rejected rows under it largest; of equal ones the nearest to 0. 0 where held rows lack a class."""
+    """The difference under which a text is rejected: midway between two bins that have rows, such that the share of accepted rows over it plus that of rejected rows under it is largest; of equal ones the nearest to 0. 0 where held rows lack a class."""
     k = F.least(F.greatest(F.floor(F.col("difference") * BINS), F.lit(-REACH)), F.lit(REACH)).alias("bin")
     bins = labelled.groupBy(k).agg(F.count_if("allowed").alias("a"), F.count_if(~F.col("allowed")).alias("b"))
     every, below = Window.partitionBy(F.lit(1)), Window.partitionBy(F.lit(1)).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     total = [F.sum(c).over(every) for c in "ab"]
     under = [F.coalesce(F.sum(c).over(below), F.lit(0)) for c in "ab"]
     gain = F.when((total[0] > 0) & (total[1] > 0), F.round(under[1] / total[1] - under[0] / total[0], 9))
-    best = bins.select("bin", gain.alias("gain")).where("gain is not null").orderBy(F.desc("gain"), F.abs("bin"), "bin").first()
-    return best["bin"] / BINS if best else 0.0
+    middle = (F.coalesce(F.lag("bin").over(Window.partitionBy(F.lit(1)).orderBy("bin")) + 1, F.col("bin")) + F.col("bin")) / 2
+    best = bins.select(middle.alias("middle"), gain.alias("gain")).where("gain is not null").orderBy(F.desc("gain"), F.abs("middle"), "middle").first()
+    return best["middle"] / BINS if best else 0.0
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", order: int = ORDER) -> DataFrame:
@@ -170,8 +171,8 @@ sc AS MATERIALIZED (SELECT w, round((ln({chance("a")}) - ln({chance("b")})) * 1e
 f AS MATERIALIZED (SELECT r, sum(score)::BIGINT / count(*) / 1e6 AS difference FROM o JOIN sc USING (w) GROUP BY r),
 m AS MATERIALIZED (SELECT * FROM l JOIN f USING (r)),
 b AS (SELECT greatest(least(floor(difference * {BINS}), {REACH}), -{REACH}) AS bin, count(*) FILTER (best.verdict = 'allow') AS a, count(*) FILTER (best.verdict = 'block') AS b FROM m WHERE held AND best IS NOT NULL GROUP BY 1),
-e AS (SELECT bin, sum(a) OVER () AS ta, sum(b) OVER () AS tb, coalesce(sum(a) OVER x, 0) AS ua, coalesce(sum(b) OVER x, 0) AS ub FROM b WINDOW x AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-cut AS (SELECT coalesce((SELECT bin / {BINS} FROM e WHERE ta > 0 AND tb > 0 ORDER BY round(ub / tb - ua / ta, 9) DESC, abs(bin), bin LIMIT 1), 0) AS cut),
+e AS (SELECT (coalesce(lag(bin) OVER (ORDER BY bin) + 1, bin) + bin) / 2 AS middle, sum(a) OVER () AS ta, sum(b) OVER () AS tb, coalesce(sum(a) OVER x, 0) AS ua, coalesce(sum(b) OVER x, 0) AS ub FROM b WINDOW x AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+cut AS (SELECT coalesce((SELECT middle / {BINS} FROM e WHERE ta > 0 AND tb > 0 ORDER BY round(ub / tb - ua / ta, 9) DESC, abs(middle), middle LIMIT 1), 0) AS cut),
 k AS (SELECT count(*) FILTER (best.verdict = 'allow') AS ka, count(*) FILTER (best.verdict = 'block') AS kb FROM m)
 SELECT page_id, host, path, best.rule AS rule,
        coalesce(best.verdict, CASE WHEN ka > 0 AND kb > 0 THEN CASE WHEN difference < cut THEN 'block' ELSE 'allow' END WHEN kb > 0 THEN 'block' ELSE 'allow' END) AS verdict

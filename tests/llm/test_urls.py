@@ -63,7 +63,9 @@ def plain(urls):
     cut = 0.0
     if all(total.values()):
         gain = {b: round(sum(n for (c, v), n in bins.items() if v == "block" and c < b) / total["block"] - sum(n for (c, v), n in bins.items() if v == "allow" and c < b) / total["allow"], 9) for b, _ in bins}
-        cut = min(gain, key=lambda b: (-gain[b], abs(b), b)) / U.BINS
+        order = sorted(gain)
+        middle = {b: (order[k - 1] + 1 + b) / 2 if k else b for k, b in enumerate(order)}
+        cut = min((-gain[b], abs(m), m) for b, m in middle.items())[2] / U.BINS
     return [(h, p, b[1] if b else None, b[2] if b else "block" if x < cut else "allow") for (h, p, b, _), x in zip(rows, d, strict=True)], [x - cut for x in d]
 
 
