@@ -7,9 +7,11 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +28,9 @@ BATCH_DOCS, BATCH_CHARS = 4096, 4_000_000
 #: Distinct segments that a worker remembers, and their bytes.
 REMEMBERED, REMEMBERED_BYTES = 300_000, 64 << 20
 #: Entries of counts that a task gathers before it hands them on, that one block adds up, and links that one task scores.
-GATHERED, FOLDED, SCORED = 4_000_000, 400_000_000, 50_000_000
+GATHERED, FOLDED, SCORED = 1_000_000, 400_000_000, 50_000_000
+#: New segments that are encoded at a time.
+LEARNT = 8192
 #: Entries of one row.
 _ROW = 1 << 20
 _CODE_BITS, _DOC_BITS = 36, 13
@@ -144,8 +148,9 @@ class Aligner:
             self.forget()
         before, number = len(self.known), self.known.__getitem__
         cut = [np.array(list(map(number, self.cut.findall(" " + t))), np.int64) if t else np.zeros(0, np.int64) for t in texts]
-        if len(self.known) > before:
-            self.learn(list(self.known)[before:])
+        new = list(islice(self.known, before, None))
+        for k in range(0, len(new), LEARNT):
+            self.learn(new[k : k + LEARNT])
         doc, seg = np.repeat(np.arange(len(texts)), [len(x) for x in cut]), np.concatenate([*cut, np.zeros(0, np.int64)])
         fine = np.array([len(x) > 0 and bool(self.good[x].all()) for x in cut], bool)
         doc, seg = doc[fine[doc]], seg[fine[doc]]
@@ -205,7 +210,7 @@ def _encode(a_path: str, b_path: str, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, task, seq, gathered = _aligner(a_path, b_path), TaskContext.get().partitionId(), 0, []
         for b in batches:
-            size, lo = np.array([len(x) if x else 0 for x in b.column(1).to_pylist()], np.int64), 0
+            size, lo = pc.fill_null(pc.utf8_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64), 0
             while lo < b.num_rows:
                 n = max(1, int((size[lo : lo + BATCH_DOCS].cumsum() <= BATCH_CHARS).sum()))
                 part = b.slice(lo, n)
@@ -267,13 +272,14 @@ def _fold(cells: int, schema: pa.Schema):
             yield _batch(schema, 1, {"stripe": pa.array([stripe], pa.int32()), "batch": pa.array([salt], pa.int64()), "pairs": _lists(some, np.array([0, len(some)]), pa.int32()), "counts": _lists(block[some], np.array([0, len(some)]), pa.int64())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, block = None, None
+        last, block = None, np.zeros(cells, np.int64)
         for b in batches:
             for k, key in enumerate(zip(b.column("stripe").to_pylist(), b.column("batch").to_pylist(), strict=True)):
                 if key != last:
                     if last is not None:
                         yield from emit(*last, block)
-                    last, block = key, np.zeros(cells, np.int64)
+                        block[:] = 0
+                    last = key
                 np.add.at(block, _values(b, "pairs", k), _values(b, "counts", k))
         if last is not None:
             yield from emit(*last, block)
@@ -285,12 +291,13 @@ def _score(cells: int, n_b: int, schema: pa.Schema):
     """For each row of links: its texts with the links whose count is the highest of their first id, and the sum of counts. A stripe's counts come before its links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, block, best = None, None, None
+        last, block, best = None, np.zeros(cells, np.int64), None
         for b in batches:
             stripes, salts, links = (b.column(c).to_pylist() for c in ("stripe", "salt", "links"))
             for k, key in enumerate(zip(stripes, salts, strict=True)):
                 if key != last:
-                    last, block, best = key, np.zeros(cells, np.int64), None
+                    last, best = key, None
+                    block[:] = 0
                 if not links[k]:
                     np.add.at(block, _values(b, "pairs", k), _values(b, "counts", k))
                     continue
