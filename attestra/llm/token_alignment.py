@@ -21,14 +21,14 @@ from attestra.llm.common import stage
 
 BYTE_BPE = os.environ.get("ATTESTRA_BYTE_BPE", "/opt/tokenizers/byte_bpe_50k.json")
 PIECE_BPE = os.environ.get("ATTESTRA_SENTENCEPIECE", "/opt/tokenizers/piece_bpe_32k.model")
-#: Stripes that the ids of the first tokenizer are dealt to, id modulo STRIPES: frequent ids, which are small, spread. One dense block is a stripe's ids by all ids of the second (100 MB for 50,257 by 32,000).
-STRIPES = 128
+#: Stripes that the ids of the first tokenizer are dealt to, id modulo STRIPES: frequent ids, which are small, spread. One dense block is a stripe's ids by all ids of the second (50 MB for 50,257 by 32,000).
+STRIPES = 256
 #: Documents, and about how many characters, that are aligned at a time.
-BATCH_DOCS, BATCH_CHARS = 4096, 4_000_000
+BATCH_DOCS, BATCH_CHARS = 2048, 2_000_000
 #: Distinct segments that a worker remembers, and their bytes.
-REMEMBERED, REMEMBERED_BYTES = 300_000, 64 << 20
+REMEMBERED, REMEMBERED_BYTES = 300_000, 32 << 20
 #: Entries of counts that a task gathers before it hands them on, that one block adds up, and links that one task scores.
-GATHERED, FOLDED, SCORED = 1_000_000, 400_000_000, 50_000_000
+GATHERED, FOLDED, SCORED = 500_000, 400_000_000, 50_000_000
 #: New segments that are encoded at a time.
 LEARNT = 8192
 #: Entries of one row.
@@ -240,6 +240,10 @@ def _encode(a_path: str, b_path: str, schema: pa.Schema):
                         gathered = []
         if gathered:
             yield from counts(task, gathered)
+        # the worker lives on, and other stages need its memory
+        model.forget()
+        del gathered
+        pa.default_memory_pool().release_unused()
 
     return run
 
