@@ -2,8 +2,8 @@
 
 Every resolver works on distinct keys and on distinct candidate names, so a
 name that a million rows or candidates share is scored once. Blocks are unions
-of equi-joins; no join compares all names. The joins emit pairs of names that
-are dealt anew, by the whole pair, before any is scored.
+of equi-joins; no join compares all names. Of a block only the pairs that can be
+best or second are scored (``name_search``).
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestra.config import REASONS, SOURCE_SPECS, LinkageRules, SourceSpec
-from attestra.functions.text import bucket, clean_text, similarity, with_normalized
+from attestra.functions.text import bucket, clean_text, with_normalized
+from attestra.operators.name_search import contenders, scored
 from attestra.sources.stages import barrier
 
 DECISION = [
@@ -41,20 +42,14 @@ def candidate_names(index: DataFrame, *by: str) -> DataFrame:
     return index.groupBy(*by, "cf", "cl").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("id"))
 
 
-def scored(pairs: DataFrame, rules: LinkageRules = _R) -> DataFrame:
-    """Adds fs, ls and s to pairs of (nf, nl) and (cf, cl). Equal words stay in the JVM, and a batch compares each pair of words once."""
-    out = pairs.withColumn("fs", similarity(F.col("nf"), F.col("cf"), rules.transposition)).withColumn("ls", similarity(F.col("nl"), F.col("cl"), rules.transposition))
-    return out.withColumn("s", F.lit(rules.first_weight) * F.col("fs") + F.lit(rules.last_weight) * F.col("ls"))
-
-
-def best_of(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """The best candidate of each pool of names, the pool's size in candidates, and the margin to the next (the whole score for a pool of one).
+def best_of(pairs: DataFrame, keys: list[str], pool: Column | None = None) -> DataFrame:
+    """The best candidate of each pool of names, the pool's size in candidates (or ``pool``, where pairs are left out), and the margin to the next (the whole score for a pool of one).
 
     Equal scores go to the last id; a name that several candidates have is its own runner-up.
     """
     w = Window.partitionBy(*keys)
     order = w.orderBy(F.desc("s"), F.desc("fs"), F.desc("ls"), F.desc("id"))
-    ranked = pairs.withColumn("k", F.row_number().over(order)).withColumn("next", F.when(F.col("n") > 1, F.col("s")).otherwise(F.lead("s").over(order))).withColumn("pool", F.sum("n").over(w))
+    ranked = pairs.withColumn("k", F.row_number().over(order)).withColumn("next", F.when(F.col("n") > 1, F.col("s")).otherwise(F.lead("s").over(order))).withColumn("pool", (F.sum("n") if pool is None else pool).over(w))
     return ranked.where("k = 1").select(*keys, "id", "cf", "cl", "fs", "ls", "s", F.col("pool").cast("int"), (F.col("s") - F.coalesce("next", F.lit(0.0))).alias("margin"))
 
 
@@ -121,18 +116,6 @@ def learn_aliases(decisions: DataFrame, rules: LinkageRules = _R) -> DataFrame:
     return strong.groupBy("nf", "nl").agg(F.sort_array(F.collect_set("candidate_record_id")).alias("ids"))
 
 
-def block_pairs(queries: DataFrame, names: DataFrame) -> DataFrame:
-    """Candidate names with an equal first or last name; only where there is none, with an equal beginning of one.
-
-    Each pair comes once. Where a common name makes a block large, the join is
-    split at run time, and the distinct pairs are dealt by all of their words.
-    """
-    near = queries.join(names, F.col("nf") == F.col("cf")).union(queries.join(names, F.col("nl") == F.col("cl"))).distinct()
-    rest = queries.join(near.select("nf", "nl").distinct(), ["nf", "nl"], "left_anti")
-    far = rest.join(names, F.substring("nf", 1, 3) == F.substring("cf", 1, 3)).union(rest.join(names, F.substring("nl", 1, 4) == F.substring("cl", 1, 4))).distinct()
-    return near.unionByName(far)
-
-
 def resolve_names(queries: DataFrame, index: DataFrame, aliases: DataFrame, rules: LinkageRules = _R) -> DataFrame:
     """Decisions for distinct (nf, nl): alias, exact name, then fuzzy name; the first that speaks wins.
 
@@ -145,7 +128,7 @@ def resolve_names(queries: DataFrame, index: DataFrame, aliases: DataFrame, rule
     q = q.withColumn("na_", F.when(F.col("ids").isNotNull(), F.size("ids")).otherwise(0)).withColumn("ns_", F.coalesce("same", F.lit(0)))
     short = F.least(F.length("nf"), F.length("nl")) < rules.fuzzy_length
     open_ = q.where(_named() & (F.col("na_") == 0) & (F.col("ns_") == 0) & ~short).select("nf", "nl")
-    pool = best_of(scored(block_pairs(open_, names), rules), ["nf", "nl"])
+    pool = best_of(contenders(open_, names, rules), ["nf", "nl"], F.first("pool"))
     # an alias is scored against its candidate too
     known = q.where(_named() & (F.col("na_") == 1)).select("nf", "nl", F.get("ids", F.lit(0)).alias("id")).join(index.select("id", "cf", "cl"), "id")
     alias = scored(known, rules).select("nf", "nl", F.struct("id", "fs", "ls", "s").alias("alias"))
@@ -198,7 +181,7 @@ def owner_fit(open_: DataFrame, index: DataFrame, rules: LinkageRules = _R) -> D
     mine = scored(open_.join(index.select(F.col("id").alias("owner"), "cf", "cl"), "owner"), rules)
     mine = mine.select("nf", "nl", "owner", F.col("cf").alias("of"), F.col("cl").alias("ol"), "fs", "ls", "s")
     strong = mine.where((F.col("s") >= rules.bridge_combined) & (F.col("fs") >= rules.bridge_each) & (F.col("ls") >= rules.bridge_each))
-    block = scored(block_pairs(strong.select("nf", "nl").distinct(), candidate_names(index)), rules).select("nf", "nl", "cf", "cl", "n", F.col("s").alias("other"))
+    block = contenders(strong.select("nf", "nl").distinct(), candidate_names(index), rules).select("nf", "nl", "cf", "cl", "n", F.col("s").alias("other"))
     own_name = (F.col("cf") == F.col("of")) & (F.col("cl") == F.col("ol"))
     rival = strong.join(block, ["nf", "nl"]).where(~own_name | (F.col("n") > 1)).groupBy("nf", "nl", "owner").agg(F.max("other").alias("rival"))
     fit = strong.join(rival, ["nf", "nl", "owner"], "left").withColumn("m", F.col("s") - F.coalesce("rival", F.lit(0.0)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from attestra.config import REASONS, SOURCE_SPECS, LinkageRules
 from attestra.functions.text import STREET, bucket, norm_address, norm_dob, norm_name, similarity, with_normalized
 from attestra.operators import linkage as lk
+from attestra.operators import name_search
 from attestra.plans.common import Registry
 from attestra.plans.testdata import PEOPLE_SQL, damaged, linkage_sources, people
 
@@ -67,7 +68,7 @@ def _blocks(q, of):
 @R.add("block_pairs", f"{WITH}, q AS (SELECT DISTINCT nf, nl FROM nm WHERE nf <> '' AND nl <> ''), {_blocks('q', '').strip()} SELECT nf, nl, cf, cl, count(*) AS n FROM bp GROUP BY ALL")
 def block_pairs(spark, sf_dir):
     q = _rows(spark, sf_dir).where("nf <> '' and nl <> ''").select("nf", "nl").distinct()
-    return lk.block_pairs(q, lk.candidate_names(_index(spark, sf_dir))).select("nf", "nl", "cf", "cl", "n")
+    return name_search.block_pairs(q, lk.candidate_names(_index(spark, sf_dir))).select("nf", "nl", "cf", "cl", "n")
 
 
 @R.add("jaro_winkler_pairs", f"{WITH}, p AS (SELECT DISTINCT nf, cf FROM nm JOIN ix ON nl = cl) SELECT nf, cf, {JW.format('nf', 'cf')} AS similarity FROM p", "similarity")
