@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,14 +12,11 @@ from pyspark.sql import functions as F
 SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 240, 480, 96 << 10
 #: Bytes of all dictionaries together: the driver and every task hold them. With more languages each has less.
 ALL_BYTES = 64 << 20
-#: More distinct labels than this are no languages, and refused.
-MOST_LANGS = 10_000
 #: Texts are compressed in pieces of this many bytes, each against the bare dictionary.
 PIECE = 8 << 10
 #: Share of the second-best size by which the best must be smaller.
 MARGIN = 0.01
 LEVEL = 3
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 class Compressors:
@@ -38,7 +34,7 @@ class Compressors:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """The language, a score, and whether the margin was too narrow to trust."""
-        if not text or not _LETTER.search(text) or not self.made:
+        if not text or not any(map(str.isalpha, text)) or not self.made:
             return "und", 0.0, True
         data = text.encode()
         pieces = [data[k : k + PIECE] for k in range(0, len(data), PIECE)]
@@ -58,19 +54,18 @@ def learn(docs: DataFrame, lang_col: str = "lang", sample_docs: int = SAMPLE_DOC
     the hash of their id, SAMPLE_CHARS characters of each from their middle
     on, and at most DICT_BYTES, or an equal share of ALL_BYTES. Rows without a
     label or text teach nothing; repeated rows count once. An empty table
-    gives no dictionary. Over MOST_LANGS labels raise ValueError.
+    gives no dictionary.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGS + 1).collect()
-    if len(counts) > MOST_LANGS:
-        raise ValueError(f"over {MOST_LANGS} labels in {lang_col}")
+    counts = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).collect()  # a row for each label: the model has a dictionary for each
     if not counts:
         return {}
     share = min(DICT_BYTES, ALL_BYTES // len(counts))
     some = max(1, min(sample_docs, 2 * share // SAMPLE_CHARS + 1))
-    every = F.create_map(*[x for r in counts for x in (F.lit(r[0]), F.lit(max(1, r[1] // some)))])
+    # a row for each label, as the model has a dictionary for each; not a map in the plan
+    every = rows.groupBy(lang_col).agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / some)).cast("long").alias("_every"))
     cut = F.substring(F.col("text"), F.greatest(F.lit(1), F.floor(F.length("text") / 2 - SAMPLE_CHARS / 2)).cast("int"), F.lit(SAMPLE_CHARS))
-    picked = rows.where(F.pmod(F.xxhash64("doc_id"), every[F.col(lang_col)]) == 0).select(lang_col, F.xxhash64("doc_id", F.lit(1)).alias("h"), cut.alias("text"))
+    picked = rows.join(F.broadcast(every), lang_col).where(F.pmod(F.xxhash64("doc_id"), F.col("_every")) == 0).select(lang_col, F.xxhash64("doc_id", F.lit(1)).alias("h"), cut.alias("text"))
     # a language of which the hash picks no row gives its first one
     first = rows.groupBy(lang_col).agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(1)).alias("h"), cut.alias("text"))).alias("x")).select(lang_col, "x.*")
     seen: dict[str, set] = {r[0]: set() for r in counts}
