@@ -64,7 +64,7 @@ def build_features(spark: SparkSession, a: argparse.Namespace) -> None:
     """Features of both phases and their changes, with a dictionary of the columns."""
     out = f"{a.out}/features"
     e = _events(files.read_text_csv(spark, f"{a.out}/linkage/linked_events"))
-    feed = files.read_text_csv(spark, f"{a.data}/{SOURCE_SPECS['evidence_update_stream'].path}").select(files.lenient_date(F.col("observed_date")).alias("observed_dt"))
+    feed = files.read_text_csv(spark, f"{a.data}/{SOURCE_SPECS['evidence_update_stream'].path}").select(files.strict_date(F.col("observed_date")).alias("observed_dt"))
     c = files.read_candidates(spark, f"{a.data}/Data_T0/candidate_records.csv")
     t0, t1 = (evidence.phase_features(c, e, p, feed) for p in ("T0", "T1"))
     delta = evidence.delta_features(c, e, feed, t0, t1)

@@ -50,8 +50,8 @@ def number(value: Column) -> Column:
 
 
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
-    """Candidates as text, with ``candidate_dt`` from a creation date that must be valid."""
-    return read_text_csv(spark, path).withColumn("candidate_dt", strict_date(F.col("candidate_created_date")))
+    """Candidates as text, with ``candidate_dt`` from the day they were observed, which must be a valid date."""
+    return read_text_csv(spark, path).withColumn("candidate_dt", strict_date(F.col("candidate_observed_date")))
 
 
 def read_cases(spark: SparkSession, path: str, key: str = "candidate_record_id") -> DataFrame:

@@ -314,7 +314,7 @@ def test_stages_by_command(spark, tmp_path):
     def put(name, head, rows):
         (root / name).write_text("\n".join([head, *(",".join(map(str, r)) for r in rows)]) + "\n")
 
-    put("Data_T0/candidate_records.csv", "candidate_record_id,first_name,last_name,date_of_birth,observed_street_address,candidate_created_date,observed_state", people)
+    put("Data_T0/candidate_records.csv", "candidate_record_id,first_name,last_name,date_of_birth,observed_street_address,candidate_observed_date,observed_state", people)
     put("Data_T0/license_id_events.csv", "source_record_id,first_name,last_name,date_of_birth,event_date,credential_state,credential_status", [(f"L{k}", p[1], p[2], p[3], "2024-01-10", "PA", "active") for k, p in enumerate(people)])
     put("Data_T0/address_history.csv", "source_record_id,first_name,last_name,street_address,effective_start_date,effective_end_date,state", [(f"A{k}", p[1], p[2], p[4], "2023-12-01", "", "DE") for k, p in enumerate(people)])
     put("Data_T0/external_context_signals.csv", "source_record_id,first_name,last_name,effective_date,signal_state,evidence_quality", [(f"E{k}", p[1], p[2], "2024-02-01", "MD", "limited") for k, p in enumerate(people)])
