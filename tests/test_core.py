@@ -21,7 +21,7 @@ from attestra.sources import catalog, files
 from attestra.streaming import updates
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents benchmark labels conversations pages embeddings".split()
+TABLES = "region nation customer supplier part orders lineitem events documents benchmark labels conversations pages embeddings clicks client_changes".split()
 
 
 def test_normalisation(spark):
