@@ -214,7 +214,7 @@ def compare_versions(spark: SparkSession, a: argparse.Namespace) -> None:
     files.write_csv(behaviour.version_comparison(rows, KEY, names), f"{a.out}/comparison/metrics")
     for d in both:
         draws = _draws(d, a.resamples)
-        arm = lambda p, r=draws: behaviour.phase_metrics(r, p, KEY, ["draw"])
+        arm = lambda p, r=draws: behaviour.draw_metrics(r, p, KEY, ["draw"])
         moved = metrics.differences(arm(metrics.P), arm(("q0", "q1", "q2")), "draw", names)
         phase = d.select("phase").first()[0].lower()
         files.write_csv(metrics.interval(moved, "draw", names, {m: m in behaviour.LOWER_IS_BETTER for m in names}), f"{a.out}/comparison/{phase}_intervals")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestra.functions.values import anchor_weight
-from attestra.operators.metrics import blended, bundle_by, confusion, per_class, picked, priority_by
+from attestra.operators.metrics import blended, bundle_by, confusion, per_class, picked, priority_by, quantiles, rankings
 
 #: Metrics of which less is better. Fixed values.
 LOWER_IS_BETTER = ("log_loss", "brier_multiclass", "brier_macro_ovr", "ece_10bin")
@@ -40,10 +40,11 @@ def update_behaviour(t0: DataFrame, t1: DataFrame, groups: DataFrame, key: str =
 
 def behaviour_summary(behaviour: DataFrame) -> DataFrame:
     n, a, tv = "unanchored_class_changed", "experimental_anchored_class_changed", "total_variation_probability_change"
-    return behaviour.groupBy("evidence_group").agg(
+    out = behaviour.groupBy("evidence_group").agg(
         F.count(F.lit(1)).alias("candidates"), F.sum(n).alias("unanchored_class_changes"), F.avg(n).alias("unanchored_class_change_rate"), F.sum(a).alias("experimental_anchored_class_changes"), F.avg(a).alias("experimental_anchored_class_change_rate"),
-        F.avg(tv).alias("mean_total_variation_change"), F.percentile(tv, 0.5).alias("median_total_variation_change"), F.max(tv).alias("max_total_variation_change"), F.avg("mean_absolute_probability_change").alias("mean_absolute_probability_change"), F.avg("p_review_warranted_change").alias("mean_p_review_warranted_change"),
+        F.avg(tv).alias("mean_total_variation_change"), F.max(tv).alias("max_total_variation_change"), F.avg("mean_absolute_probability_change").alias("mean_absolute_probability_change"), F.avg("p_review_warranted_change").alias("mean_p_review_warranted_change"),
     )
+    return out.join(quantiles(behaviour, tv, ["evidence_group"], {"median_total_variation_change": 0.5}), "evidence_group", "left")
 
 
 def labelled_summary(behaviour: DataFrame, labels: DataFrame, key: str = "candidate_record_id") -> DataFrame:
@@ -65,7 +66,17 @@ def aligned(baseline: DataFrame, updated: DataFrame, key: str = "candidate_recor
 
 
 def phase_metrics(df: DataFrame, p: tuple[str, ...], key: str, by: list[str]) -> DataFrame:
-    """The bundle and the rankings of one version, by group."""
+    """The bundle and the rankings of one version, by group. Groups are few, as phases are; each is ranked by all tasks."""
+    each = []
+    for group in df.select(*by).distinct().collect():
+        own = df.where(reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(group[c])) for c in by]))
+        each.append(rankings(own, p[0], F.col("y") == 0, key).select(*[F.lit(group[c]).cast(df.schema[c].dataType).alias(c) for c in by], "*"))
+    ranked = reduce(DataFrame.unionByName, each) if each else priority_by(df, by, p[0], F.col("y") == 0, key)
+    return bundle_by(df, by, p).join(ranked, by)
+
+
+def draw_metrics(df: DataFrame, p: tuple[str, ...], key: str, by: list[str]) -> DataFrame:
+    """The same for many small groups, as resamples are: each is ranked in one task."""
     return bundle_by(df, by, p).join(priority_by(df, by, p[0], F.col("y") == 0, key), by)
 
 

@@ -6,11 +6,16 @@ inside a bin of scores and over the few bins, so no task sees all rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from attestra.sources.stages import barrier
+
 P = ("p0", "p1", "p2")
 #: Bins of a ranking, by approximate quantiles, so that each holds about as many distinct scores; ranks that a task makes at a time.
 BINS, CHUNK = 128, 4096
@@ -76,27 +81,37 @@ def ece(table: DataFrame) -> DataFrame:
 BUNDLE = ("log_loss", "macro_f1", "accuracy", "brier_multiclass", "brier_macro_ovr", "ece_10bin")
 
 
-def bundle_by(df: DataFrame, by: list[str], p: tuple[str, ...] = P, bins: int = 10) -> DataFrame:
-    """The metrics of BUNDLE for each group: a first aggregate by confidence bin, a second over the few bins.
-
-    Macro F1 is the mean over classes that occur, as a label or as a guess.
-    """
-    d = df.select(*by, "y", *normalized(p))
+def _bundle_parts(p: tuple[str, ...], bins: int) -> tuple[Column, dict[str, Column]]:
+    """What a row with normalised ``p`` and its label y adds to the bundle: its confidence bin, and numbers that are summed by bin."""
     k, conf = picked(p), F.greatest(*p)
     place = reduce(lambda x, y: x + y, [(conf >= e * (1.0 / bins)).cast("int") for e in range(1, bins)])
-    d = d.select(*by, "y", k.alias("k"), conf.alias("c"), log_loss_of(p).alias("ll"), brier_of(p).alias("br"), place.alias("_bin"))
-    n_class = range(len(p))
-    cells = [x for j in n_class for x in (F.count_if(F.col("y") == j).alias(f"s{j}"), F.count_if(F.col("k") == j).alias(f"g{j}"), F.count_if((F.col("k") == j) & (F.col("y") == j)).alias(f"h{j}"))]
-    first = d.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c"), F.count_if(F.col("k") == F.col("y")).alias("r"), F.sum("ll").alias("ll"), F.sum("br").alias("br"), *cells)
+    own = {"n": F.lit(1.0), "c": conf, "r": (k == F.col("y")).cast("double"), "ll": log_loss_of(p), "br": brier_of(p)}
+    for j in range(len(p)):
+        own |= {f"s{j}": (F.col("y") == j).cast("double"), f"g{j}": (k == j).cast("double"), f"h{j}": ((k == j) & (F.col("y") == j)).cast("double")}
+    return place, own
+
+
+def _bundle_of(first: DataFrame, by: list[str], n_class: int) -> DataFrame:
+    """The bundle from the sums by bin."""
     n = F.sum("n")
-    f1 = [F.try_divide(2 * F.sum(f"h{j}"), F.sum(f"s{j}") + F.sum(f"g{j}")) for j in n_class]
+    f1 = [F.try_divide(2 * F.sum(f"h{j}"), F.sum(f"s{j}") + F.sum(f"g{j}")) for j in range(n_class)]
     macro = F.try_divide(reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(0.0)) for x in f1]), reduce(lambda a, b: a + b, [x.isNotNull().cast("int") for x in f1]))
     return first.groupBy(*by).agg(
         F.try_divide(F.sum("ll"), n).alias("log_loss"), macro.alias("macro_f1"), F.try_divide(F.sum("r"), n).alias("accuracy"), F.try_divide(F.sum("br"), n).alias("brier_multiclass"),
-        F.try_divide(F.sum("br"), n * len(p)).alias("brier_macro_ovr"), F.try_divide(F.sum(F.abs(F.col("r") - F.col("c"))), n).alias("ece_10bin"),
+        F.try_divide(F.sum("br"), n * n_class).alias("brier_macro_ovr"), F.try_divide(F.sum(F.abs(F.col("r") - F.col("c"))), n).alias("ece_10bin"),
     )
 
 
+def bundle_by(df: DataFrame, by: list[str], p: tuple[str, ...] = P, bins: int = 10) -> DataFrame:
+    """The metrics of BUNDLE for each group: a first aggregate by confidence bin, a second over the few bins.
+
+    Macro F1 is the mean over classes that occur, as a label or as a guess.
+    """
+    place, own = _bundle_parts(p, bins)
+    d = df.select(*by, "y", *normalized(p)).select(*by, place.alias("_bin"), *[x.alias(c) for c, x in own.items()])
+    return _bundle_of(d.groupBy(*by, "_bin").agg(*[F.sum(c).alias(c) for c in own]), by, len(p))
+
+
 def metric_bundle(df: DataFrame, p: tuple[str, ...] = P) -> DataFrame:
     """The metrics of BUNDLE over all rows, one row."""
     return bundle_by(df, [], p)
@@ -179,6 +194,16 @@ def priority_by(df: DataFrame, by: list[str], score: str, positive: Column, key:
     return d.groupBy(*by).agg(*out)
 
 
+def rankings(df: DataFrame, score: str, positive: Column, key: str, fractions: tuple[float, ...] = (0.1, 0.2)) -> DataFrame:
+    """The rankings of PRIORITY over all rows, one row: cumulative sums in two levels and top-k sorts, no group in one task."""
+    out = average_precision(df, score, positive).crossJoin(ndcg(df, score, positive))  # single rows
+    for f in fractions:
+        name = f"{round(100 * f)}pct"
+        top = top_fraction(df, score, key, positive, (f,)).select(F.col("precision").alias(f"precision_at_top_{name}"), F.col("recall").alias(f"recall_at_top_{name}"))
+        out = out.crossJoin(top)
+    return out
+
+
 def change_detection(df: DataFrame, changed: Column, predicted: Column) -> DataFrame:
     tp, a, g = F.count_if(changed & predicted), F.count_if(changed), F.count_if(predicted)
     z = lambda x, y: F.coalesce(F.try_divide(x, y), F.lit(0.0))
@@ -212,18 +237,40 @@ def drift(df: DataFrame, labelled: str, features: list[str], ks: float = 0.2, sm
     return out.drop("_sd").withColumn("warning", warn)
 
 
+def quantiles(values: DataFrame, value: str, by: list[str], at: dict[str, float]) -> DataFrame:
+    """Exact quantiles of each group, between neighbours in proportion: ``by`` and a column for each name in ``at``. Nulls don't count.
+
+    Equal values are counted first, map-side; ``running`` gives each distinct
+    value its rank over bins that tasks share; then the least value beyond a rank is a
+    plain minimum. No task holds a group's values.
+    """
+    counts = values.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.groupBy(*by).agg(F.sum("_n").alias("_all"))
+    ranked = running(counts, "_v", ["_n"], by)
+    ranked = ranked.join(F.broadcast(total), by) if by else ranked.crossJoin(F.broadcast(total))  # a row for each group
+    place = {name: F.lit(q) * (F.col("_all") - 1) for name, q in at.items()}
+    sides = [F.min(F.when(F.col("cum__n") > end(place[name]), F.col("_v"))).alias(f"_{k}_{name}") for name in at for k, end in (("lo", F.floor), ("hi", F.ceil))]
+    found = ranked.groupBy(*by).agg(F.first("_all").alias("_all"), *sides)
+
+    def between(name: str) -> Column:
+        lo, hi, x = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), place[name]
+        return F.when(lo == hi, lo).otherwise((F.ceil(x) - x) * lo + (x - F.floor(x)) * hi)
+
+    return found.select(*by, *[between(name).alias(name) for name in at])
+
+
 def feature_contract(df: DataFrame, features: list[str], labelled: str) -> DataFrame:
     """Per feature: type, missing rate, extremes and quantiles of all rows, extremes of labelled rows (1)."""
     u = unpivoted(df, [labelled], features)
-    q = lambda x: F.percentile("value", x)
     own = F.when(F.col(labelled) == 1, F.col("value"))
     kinds = dict(df.dtypes)
     kind = F.create_map(*[F.lit(x) for c in features for x in (c, kinds[c])])
     g = u.groupBy("feature").agg(
-        F.avg(F.col("value").isNull().cast("double")).alias("full_missing_rate"), F.min("value").alias("full_min"), q(0.01).alias("full_q01"), q(0.5).alias("full_median"), q(0.99).alias("full_q99"), F.max("value").alias("full_max"),
-        F.min(own).alias("labeled_min"), F.max(own).alias("labeled_max"),
+        F.avg(F.col("value").isNull().cast("double")).alias("full_missing_rate"), F.min("value").alias("full_min"), F.max("value").alias("full_max"), F.min(own).alias("labeled_min"), F.max(own).alias("labeled_max"),
     )
-    return g.withColumn("dtype", kind[F.col("feature")])
+    q = quantiles(u, "value", ["feature"], {"full_q01": 0.01, "full_median": 0.5, "full_q99": 0.99})
+    out = g.join(q, "feature", "left").withColumn("dtype", kind[F.col("feature")])
+    return out.select("feature", "full_missing_rate", "full_min", "full_q01", "full_median", "full_q99", "full_max", "labeled_min", "labeled_max", "dtype")
 
 
 def resampled(df: DataFrame, key: str, n_rows: int, draws: int) -> DataFrame:
@@ -235,6 +282,101 @@ def resampled(df: DataFrame, key: str, n_rows: int, draws: int) -> DataFrame:
     return picks.join(df, key)
 
 
+def multiplicities(df: DataFrame, key: str, n_rows: int, draws: int) -> DataFrame:
+    """The same resamples, as how often each has each row: adds _d (draws) and _m (times) to the rows, which are joined once and stay ``n_rows``."""
+    picks = df.sparkSession.range(draws * n_rows).select(
+        F.floor(F.col("id") / n_rows).cast("int").alias("_d"), (F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 8), 16, 10).cast("long") % n_rows).alias(key)
+    )
+    times = picks.groupBy(key, "_d").agg(F.count(F.lit(1)).cast("int").alias("_m")).groupBy(key).agg(F.collect_list(F.struct("_d", "_m")).alias("_t"))
+    return df.join(times, key).select(*df.columns, F.col("_t._d").alias("_d"), F.col("_t._m").alias("_m"))
+
+
+#: Rows that a task holds against all draws at a time.
+_DENSE = 512
+
+
+def _dense(frame: pd.DataFrame, draws: int) -> np.ndarray:
+    """How often each draw (column) has each row."""
+    out = np.zeros((len(frame), draws))
+    size = [len(x) for x in frame["_d"]]
+    if sum(size):
+        out[np.repeat(np.arange(len(frame)), size), np.concatenate(frame["_d"].to_numpy())] = np.concatenate(frame["_m"].to_numpy())
+    return out
+
+
+def drawn_bundles(rows: DataFrame, draws: int, p: tuple[str, ...] = P, bins: int = 10, more: dict[str, Column] | None = None) -> DataFrame:
+    """The bundle of each draw of ``multiplicities``, and the means of ``more``: a task multiplies its rows' numbers by how often each draw has them, and hands on sums by draw and bin."""
+    place, own = _bundle_parts(p, bins)
+    own |= {k: F.col(f"_x_{k}") for k in more or {}}
+    names = list(own)
+    d = rows.withColumns({f"_x_{k}": x for k, x in (more or {}).items()}).select("_d", "_m", "y", *[f"_x_{k}" for k in more or {}], *normalized(p))
+    d = d.select("_d", "_m", place.alias("_bin"), F.array(*[F.coalesce(own[c], F.lit(0.0)).cast("double") for c in names]).alias("_x"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for lo in range(0, len(b), _DENSE):
+                part = b.iloc[lo : lo + _DENSE]
+                times, x, place = _dense(part, draws), np.stack(part["_x"].to_numpy()), part["_bin"].to_numpy()
+                for k in np.unique(place):
+                    sums[k] = sums.get(k, 0.0) + times[place == k].T @ x[place == k]
+        for k, x in sums.items():
+            yield pd.DataFrame({"draw": np.arange(draws), "_bin": k} | {c: x[:, j] for j, c in enumerate(names)})
+
+    kind = ", ".join(f"`{c}` double" for c in names)
+    first = d.mapInPandas(run, f"draw long, _bin int, {kind}").where("n > 0")
+    first = first.groupBy("draw", "_bin").agg(*[F.sum(c).alias(c) for c in names])
+    out = _bundle_of(first, ["draw"], len(p))
+    return out.join(first.groupBy("draw").agg(*[(F.sum(c) / F.sum("n")).alias(c) for c in more]), "draw") if more else out
+
+
+def drawn_precision(rows: DataFrame, draws: int, score: str, positive: Column) -> DataFrame:
+    """Average precision of each draw of ``multiplicities``. Rows are ranked once for all draws, in ranges of the score; what a draw has in higher ranges is a sum of a row for each range."""
+    spark = rows.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranked = rows.select(F.col(score).alias("_s"), positive.cast("double").alias("_pos"), "_d", "_m").repartitionByRange(n, F.desc("_s"))
+    ranked = barrier(ranked.withColumn("_part", F.spark_partition_id()), "ranked")
+
+    def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for part, own in b.groupby("_part"):
+                for lo in range(0, len(own), _DENSE):
+                    some = own.iloc[lo : lo + _DENSE]
+                    times = _dense(some, draws)
+                    sums[part] = sums.get(part, 0.0) + np.stack((times.sum(0), some["_pos"].to_numpy() @ times), 1)
+        for part, x in sums.items():
+            yield pd.DataFrame({"_part": part, "draw": np.arange(draws), "n": x[:, 0], "pos": x[:, 1]})
+
+    held = ranked.mapInPandas(totals, "_part int, draw long, n double, pos double").groupBy("_part", "draw").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    above = Window.partitionBy("draw").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select("_part", "draw", *[F.coalesce(F.sum(c).over(above), F.lit(0.0)).alias(c) for c in ("n", "pos")])
+
+    def precision(own: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
+        cum = before.sort_values("draw")[["n", "pos"]].to_numpy().T
+        own = own.sort_values("_s", ascending=False, kind="stable")
+        value, total, found, open_ = own["_s"].to_numpy(), np.zeros(draws), np.zeros(draws), np.zeros((2, draws))
+        for lo in range(0, len(own), _DENSE):
+            some = own.iloc[lo : lo + _DENSE]
+            times, s = _dense(some, draws), some["_s"].to_numpy()
+            first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+            each = np.stack([np.add.reduceat(x, first, axis=0) for x in (times, times * some["_pos"].to_numpy()[:, None])])
+            each[:, 0] += open_
+            # equal scores may go on in the next rows
+            more = lo + _DENSE < len(own) and value[lo + _DENSE] == s[-1]
+            open_ = each[:, -1].copy() if more else np.zeros((2, draws))
+            each = each[:, :-1] if more else each
+            if each.shape[1]:
+                run = cum[:, None, :] + np.cumsum(each, axis=1)
+                total += np.divide(each[1] * run[1], run[0], out=np.zeros_like(run[0]), where=run[0] > 0).sum(0)
+                found += each[1].sum(0)
+                cum = run[:, -1]
+        return pd.DataFrame({"draw": np.arange(draws), "hit": total, "pos": found})
+
+    parts = ranked.groupBy("_part").cogroup(held.groupBy("_part")).applyInPandas(precision, "draw long, hit double, pos double")
+    return parts.groupBy("draw").agg(F.coalesce(F.try_divide(F.sum("hit"), F.sum("pos")), F.lit(0.0)).alias("average_precision"))
+
+
 def interval(df: DataFrame, by: str, metrics: list[str], beneficial: dict[str, bool] | None = None) -> DataFrame:
     """95 % percentile intervals of per-draw metrics. ``beneficial``: whether lower is better, for the share of draws that are."""
     u = df.unpivot([by], metrics, "metric", "value")

@@ -340,10 +340,12 @@ def override_merge(base: DataFrame, better: DataFrame, key: str, columns: list[s
 
 
 def constant_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Per column: distinct values, nulls, and whether it is constant or all missing; one pass."""
-    row = df.agg(*[F.struct(F.countDistinct(c).alias("d"), F.count_if(F.col(c).isNull()).alias("m"), F.count(F.lit(1)).alias("n")).alias(c) for c in columns])
-    s = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"{c}.d").alias("distinct"), F.col(f"{c}.m").alias("missing"), F.col(f"{c}.n").alias("n")) for c in columns])).alias("r")
-    return row.select(s).select("r.feature", "r.distinct", "r.missing", (F.col("r.distinct") <= 1).alias("constant"), (F.col("r.missing") == F.col("r.n")).alias("all_missing"))
+    """Per column: distinct values, nulls, and whether it is constant or all missing. Values are counted in two levels, by column and value and then by column, so no row is repeated for each column before it is added up."""
+    text = df.select(*[(F.col(c) + 0.0 if kind in ("double", "float") else F.col(c)).cast("string").alias(c) for c, kind in df.select(*columns).dtypes])
+    each = text.unpivot([], columns, "feature", "value").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    sums = each.groupBy("feature").agg(F.count("value").alias("distinct"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing"), F.sum("n").alias("n"))
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string").join(sums, "feature", "left").na.fill(0, ["distinct", "missing", "n"])
+    return every.select("feature", "distinct", "missing", (F.col("distinct") <= 1).alias("constant"), (F.col("missing") == F.col("n")).alias("all_missing"))
 
 
 def stacked(cases: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from attestra.functions.values import tempered
 from attestra.operators import metrics as mt
 from attestra.plans.common import Registry
 from attestra.plans.testdata import PREDICTIONS_SQL, predictions, table
+from attestra.sources.stages import barrier
 
 R = Registry()
 ARG = "CASE WHEN {0}0 >= {0}1 AND {0}0 >= {0}2 THEN 0 WHEN {0}1 >= {0}2 THEN 1 ELSE 2 END"
@@ -166,8 +167,8 @@ DRAW_AP = """
  m AS (SELECT draw, log_loss, macro_f1, brier_multiclass, ece_10bin, average_precision FROM mb JOIN ap USING (draw)) {CI.format('log_loss, macro_f1, brier_multiclass, ece_10bin, average_precision', '')}""", CI_COLS)
 def bootstrap_ci(spark, sf_dir):
     d, n = _numbered(spark, sf_dir)
-    rows = mt.resampled(d.select("i", "id", "y", *mt.P), "i", n, DRAWS)
-    m = mt.bundle_by(rows, ["draw"]).join(mt.priority_by(rows, ["draw"], "p0", F.col("y") == 0, "id"), "draw")
+    rows = barrier(mt.multiplicities(d.select("i", "y", *mt.P), "i", n, DRAWS), "draws")
+    m = mt.drawn_bundles(rows, DRAWS).join(mt.drawn_precision(rows, DRAWS, "p0", F.col("y") == 0), "draw")
     return mt.interval(m, "draw", ["log_loss", "macro_f1", "brier_multiclass", "ece_10bin", "average_precision"])
 
 
@@ -187,10 +188,10 @@ def _anchored(df):
  m AS (SELECT draw, {', '.join(f'ma.{c} - mu.{c} AS {c}' for c in ANCHOR[:-1])}, class_change_rate FROM mu JOIN ma USING (draw) JOIN ch USING (draw)) {CI.format(', '.join(ANCHOR), '')}""", CI_COLS)
 def paired_bootstrap(spark, sf_dir):
     d, n = _numbered(spark, sf_dir)
-    rows = mt.resampled(_anchored(d), "i", n, DRAWS)
-    b = ("b0", "b1", "b2")
-    moved = rows.groupBy("draw").agg((F.avg((mt.picked(b) != mt.picked()).cast("double")) - F.avg((mt.picked(Q) != mt.picked()).cast("double"))).alias("class_change_rate"))
-    m = mt.differences(mt.bundle_by(rows, ["draw"], Q), mt.bundle_by(rows, ["draw"], b), "draw", ANCHOR[:-1]).join(moved, "draw")
+    rows, b = barrier(mt.multiplicities(_anchored(d), "i", n, DRAWS), "draws"), ("b0", "b1", "b2")
+    moved = (mt.picked(b) != mt.picked()).cast("double") - (mt.picked(Q) != mt.picked()).cast("double")
+    after = mt.drawn_bundles(rows, DRAWS, b, more={"class_change_rate": moved})
+    m = mt.differences(mt.drawn_bundles(rows, DRAWS, Q), after, "draw", ANCHOR[:-1]).join(after.select("draw", "class_change_rate"), "draw")
     return mt.interval(m, "draw", ANCHOR)
 
 
@@ -203,8 +204,8 @@ COMPARED = {"log_loss": True, "macro_f1": False, "brier_multiclass": True, "ece_
  {CI.format(', '.join(COMPARED), ", avg(CAST(CASE WHEN metric IN ('log_loss', 'brier_multiclass', 'ece_10bin') THEN value < 0 ELSE value > 0 END AS DOUBLE)) AS probability_beneficial")}""", CI_COLS + " probability_beneficial")
 def baseline_bootstrap(spark, sf_dir):
     d, n = _numbered(spark, sf_dir)
-    rows = mt.resampled(d, "i", n, DRAWS)
-    arm = lambda p: mt.bundle_by(rows, ["draw"], p).join(mt.priority_by(rows, ["draw"], p[0], F.col("y") == 0, "id"), "draw")
+    rows = barrier(mt.multiplicities(d, "i", n, DRAWS), "draws")
+    arm = lambda p: mt.drawn_bundles(rows, DRAWS, p).join(mt.drawn_precision(rows, DRAWS, p[0], F.col("y") == 0), "draw")
     return mt.interval(mt.differences(arm(mt.P), arm(Q), "draw", list(COMPARED)), "draw", list(COMPARED), COMPARED)
 
 
