@@ -283,12 +283,11 @@ def resampled(df: DataFrame, key: str, n_rows: int, draws: int) -> DataFrame:
 
 
 def multiplicities(df: DataFrame, key: str, n_rows: int, draws: int) -> DataFrame:
-    """The same resamples, as how often each has each row: adds _d (draws) and _m (times) to the rows, which are joined once and stay ``n_rows``."""
+    """The same resamples, the other way round: adds to each row the draws that have it (_d), as often as they do. Rows are joined once and stay ``n_rows``, and one list is no longer than a few times the draws."""
     picks = df.sparkSession.range(draws * n_rows).select(
         F.floor(F.col("id") / n_rows).cast("int").alias("_d"), (F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 8), 16, 10).cast("long") % n_rows).alias(key)
     )
-    times = picks.groupBy(key, "_d").agg(F.count(F.lit(1)).cast("int").alias("_m")).groupBy(key).agg(F.collect_list(F.struct("_d", "_m")).alias("_t"))
-    return df.join(times, key).select(*df.columns, F.col("_t._d").alias("_d"), F.col("_t._m").alias("_m"))
+    return df.join(picks.groupBy(key).agg(F.collect_list("_d").alias("_d")), key)
 
 
 #: Rows that a task holds against all draws at a time.
@@ -300,7 +299,8 @@ def _dense(frame: pd.DataFrame, draws: int) -> np.ndarray:
     out = np.zeros((len(frame), draws))
     size = [len(x) for x in frame["_d"]]
     if sum(size):
-        out[np.repeat(np.arange(len(frame)), size), np.concatenate(frame["_d"].to_numpy())] = np.concatenate(frame["_m"].to_numpy())
+        place = np.repeat(np.arange(len(frame)) * draws, size) + np.concatenate(frame["_d"].to_numpy())
+        out = np.bincount(place, minlength=len(frame) * draws).reshape(len(frame), draws).astype(float)
     return out
 
 
@@ -309,8 +309,8 @@ def drawn_bundles(rows: DataFrame, draws: int, p: tuple[str, ...] = P, bins: int
     place, own = _bundle_parts(p, bins)
     own |= {k: F.col(f"_x_{k}") for k in more or {}}
     names = list(own)
-    d = rows.withColumns({f"_x_{k}": x for k, x in (more or {}).items()}).select("_d", "_m", "y", *[f"_x_{k}" for k in more or {}], *normalized(p))
-    d = d.select("_d", "_m", place.alias("_bin"), F.array(*[F.coalesce(own[c], F.lit(0.0)).cast("double") for c in names]).alias("_x"))
+    d = rows.withColumns({f"_x_{k}": x for k, x in (more or {}).items()}).select("_d", "y", *[f"_x_{k}" for k in more or {}], *normalized(p))
+    d = d.select("_d", place.alias("_bin"), F.array(*[F.coalesce(own[c], F.lit(0.0)).cast("double") for c in names]).alias("_x"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
@@ -334,7 +334,7 @@ def drawn_precision(rows: DataFrame, draws: int, score: str, positive: Column) -
     """Average precision of each draw of ``multiplicities``. Rows are ranked once for all draws, in ranges of the score; what a draw has in higher ranges is a sum of a row for each range."""
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = rows.select(F.col(score).alias("_s"), positive.cast("double").alias("_pos"), "_d", "_m").repartitionByRange(n, F.desc("_s"))
+    ranked = rows.select(F.col(score).alias("_s"), positive.cast("double").alias("_pos"), "_d").repartitionByRange(n, F.desc("_s"))
     ranked = barrier(ranked.withColumn("_part", F.spark_partition_id()), "ranked")
 
     def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
