@@ -64,6 +64,39 @@ def _flag(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False)).cast("long")
 
 
+def derived(rules: FeatureRules) -> dict[str, Column]:
+    """Recency, decay and latest-source columns, from a candidate's ``as_of``, counts and latest places (_top_*, _last_*, _known_*, _oos_*, _de_*)."""
+    col, days, out = F.col, lambda x: F.date_diff("as_of", x), {}
+    known = [col(f"_known_{s}") for s in SOURCES]
+    total = lambda xs: sum(xs[1:], xs[0])
+    count = lambda f: total([_flag(f(k)) for k in known])
+    near, is_oos, is_de = (lambda k: days(k["event_dt"]) <= 365), (lambda k: k["sc"] == "OOS"), (lambda k: k["sc"] == "DE")
+    out |= {
+        "state_missing_ratio": safe_ratio(col("state_missing_count"), col("linked_record_count")), "oos_share_known_state": safe_ratio(col("oos_count_total"), col("oos_count_total") + col("de_count_total")),
+        "days_since_latest_oos": days("_top_oos"), "days_since_latest_de": days("_top_de"),
+        "de_after_oos": _flag(col("_top_de") > col("_top_oos")), "oos_after_de": _flag(col("_top_oos") > col("_top_de")),
+        "latest_oos_recency_advantage_days": days("_top_de") - days("_top_oos"),
+        "historical_oos_only": _flag((col("oos_count_total") > 0) & (col("_top_de") > col("_top_oos")) & (col("oos_count_365d") == 0)),
+        "recent_oos_after_latest_de_present": _flag((col("oos_evidence_after_latest_de_count") > 0) & (col("oos_count_365d") > 0)),
+        "recent_oos_cross_source_confirmation_present_90d": _flag(col("recent_oos_independent_source_count_90d") >= 2),
+    }
+    for h in rules.half_lives:
+        out[f"oos_decay_share_{h}d"] = safe_ratio(col(f"oos_decay_{h}d"), col(f"oos_decay_{h}d") + col(f"de_decay_{h}d"))
+    n_de, n_oos = count(is_de), count(is_oos)
+    r_de, r_oos = count(lambda k: is_de(k) & near(k)), count(lambda k: is_oos(k) & near(k))
+    out |= {
+        "latest_source_de_count": n_de, "latest_source_oos_count": n_oos, "latest_source_oos_share": safe_ratio(n_oos, n_oos + n_de),
+        "cross_source_conflict_count": n_de * n_oos, "cross_source_conflict_present": _flag(n_de * n_oos > 0),
+        "recent_latest_source_de_count_365d": r_de, "recent_latest_source_oos_count_365d": r_oos, "historical_latest_source_oos_count": n_oos - r_oos,
+        "recent_cross_source_conflict_count_365d": r_de * r_oos, "recent_cross_source_conflict_present_365d": _flag(r_de * r_oos > 0),
+        "recency_weighted_latest_source_oos": total([F.when(is_oos(k), decay(days(k["event_dt"]), 365)).otherwise(0.0) for k in known]),
+    }
+    for s in SOURCES:
+        last = col(f"_last_{s}")
+        out |= {f"{s}_latest_is_de": _flag(last["sc"] == "DE"), f"{s}_latest_is_oos": _flag(last["sc"] == "OOS"), f"days_since_{s}_latest_record": days(last["event_dt"]), f"days_since_{s}_latest_oos": days(col(f"_oos_{s}")), f"days_since_{s}_latest_de": days(col(f"_de_{s}"))}
+    return out
+
+
 def phase_features(candidates: DataFrame, events: DataFrame, phase: str, updates: DataFrame, rules: FeatureRules = FeatureRules()) -> DataFrame:
     """All feature columns of a phase, one row per candidate.
 
@@ -170,33 +203,7 @@ def phase_features(candidates: DataFrame, events: DataFrame, phase: str, updates
     }
     names = [k for k in a if not k.startswith("_")]
     out |= {k: col(k) for k in names}
-    known = [col(f"_known_{s}") for s in SOURCES]
-    total = lambda xs: sum(xs[1:], xs[0])
-    count = lambda f: total([_flag(f(k)) for k in known])
-    near, is_oos, is_de = (lambda k: days(k["event_dt"]) <= 365), (lambda k: k["sc"] == "OOS"), (lambda k: k["sc"] == "DE")
-    out |= {
-        "state_missing_ratio": safe_ratio(col("state_missing_count"), col("linked_record_count")), "oos_share_known_state": safe_ratio(col("oos_count_total"), col("oos_count_total") + col("de_count_total")),
-        "days_since_latest_oos": days("_top_oos"), "days_since_latest_de": days("_top_de"),
-        "de_after_oos": _flag(col("_top_de") > col("_top_oos")), "oos_after_de": _flag(col("_top_oos") > col("_top_de")),
-        "latest_oos_recency_advantage_days": days("_top_de") - days("_top_oos"),
-        "historical_oos_only": _flag((col("oos_count_total") > 0) & (col("_top_de") > col("_top_oos")) & (col("oos_count_365d") == 0)),
-        "recent_oos_after_latest_de_present": _flag((col("oos_evidence_after_latest_de_count") > 0) & (col("oos_count_365d") > 0)),
-        "recent_oos_cross_source_confirmation_present_90d": _flag(col("recent_oos_independent_source_count_90d") >= 2),
-    }
-    for h in rules.half_lives:
-        out[f"oos_decay_share_{h}d"] = safe_ratio(col(f"oos_decay_{h}d"), col(f"oos_decay_{h}d") + col(f"de_decay_{h}d"))
-    n_de, n_oos = count(is_de), count(is_oos)
-    r_de, r_oos = count(lambda k: is_de(k) & near(k)), count(lambda k: is_oos(k) & near(k))
-    out |= {
-        "latest_source_de_count": n_de, "latest_source_oos_count": n_oos, "latest_source_oos_share": safe_ratio(n_oos, n_oos + n_de),
-        "cross_source_conflict_count": n_de * n_oos, "cross_source_conflict_present": _flag(n_de * n_oos > 0),
-        "recent_latest_source_de_count_365d": r_de, "recent_latest_source_oos_count_365d": r_oos, "historical_latest_source_oos_count": n_oos - r_oos,
-        "recent_cross_source_conflict_count_365d": r_de * r_oos, "recent_cross_source_conflict_present_365d": _flag(r_de * r_oos > 0),
-        "recency_weighted_latest_source_oos": total([F.when(is_oos(k), decay(days(k["event_dt"]), 365)).otherwise(0.0) for k in known]),
-    }
-    for s in SOURCES:
-        last = col(f"_last_{s}")
-        out |= {f"{s}_latest_is_de": _flag(last["sc"] == "DE"), f"{s}_latest_is_oos": _flag(last["sc"] == "OOS"), f"days_since_{s}_latest_record": days(last["event_dt"]), f"days_since_{s}_latest_oos": days(col(f"_oos_{s}")), f"days_since_{s}_latest_de": days(col(f"_de_{s}"))}
+    out |= derived(rules)
     here, since_proxy = col("_proxy").isNotNull(), F.greatest(days("_proxy"), F.lit(0))
     v60, c60 = col("post_60d_oos_vehicle_signal_count"), col("post_60d_active_oos_credential_signal_count")
     vs, cs = col("post_60d_oos_vehicle_matches_prior_state_count") > 0, col("post_60d_active_credential_matches_prior_state_count") > 0

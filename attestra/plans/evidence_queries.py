@@ -29,7 +29,7 @@ GROUPS = {
 }
 
 
-def _doubles(columns) -> str:
+def doubles(columns) -> str:
     """Columns that hold ratios, means and decays."""
     return " ".join(c for c in columns if any(x in c for x in ("ratio", "share", "decay", "_mean_days", "confidence_mean", "confidence_min", "recency_weighted")))
 
@@ -45,22 +45,22 @@ def _features(spark, sf_dir, phase):
 for _name, _cols in GROUPS.items():
     # groups that need updates are shown at the second phase, others at the first
     _phase = "T1" if _name in ("update_lag", "residency_proxy", "post_move_vehicle", "post_move_credential", "prior_state_persistence", "recency_windows") else "T0"
-    R.add(_name, f"{with_(features(_phase))} SELECT {K}, {', '.join(_cols.split())} FROM f_{_phase.lower()}", _doubles(_cols.split()))(
+    R.add(_name, f"{with_(features(_phase))} SELECT {K}, {', '.join(_cols.split())} FROM f_{_phase.lower()}", doubles(_cols.split()))(
         lambda spark, sf_dir, p=_phase, c=_cols: _features(spark, sf_dir, p).select(K, *c.split())
     )
 
 
-@R.add("features_t0_full", f"{with_(features('T0'))} SELECT * FROM f_t0", _doubles(ALL))
+@R.add("features_t0_full", f"{with_(features('T0'))} SELECT * FROM f_t0", doubles(ALL))
 def features_t0_full(spark, sf_dir):
     return _features(spark, sf_dir, "T0")
 
 
-@R.add("features_t1_full", f"{with_(features('T1'))} SELECT * FROM f_t1", _doubles(ALL))
+@R.add("features_t1_full", f"{with_(features('T1'))} SELECT * FROM f_t1", doubles(ALL))
 def features_t1_full(spark, sf_dir):
     return _features(spark, sf_dir, "T1")
 
 
-@R.add("deltas_full", f"{with_(features('T0'), features('T1'), UPDATES, DELTA)} SELECT * FROM dl", _doubles(f"delta_{c}" for c in ev.DELTAS))
+@R.add("deltas_full", f"{with_(features('T0'), features('T1'), UPDATES, DELTA)} SELECT * FROM dl", doubles(f"delta_{c}" for c in ev.DELTAS))
 def deltas_full(spark, sf_dir):
     e = evidence(spark, sf_dir)
     return ev.delta_features(candidates(spark, sf_dir), e, e.where("phase = 'T1'"))

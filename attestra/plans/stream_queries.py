@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from attestra.plans.common import Registry
-from attestra.plans.testdata import table
+from attestra.plans.evidence_queries import GROUPS, doubles
+from attestra.plans.evidence_sql import K, features, with_
+from attestra.plans.testdata import candidates, evidence, table
+from attestra.streaming import features as kept
 from attestra.streaming import state
 
 R = Registry()
@@ -69,4 +72,17 @@ def stream_merge(spark, sf_dir):
     return state.reload(spark, base, c.schema).select("client_id", "change_id", "seq", "source", "segment", "city", "balance")
 
 
+#: What cells of counts hold; other features need the order of records.
+CURRENT = ["as_of_date", *" ".join(GROUPS[g] for g in ("evidence_counts", "recency_windows", "recency_latest", "decay_weights", "latest_source_conflict", "per_source_pivot", "per_source_latest", "link_quality", "update_lag")).split()]
+
+
+@R.add("stream_features", f"{with_(features('T1'))} SELECT {K}, {', '.join(CURRENT)} FROM f_t1", doubles(CURRENT))
+def stream_features(spark, sf_dir):
+    """The first snapshot, then updates week by week: the features of all candidates after the last drop, from cells that each drop added to."""
+    e = evidence(spark, sf_dir)
+    drop = F.when(F.col("phase") == "T1", F.weekofyear("observed_dt")).otherwise(0)
+    base = state.in_drops(e, drop, "features", lambda folder, base: kept.keep_cells(_stream(spark, folder, e.schema), base))
+    return kept.features(candidates(spark, sf_dir), kept.newest_cells(spark, base, e)).select(K, *CURRENT)
+
+
 QUERIES, ORACLES = R.queries, R.oracles

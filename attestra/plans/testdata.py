@@ -67,15 +67,14 @@ ev AS (
 cand AS (
   SELECT c_custkey AS candidate_record_id, DATE '2024-01-10' + CAST(c_custkey % 15 AS INTEGER) AS candidate_dt,
     ['DE', 'PA', ''][1 + c_nationkey % 3] AS observed_state
-  FROM customer WHERE c_custkey IN (SELECT user_id FROM events)
+  FROM customer
 ),
 t1cut AS (SELECT max(observed_dt) AS as_of FROM ev WHERE phase = 'T1')
 """
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = table(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey")).distinct()
-    return table(spark, sf_dir, "customer").join(users, "c_custkey", "left_semi").select(
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("candidate_record_id"),
         F.date_add(F.lit("2024-01-10").cast("date"), (F.col("c_custkey") % 15).cast("int")).alias("candidate_dt"),
         _pick(["DE", "PA", ""], F.col("c_nationkey") % 3).alias("observed_state"),

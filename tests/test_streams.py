@@ -3,7 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from attestra.operators import evidence as ev
+from attestra.plans.stream_queries import CURRENT
+from attestra.plans.testdata import candidates, evidence
 from attestra.sources.stages import own_folder
+from attestra.streaming import features as kept
 from attestra.streaming import state
 
 COMMANDS = "key string, at long, seq long, action string, value string"
@@ -74,3 +78,25 @@ def test_merges_may_run_again(spark, feed):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/current/v=7/_SUCCESS")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
     assert kept() == [(2, 3, "c"), (3, 1, None)]
+
+
+def test_features_after_each_batch_equal_those_computed_anew(spark, feed):
+    base, _ = feed
+    sf = "/root/testdata/sf0.001"
+    cand, all_rows = candidates(spark, sf).cache(), evidence(spark, sf)
+    schema = all_rows.schema
+    drops = [all_rows.where("phase = 'T0'"), all_rows.where("phase = 'T1' and source_record_id % 3 = 1"), all_rows.where("phase = 'T1' and source_record_id % 3 <> 1")]
+    cols = [c for c in CURRENT if c not in ("as_of_date",)]
+    for k, rows in enumerate(drops):
+        rows.coalesce(2).write.mode("append").parquet(f"{base}/in")
+        kept.keep_cells(spark.readStream.schema(schema).parquet(f"{base}/in"), base)
+        seen = spark.read.schema(schema).parquet(f"{base}/in")
+        want = ev.phase_features(cand, seen, "T1" if k else "T0", seen.where("phase = 'T1'")).select(ev.KEY, "as_of_date", *cols).collect()
+        got = kept.features(cand, kept.newest_cells(spark, base, all_rows)).select(ev.KEY, "as_of_date", *cols).collect()
+        norm = lambda rs: sorted([tuple(round(v, 8) if isinstance(v, float) else v for v in r) for r in rs])
+        for a, b in zip(norm(want), norm(got), strict=True):
+            assert a == b, [(c, x, y) for c, x, y in zip([ev.KEY, "as_of_date", *cols], a, b, strict=True) if x != y]
+    # a batch changes only the cells that it names
+    last = spark.read.parquet(f"{base}/out/batch=2")
+    touched = drops[2].select(ev.KEY).distinct()
+    assert last.count() and last.join(touched, ev.KEY, "left_anti").count() == 0
