@@ -266,8 +266,8 @@ def tag_counts(state: DataFrame, most: int = 500) -> DataFrame:
 
 
 def evidence_search(evidence: DataFrame, q: str = "", src: str = "all", state: str = "all", limit: int = 50) -> DataFrame:
-    """Records whose id, record id, vehicle, state or type holds what is asked for, or the code of the state that it names; newest first."""
-    ask = q.strip().lower()
+    """Records whose id, record id, vehicle, state or type holds what is asked for, or the code of the state that it names; newest first. ``src`` is a source or its kind."""
+    ask, src = q.strip().lower(), {v: k for k, v in KINDS.items()}.get(src, src)
     code = known_state(F.col("state"))
     hay = F.lower(F.concat_ws(" ", *[F.coalesce(x.cast("string"), F.lit("")) for x in (F.col("candidate_record_id"), F.col("source_record_id"), F.col("vehicle_ref"), code, F.col("event_type"))]))
     preds = [F.col("src").isin(*SOURCES) if src in (None, "all", "") else F.col("src") == src]

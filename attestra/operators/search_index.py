@@ -7,10 +7,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from attestra.config import SOURCES
 from attestra.functions.values import STATES
-from attestra.operators.review import known_state
+from attestra.operators.review import KINDS, known_state
 from attestra.sources.stages import own_folder
 
 #: Ends a text, so that its last letters begin a gram too.
@@ -37,19 +38,18 @@ class SearchIndex:
 
     spark: SparkSession
     folder: str
-    parts: int
+    schema: StructType
     buckets: int
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}")
+        kind = {"grams": "part int, row long, gram string, bucket int", "counts": "gram string, n long, bucket int"}.get(name, self.schema)
+        return self.spark.read.schema(kind).parquet(f"{self.folder}/{name}")
 
     def _has(self, gram: str) -> Column:
         """Rows of the tables of grams that a gram of a search stands for: one bucket's, or those that begin with it."""
         if len(gram) < 3:
             return F.col("gram").startswith(gram)
-        # a number, so that folders are chosen as the plan is made
-        bucket = self.spark.range(1).select(_slot(F.lit(gram), self.buckets)).first()[0]
-        return (F.col("bucket") == bucket) & (F.col("gram") == gram)
+        return (F.col("bucket") == _slot(F.lit(gram), self.buckets)) & (F.col("gram") == gram)
 
     def candidates(self, text: str) -> DataFrame:
         """Rows that have the rarest grams of a text: (part, row). Rows that hold the text are among them."""
@@ -65,7 +65,7 @@ class SearchIndex:
         return found.groupBy("part", "row").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == len(each)).select("part", "row")
 
     def rows(self, texts: list[str]) -> DataFrame:
-        """Rows that hold one of the texts, with all their columns. At most ``parts`` numbers pass the driver."""
+        """Rows that hold one of the texts, with all their columns. No more numbers than there are parts pass the driver."""
         found = reduce(DataFrame.unionByName, [self.candidates(t) for t in texts]).distinct()
         here = [r[0] for r in found.select("part").distinct().collect()]
         held = reduce(lambda a, b: a | b, [F.col("_text").contains(t) for t in texts])
@@ -73,7 +73,7 @@ class SearchIndex:
 
     def search(self, q: str = "", src: str = "all", state: str = "all", limit: int = 50) -> DataFrame:
         """What review.evidence_search finds. Searches for nothing read all rows, as they must."""
-        ask = q.strip().lower()
+        ask, src = q.strip().lower(), {v: k for k, v in KINDS.items()}.get(src, src)
         rows = self.rows([ask, STATES[ask].lower()] if ask in STATES else [ask]) if ask else self._read("rows").drop("part", "row")
         rows = rows.where(F.col("src").isin(*SOURCES) if src in (None, "all", "") else F.col("src") == src).withColumn("state", known_state(F.col("state")))
         if state not in (None, "all", ""):
@@ -99,11 +99,12 @@ def search_index(evidence: DataFrame, key: str = "candidate_record_id", parts: i
     r.write.partitionBy("part").parquet(f"{folder}/rows")
     padded = F.concat("_text", F.lit(END * 2))
     each = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_text")), lambda k: F.substr(padded, k, F.lit(3))))
-    p = spark.read.parquet(f"{folder}/rows").where(F.length("_text") > 0).select("part", "row", F.explode(each).alias("gram")).withColumn("bucket", _slot(F.col("gram"), buckets))
+    index = SearchIndex(spark, folder, r.schema, buckets)
+    p = index._read("rows").where(F.length("_text") > 0).select("part", "row", F.explode(each).alias("gram")).withColumn("bucket", _slot(F.col("gram"), buckets))
     p.repartition("bucket", F.pmod("row", F.lit(SPREAD))).sortWithinPartitions("bucket", "gram").write.partitionBy("bucket").parquet(f"{folder}/grams")
-    n = spark.read.parquet(f"{folder}/grams").groupBy("bucket", "gram").agg(F.count(F.lit(1)).alias("n"))
+    n = index._read("grams").groupBy("bucket", "gram").agg(F.count(F.lit(1)).alias("n"))
     n.repartition("bucket").sortWithinPartitions("bucket", "gram").write.partitionBy("bucket").parquet(f"{folder}/counts")
-    return SearchIndex(spark, folder, parts, buckets)
+    return index
 
 
 @dataclass
@@ -112,16 +113,17 @@ class Queue:
 
     spark: SparkSession
     folder: str
+    schema: StructType
     order: list[tuple[str, bool]]
     starts: list[tuple[int, int]]
     total: int
 
     def _rows(self, first: int, last: int) -> DataFrame:
         """Rows with places from ``first`` on and before ``last``: of their ranges alone."""
-        ends = [s for _, s in self.starts[1:]] + [self.total]
+        ends = [*(s for _, s in self.starts), self.total][1:]
         here = [r for (r, s), e in zip(self.starts, ends, strict=True) if s < last and e > first]
         begin = reduce(lambda c, x: c.when(F.col("range") == x[0], x[1]), [x for x in self.starts if x[0] in here], F.when(F.lit(False), 0))
-        rows = self.spark.read.parquet(f"{self.folder}/rows").where(F.col("range").isin(here))
+        rows = self.spark.read.schema(self.schema).parquet(f"{self.folder}/rows").where(F.col("range").isin(here))
         return rows.withColumn("place", (F.col("place") + begin).cast("long")).where((F.col("place") >= first) & (F.col("place") < last)).drop("range")
 
     def page(self, skip: int = 0, limit: int = 20) -> DataFrame:
@@ -131,7 +133,7 @@ class Queue:
 
     def after(self, row: dict, limit: int = 20) -> DataFrame:
         """The ``limit`` rows that follow one, known by its values of the order's columns, which need not be there any more."""
-        at = self.spark.read.parquet(f"{self.folder}/rows")
+        at = self.spark.read.schema(self.schema).parquet(f"{self.folder}/rows")
         before, same = F.lit(False), F.lit(True)
         for c, down in self.order:
             x, v = F.col(c), F.lit(row[c]).cast(at.schema[c].dataType)
@@ -139,7 +141,7 @@ class Queue:
             above, below = (v.isNotNull() & (x.isNull() | (x > v))), (x.isNotNull() & (v.isNull() | (x < v)))
             before, same = before | (same & (above if down else below)), same & x.eqNullSafe(v)
         # ranges hold their bounds, so the place is found in one of them
-        bounds = self.spark.read.parquet(f"{self.folder}/bounds")
+        bounds = self.spark.read.schema(StructType([f for f in self.schema if f.name == "range" or f.name in dict(self.order)])).parquet(f"{self.folder}/bounds")
         r = bounds.where(before | same).agg(F.max("range")).first()[0]
         if r is None:
             return self.page(0, limit)
@@ -158,7 +160,7 @@ def queue(rows: DataFrame, order: list[tuple[str, bool]], ranges: int = 32) -> Q
     by = [F.col(c).desc_nulls_first() if down else F.col(c).asc_nulls_last() for c, down in order]
     # the range is written with its rows before they are numbered, so that both hold whatever is computed again
     rows.repartitionByRange(ranges, *by).withColumn("range", F.spark_partition_id()).write.partitionBy("range").parquet(f"{folder}/dealt")
-    dealt = spark.read.schema(rows.schema.add("range", "integer")).parquet(f"{folder}/dealt")
+    dealt = spark.read.schema(StructType([*rows.schema.fields, StructField("range", IntegerType())])).parquet(f"{folder}/dealt")
     placed = dealt.withColumn("place", F.row_number().over(Window.partitionBy("range").orderBy(*by)) - 1)
     placed.sortWithinPartitions("range", "place").write.partitionBy("range").parquet(f"{folder}/rows")
     written = spark.read.schema(placed.schema).parquet(f"{folder}/rows")
@@ -168,4 +170,4 @@ def queue(rows: DataFrame, order: list[tuple[str, bool]], ranges: int = 32) -> Q
     for r in sorted(counts):
         starts.append((r, total))
         total += counts[r]
-    return Queue(spark, folder, order, starts, total)
+    return Queue(spark, folder, placed.schema, order, starts, total)
