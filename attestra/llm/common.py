@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +90,29 @@ def slices(frame: pd.DataFrame, text: str, rows: int, chars: int = 4_000_000) ->
         at += n
 
 
+def release() -> None:
+    """Give memory that is free in this process back to the system; allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # of the C library only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for mapInPandas or mapInArrow, and ``release`` once a task's rows are done.
+
+    A worker lives on after its task, and what it holds stands beside the
+    memory of the stages that follow.
+    """
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
+
+
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Connected components of an undirected edge list: (node, component).
 

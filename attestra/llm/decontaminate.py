@@ -14,7 +14,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestra.llm.common import row_key, slices, stage
+from attestra.llm.common import row_key, slices, stage, tidy
 
 #: Bytes of benchmark text in one block (a larger item is a block of its own); every block is matched against all
 #: documents. The driver holds the texts of one block at a time, a task builds the block's windows: 8 bytes of text
@@ -144,7 +144,7 @@ def _row_matches(docs: DataFrame, bench: DataFrame, window: int, block_bytes: in
                     out["matches"] = [[dict(zip(("item_id", "item_start", "doc_start", "n_words"), m, strict=True)) for m in ms] for _, ms in found]
                     yield out
 
-        return source.mapInPandas(run, schema)
+        return source.mapInPandas(tidy(run), schema)
 
     if blocks == 1:
         return scan(0)

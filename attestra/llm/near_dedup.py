@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestra.llm.common import components, row_key, stage
+from attestra.llm.common import components, row_key, stage, tidy
 
 #: Words in a shingle, and the similarity (in hundredths) from which documents are linked.
 SHINGLE, PERCENT = 5, 75
@@ -135,7 +135,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text")).select("doc_id", "key.a", "key.b", "text")
-    return rows.mapInPandas(run, f"doc_id {kind}, a long, b long, n_shingles long, set_a long, set_b long, bits array<long>, bands array<long>")
+    return rows.mapInPandas(tidy(run), f"doc_id {kind}, a long, b long, n_shingles long, set_a long, set_b long, bits array<long>, bands array<long>")
 
 
 class _Texts:
@@ -175,7 +175,7 @@ def _confirmed(pairs: DataFrame, texts: _Texts, percent: int) -> DataFrame:
             keep = [similar(of(s, x), of(d, y), percent) for s, x, d, y in zip(p["src"], p["x"], p["dst"], p["y"], strict=True)]
             yield p.loc[keep, ["src", "dst"]]
 
-    return stage(full.select("src", "dst", "x", "y").mapInPandas(run, "src long, dst long"), "near-links")
+    return stage(full.select("src", "dst", "x", "y").mapInPandas(tidy(run), "src long, dst long"), "near-links")
 
 
 def _prefixes(open_: DataFrame, texts: _Texts, percent: int) -> DataFrame:
@@ -194,7 +194,7 @@ def _prefixes(open_: DataFrame, texts: _Texts, percent: int) -> DataFrame:
             out["toks"] = [shingles(t).view(np.int64) for t in b["text"]]
             yield out
 
-    sets = stage(texts.of(open_).mapInPandas(run, "id long, toks array<long>"), "near-sets")
+    sets = stage(texts.of(open_).mapInPandas(tidy(run), "id long, toks array<long>"), "near-sets")
     each = sets.select("id", F.explode("toks").alias("tok"))
     shared = each.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     kept = each.join(shared, "tok").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("s"))

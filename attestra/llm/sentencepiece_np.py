@@ -11,16 +11,22 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from attestra.llm.common import tidy
+
 MODEL = os.environ.get("ATTESTRA_SENTENCEPIECE", "/opt/tokenizers/piece_bpe_32k.model")
 #: What a model writes for a blank.
 SPACE = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Longer words than this are encoded one at a time.
 LONG = 48
-#: Words that a worker remembers between batches.
-REMEMBERED = 400_000
+#: Words that a worker remembers between batches, some 250 bytes each. No result depends on it.
+REMEMBERED = 200_000
+#: Characters that are encoded at a time, about.
+SLICE = 1_000_000
 
 
 class _Numbered(dict):
@@ -405,24 +411,24 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, id_col: str = "do
     """
     kind = dict(docs.dtypes)[id_col]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_path)
         for b in batches:
-            lo, size = 0, b[text_col].str.len().fillna(0).to_numpy()
-            while lo < len(b):
-                # about so many characters at a time
-                hi = lo + max(1, int(np.searchsorted(np.cumsum(size[lo : lo + 4000]), 3_000_000)))
-                part = b.iloc[lo:hi]
-                texts = [t or "" for t in part[text_col]]
+            size, lo = pc.fill_null(pc.utf8_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64), 0
+            while lo < b.num_rows:
+                n = max(1, int((size[lo : lo + 4000].cumsum() <= SLICE).sum()))
+                part = b.slice(lo, n)
+                lo += n
+                texts = [t or "" for t in part.column(1).to_pylist()]
                 ids = model.encode(texts)
-                out = part[[id_col]].reset_index(drop=True)
-                out["input_ids"] = ids
-                out["n_tokens"] = [len(x) for x in ids]
-                out["round_trip"] = [model.decode(x) == t for x, t in zip(ids, texts, strict=True)]
-                yield out
-                lo = hi
-
-    return docs.select(id_col, text_col).mapInPandas(run, f"`{id_col}` {kind}, input_ids array<int>, n_tokens long, round_trip boolean")
+                count = np.array([len(x) for x in ids], np.int64)
+                same = [model.decode(x) == t for x, t in zip(ids, texts, strict=True)]
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(count))), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(count), pa.array(same, pa.bool_())], names=[id_col, "input_ids", "n_tokens", "round_trip"])
+        # the worker lives on, and other stages need its memory
+        model._forget()
+
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), f"`{id_col}` {kind}, input_ids array<int>, n_tokens long, round_trip boolean")
 
 
 def digest(frame: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestra.llm.common import row_key, stage
+from attestra.llm.common import row_key, stage, tidy
 
 #: Labelled rows in the training sample, of each class.
 SAMPLE_ROWS = 10_000
@@ -190,7 +190,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     p, q = size.get(1, 0), size.get(0, 0)
     vocab: dict[str, int] = {}
     if p and q:
-        found = sample.select("text", "y").mapInPandas(count, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("a"), F.sum("neg").alias("b"))
+        found = sample.select("text", "y").mapInPandas(tidy(count), "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("a"), F.sum("neg").alias("b"))
         # bounded by the words of the sample
         vocab = {r["term"]: k for k, r in enumerate(sorted(_telling(found, p, q).collect(), key=lambda r: (-r["g2"], r["term"])))}
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
@@ -213,7 +213,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     kind = dict(d.dtypes)["doc_id"]
     part = "struct<a:bigint,b:bigint>"
-    seen = stage(d.mapInPandas(vectors, f"doc_id {kind}, a long, b long, terms array<int>, counts array<int>"), "toxic-vectors")
+    seen = stage(d.mapInPandas(tidy(vectors), f"doc_id {kind}, a long, b long, terms array<int>, counts array<int>"), "toxic-vectors")
     total = seen.count()
     df = {r[0]: r[1] for r in seen.select(F.explode("terms").alias("t")).groupBy("t").count().collect()}
     idf = np.array([np.log((1 + total) / (1 + df.get(k, 0))) + 1 for k in range(len(vocab))])
@@ -232,7 +232,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     # what is staged is so small that its files would fill few tasks
     spread = seen.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a")
-    scored = spread.mapInPandas(score, f"doc_id {kind}, a long, b long, score double, evidence array<{kind}>")
+    scored = spread.mapInPandas(tidy(score), f"doc_id {kind}, a long, b long, score double, evidence array<{kind}>")
     return scored.select(F.struct("a", "b").cast(part).alias("key"), F.col("doc_id").alias(id_col), "score", "evidence")
 
 

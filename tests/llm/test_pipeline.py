@@ -1,5 +1,9 @@
 """Each stage of the pipeline on its own input, against brute force, and on odd rows."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import corpus_pipeline
 import pytest
 from attestra.llm import decontaminate, language_id, line_dedup, toxicity
@@ -69,3 +73,38 @@ def test_odd_rows(spark, stage):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "input_ids", "n_tokens", "round_trip"]
+
+
+def test_worker_gives_memory_back():
+    """After a task of the last stage a worker, which lives on beside the next run's, keeps little more than the model."""
+    code = """
+import random, re
+import pandas as pd, pyarrow as pa
+from attestra.llm import sentencepiece_np
+
+def mb():
+    return sum(map(int, re.findall(r"Pss_(?:Anon|Shmem): +([0-9]+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+class Docs:
+    dtypes, turn = [("doc_id", "bigint")], lambda self, b: b
+    select = lambda self, *c: self
+    mapInArrow = lambda self, run, schema: run
+    def mapInPandas(self, run, schema):
+        self.turn = pa.RecordBatch.to_pandas
+        return run
+
+docs, r, done = Docs(), random.Random(1), 0
+run = sentencepiece_np.encode_documents(docs)
+sentencepiece_np.load()
+before = mb()
+def batches():
+    for k in range(8):
+        texts = [" ".join(r.choice("abcdefgh") + hex(r.getrandbits(40)) for _ in range(50)) for _ in range(1000)]
+        yield docs.turn(pa.RecordBatch.from_pydict({"doc_id": range(k * 1000, k * 1000 + 1000), "text": texts}))
+for out in run(batches()):
+    done += len(out)
+del out
+print(done, mb() - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(corpus_pipeline.__file__).parent, capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) == 8000 and float(out[1]) < 60
