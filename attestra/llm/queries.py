@@ -24,8 +24,8 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), passage=substring_dedup.PASSAGE)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_shared_words")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -11,10 +12,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestra.llm.common import row_key, stage
+from attestra.llm.common import drop_stage, row_key, stage, tidy
 
 #: Bytes of a repeated string, and of the grams whose smallest hash marks the suffix that stands for a window.
 LENGTH, GRAM = 400, 32
+#: Words of a passage that documents share, and of its grams.
+PASSAGE, WORD_GRAM = 51, 6
 #: Batches in which a query adds its rows to the family.
 BATCHES = 4
 #: Distinct contexts of one gram that a task compares; larger groups are compared window by window instead.
@@ -42,9 +45,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _prefix(b: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(_BYTE[b] * _UP[: len(b)], out=out[1:])
+_LETTER = np.array([i >= 0x80 or chr(i).isalnum() for i in range(256)])
+_LOWER = _BYTE[[i + 32 if 65 <= i <= 90 else i for i in range(256)]]
+
+
+def words(data: bytes) -> np.ndarray:
+    """A hash for each word ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text, with A-Z lower-cased."""
+    b = np.frombuffer(data, np.uint8)
+    inside = _LETTER[b]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    size = edges[1::2] - edges[::2]
+    if not len(size):
+        return np.zeros(0, np.uint64)
+    at = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(at, size)
+    return _mix(np.add.reduceat(_LOWER[b[inside]] * _UP[place % len(_UP)], at))
+
+
+def _prefix(units: np.ndarray) -> np.ndarray:
+    """Sums of bytes or of words' hashes, each times the power of its place."""
+    out = np.zeros(len(units) + 1, np.uint64)
+    np.cumsum((_BYTE[units] if units.dtype == np.uint8 else units) * _UP[: len(units)], out=out[1:])
     return out
 
 
@@ -59,21 +80,23 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[w - 1 : w - 1 + n])
 
 
-def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+def anchors(data: bytes, length: int = LENGTH, by_word: bool = False) -> tuple[np.ndarray, ...]:
     """The sampled suffixes of a text: place, gram hash, context hash, first and last window start.
 
     Every string of ``length`` bytes is represented by the place of the
     leftmost smallest gram in it, which depends on the string alone; windows
     with one place follow each other. The context is all bytes of the windows
-    that a place stands for.
+    that a place stands for. With ``by_word``, words take the place of bytes.
     """
     parts = []
-    span = length - GRAM + 1
+    size = WORD_GRAM if by_word else GRAM
+    span = length - size + 1
     mask = np.uint64((1 << _POS_BITS) - 1)
-    for c in range(0, len(data) - length + 1, _CHUNK):
-        b = np.frombuffer(data, np.uint8)[c : c + _CHUNK + length - 1]
+    units = words(data) if by_word else np.frombuffer(data, np.uint8)
+    for c in range(0, len(units) - length + 1, _CHUNK):
+        b = units[c : c + _CHUNK + length - 1]
         total = _prefix(b)
-        gram = _mix((total[GRAM:] - total[:-GRAM]) * _DOWN[: len(b) - GRAM + 1])
+        gram = _mix((total[size:] - total[:-size]) * _DOWN[: len(b) - size + 1])
         key = (gram & ~mask) | np.arange(len(gram), dtype=np.uint64)
         at = (_sliding_min(key, span) & mask).astype(np.int64)
         s1 = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
@@ -87,15 +110,15 @@ def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
 SUFFIX = "a long, b long, batch int, p int, gram long, context long, lo int, hi int"
 
 
-def suffixes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
-    """Sampled suffixes of all rows; windows of a suffix start ``lo`` to ``hi`` bytes before it."""
+def suffixes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", length: int = LENGTH, batches: int = BATCHES, by_word: bool = False) -> DataFrame:
+    """Sampled suffixes of all rows; windows of a suffix start ``lo`` to ``hi`` bytes (or words) before it."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for k in range(0, len(f), 2000):
                 out: list[list] = [[] for _ in range(8)]
                 for a, b, batch, t in f.iloc[k : k + 2000].itertuples(index=False):
-                    p, gram, context, s1, s2 = anchors((t or "").encode(), length)
+                    p, gram, context, s1, s2 = anchors((t or "").encode(), length, by_word)
                     for col, x in zip(out, (np.full(len(p), a), np.full(len(p), b), np.full(len(p), batch), p, gram, context, p - s2, p - s1), strict=True):
                         col.append(x)
                 if out[0]:
@@ -103,7 +126,7 @@ def suffixes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", le
 
     key = row_key(id_col, text_col)
     rows = docs.select(key.alias("key"), F.col(text_col).alias("text")).select("key.a", "key.b", F.pmod(F.col("key.a"), F.lit(batches)).cast("int").alias("batch"), "text")
-    return rows.mapInPandas(run, SUFFIX)
+    return rows.mapInPandas(tidy(run), SUFFIX)
 
 
 ENTRY = ["gram", "context", "lo", "hi"]
@@ -128,10 +151,15 @@ class SuffixFamily:
         self.levels: list[tuple[int, DataFrame, DataFrame]] = []
         self.whole: list[DataFrame] = []
         self.shared: list[DataFrame] = []
+        self.tables: list[DataFrame] = []
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(stage(df, name))
+        return self.tables[-1]
 
     def add(self, batch: DataFrame) -> None:
-        run = stage(batch.groupBy(*ENTRY).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("a", "b", "p")).alias("where")), "suffix-run")
-        grams = stage(run.groupBy("gram").agg(F.min("context").alias("least"), F.max("context").alias("most")), "suffix-grams")
+        run = self._stage(batch.groupBy(*ENTRY).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("a", "b", "p")).alias("where")), "suffix-run")
+        grams = self._stage(run.groupBy("gram").agg(F.min("context").alias("least"), F.max("context").alias("most")), "suffix-grams")
         self.whole.append(run.where("n > 1").select(*ENTRY))
         self.shared.append(grams.where("least <> most").select("gram"))
         for _, entries, others in self.levels:
@@ -144,23 +172,29 @@ class SuffixFamily:
             run = run.unionByName(entries).groupBy(*ENTRY).agg(F.sum("n").alias("n"), F.min("where").alias("where"))
             grams = grams.unionByName(others).groupBy("gram").agg(F.min("least").alias("least"), F.max("most").alias("most"))
             size, merged = size * 2, True
-        self.levels.append((size, stage(run, "suffix-level") if merged else run, stage(grams, "suffix-grams") if merged else grams))
+        self.levels.append((size, self._stage(run, "suffix-level") if merged else run, self._stage(grams, "suffix-grams") if merged else grams))
 
     def found(self) -> tuple[DataFrame, DataFrame]:
-        """The entries that are repeated as a whole, and the entries of all levels whose grams have several contexts, with how many (m)."""
+        """The entries that are repeated as a whole, and the entries of all levels whose grams have several contexts, with how many (m).
+
+        The tables of the family go with it.
+        """
         whole = stage(reduce(DataFrame.unionByName, self.whole).distinct(), "suffix-whole")
-        shared = stage(reduce(DataFrame.unionByName, self.shared).distinct(), "suffix-shared")
+        shared = self._stage(reduce(DataFrame.unionByName, self.shared).distinct(), "suffix-shared")
         entries = reduce(DataFrame.unionByName, [e.join(shared, "gram", "left_semi") for _, e, _ in self.levels])
         entries = entries.groupBy(*ENTRY).agg(F.min("where").alias("where"))
         several = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("m"))
-        return whole, stage(entries.join(several, "gram"), "suffix-partly")
+        partly = stage(entries.join(several, "gram"), "suffix-partly")
+        for t in self.tables:
+            drop_stage(t.sparkSession, t)
+        return whole, partly
 
 
-def _windows(frame: pd.DataFrame, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(frame: pd.DataFrame, length: int, unit: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(entry, offset, hash) of every window of contexts."""
     entry, offset, hashes = [], [], []
     for k, (lo, hi, data) in enumerate(zip(frame["lo"], frame["hi"], frame["bytes"], strict=True)):
-        total = _prefix(np.frombuffer(data, np.uint8))
+        total = _prefix(np.frombuffer(data, unit))
         n = hi - lo + 1
         hashes.append((total[length : length + n] - total[:n]) * _DOWN[:n])
         offset.append(np.arange(hi, lo - 1, -1))
@@ -185,16 +219,25 @@ def _intervals(entry: np.ndarray, offset: np.ndarray, n: int) -> list[list[dict]
 INTERVALS = "array<struct<lo:int,hi:int>>"
 
 
-def _compared(contexts: DataFrame, length: int) -> DataFrame:
-    """Repeated windows among the contexts of each gram; a partition holds whole groups, sorted."""
+def _compared(contexts: DataFrame, length: int, by_word: bool = False) -> DataFrame:
+    """Repeated windows among the contexts of each gram; a partition holds whole groups, sorted.
+
+    With ``by_word``, those whose contexts name different documents (``least``, ``most``).
+    """
 
     def settle(f: pd.DataFrame) -> pd.DataFrame:
-        entry, offset, h = _windows(f, length)
+        entry, offset, h = _windows(f, length, np.uint64 if by_word else np.uint8)
         group = np.cumsum(np.concatenate(([0], f["gram"].to_numpy()[1:] != f["gram"].to_numpy()[:-1]))).astype(np.uint64)[entry]
         order = np.lexsort((h, group))
         g, x = group[order], h[order]
         same = (g[1:] == g[:-1]) & (x[1:] == x[:-1])
-        hit = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        if by_word:
+            first = np.flatnonzero(np.concatenate(([True], ~same)))
+            least = np.minimum.reduceat(f["least"].to_numpy()[entry[order]], first)
+            most = np.maximum.reduceat(f["most"].to_numpy()[entry[order]], first)
+            hit = np.repeat(least != most, np.diff(np.append(first, len(order))))
+        else:
+            hit = np.concatenate((same, [False])) | np.concatenate(([False], same))
         found = order[hit]
         out = f[["gram", "context", "lo", "hi"]].reset_index(drop=True)
         out["repeated"] = _intervals(entry[found], offset[found], len(f))
@@ -231,21 +274,23 @@ def _cuts(gram: np.ndarray, size: int) -> list[tuple[int, int]]:
     return out
 
 
-def _by_window(contexts: DataFrame, length: int) -> DataFrame:
+def _by_window(contexts: DataFrame, length: int, by_word: bool = False) -> DataFrame:
     """As ``_compared`` for grams with many contexts: a row a window, counted by its hash over all tasks."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for k in range(0, len(f), 500):
                 part = f.iloc[k : k + 500].reset_index(drop=True)
-                entry, offset, h = _windows(part, length)
-                out = part[["gram", "context", "lo", "hi"]].iloc[entry].reset_index(drop=True)
+                entry, offset, h = _windows(part, length, np.uint64 if by_word else np.uint8)
+                out = part[["gram", "context", "lo", "hi", *of]].iloc[entry].reset_index(drop=True)
                 out["offset"], out["h"] = offset, h.view(np.int64)
                 yield out
 
-    w = contexts.mapInPandas(run, "gram long, context long, lo int, hi int, offset int, h long")
+    of = ["least", "most"] if by_word else []
+    w = contexts.mapInPandas(run, f"gram long, context long, lo int, hi int, {''.join(f'{c} long, ' for c in of)}offset int, h long")
     w = stage(w, "suffix-windows")
-    twice = w.groupBy("gram", "h").count().where("count > 1").select("gram", "h")
+    several = F.min("least") != F.max("most") if by_word else F.count(F.lit(1)) > 1
+    twice = w.groupBy("gram", "h").agg(several.alias("several")).where("several").select("gram", "h")
     hit = w.join(twice, ["gram", "h"]).groupBy("gram", "context", "lo", "hi").agg(F.sort_array(F.collect_set("offset")).alias("o"))
     run_of = F.transform("o", lambda x, i: F.struct((x - i).alias("k"), x.alias("x")))
     runs = F.transform(F.array_distinct(F.transform(run_of, lambda r: r["k"])), lambda k: (lambda m: F.struct(F.array_min(m).alias("lo"), F.array_max(m).alias("hi")))(F.transform(F.filter(run_of, lambda r: r["k"] == k), lambda r: r["x"])))
@@ -262,38 +307,88 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     matched, partly = family.found()
     whole = matched.select(*ENTRY, F.array(F.struct("lo", "hi")).cast(INTERVALS).alias("repeated"))
     texts = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-    wanted = stage(partly.groupBy(F.struct("where.a", "where.b").alias("key")).agg(F.collect_list(F.struct("where.p", *ENTRY, "m")).alias("cuts")), "suffix-wanted")
+    part = _partial(texts, partly, matched, length, group)
+    spans = _spans(all_suffixes, whole.unionByName(part), length, "suffix-spans")
+    for t in (all_suffixes, matched, partly, part):
+        drop_stage(t.sparkSession, t)
+    return spans
+
+
+def _partial(texts: DataFrame, partly: DataFrame, matched: DataFrame, length: int, group: int, by_word: bool = False) -> DataFrame:
+    """Entries that are no match as a whole, with the windows of them that are repeated."""
+    owners = ["least", "most"] if by_word else []
+    cols = [*ENTRY, "m", *owners]
+    wanted = stage(partly.groupBy(F.struct("where.a", "where.b").alias("key")).agg(F.collect_list(F.struct("where.p", *cols)).alias("cuts")), "suffix-wanted")
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
             for text, cuts in zip(f["text"], f["cuts"], strict=True):
                 data = text.encode()
-                out += [(c["gram"], c["context"], c["lo"], c["hi"], c["m"], data[c["p"] - c["hi"] : c["p"] - c["lo"] + length]) for c in cuts]
+                data = words(data) if by_word else data
+                for c in cuts:
+                    piece = data[c["p"] - c["hi"] : c["p"] - c["lo"] + length]
+                    out.append((*(c[x] for x in cols), piece.tobytes() if by_word else piece))
                 if len(out) > 4000:
-                    yield pd.DataFrame(out, columns=["gram", "context", "lo", "hi", "m", "bytes"])
+                    yield pd.DataFrame(out, columns=[*cols, "bytes"])
                     out = []
             if out:
-                yield pd.DataFrame(out, columns=["gram", "context", "lo", "hi", "m", "bytes"])
+                yield pd.DataFrame(out, columns=[*cols, "bytes"])
 
-    contexts = _of_keys(texts, wanted).select("text", "cuts").mapInPandas(cut, "gram long, context long, lo int, hi int, m long, bytes binary")
+    kinds = f"gram long, context long, lo int, hi int, m long, {''.join(f'{c} long, ' for c in owners)}bytes binary"
+    contexts = _of_keys(texts, wanted).select("text", "cuts").mapInPandas(tidy(cut), kinds)
     most = partly.agg(F.max("m")).first()[0] or 0
     if most > group:
         contexts = stage(contexts, "suffix-contexts")
-        part = _compared(contexts.where(F.col("m") <= group), length).unionByName(_by_window(contexts.where(F.col("m") > group), length))
+        part = _compared(contexts.where(F.col("m") <= group), length, by_word).unionByName(_by_window(contexts.where(F.col("m") > group), length, by_word))
     else:
-        part = _compared(contexts, length)
+        part = _compared(contexts, length, by_word)
     part = stage(part.join(matched, ENTRY, "left_anti"), "suffix-repeated")
-    verdict = whole.unionByName(part)
+    drop_stage(wanted.sparkSession, wanted)
+    if most > group:
+        drop_stage(contexts.sparkSession, contexts)
+    return part
+
+
+def _spans(all_suffixes: DataFrame, verdict: DataFrame, length: int, name: str) -> DataFrame:
+    """(key, spans): where the repeated windows of all suffixes lie."""
     spans = all_suffixes.join(verdict, ENTRY).select(
         F.struct("a", "b").alias("key"), F.explode("repeated").alias("r"), "p"
     )
     return stage(
         spans.groupBy("key").agg(F.collect_set(F.struct((F.col("p") - F.col("r.hi")).alias("s"), (F.col("p") - F.col("r.lo") + length).alias("e"))).alias("spans")),
-        "suffix-spans",
+        name,
     )
 
 
+def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = PASSAGE, group: int = GROUP) -> DataFrame:
+    """(key, n_shared_words): words inside strings of ``length`` words that another document has too.
+
+    Documents are told apart by id and text, so repeated rows are one. Case of
+    A-Z, blanks and punctuation don't count. As with bytes, equal strings sample equal
+    suffixes; a context that several documents have is shared as a whole, and
+    the others of a gram that several documents have are compared window by
+    window.
+    """
+    all_suffixes = stage(suffixes(docs, text_col, id_col, length, 1, True), "passages")
+    entries = stage(all_suffixes.groupBy(*ENTRY).agg(F.min("a").alias("least"), F.max("a").alias("most"), F.min(F.struct("a", "b", "p")).alias("where")), "passage-entries")
+    grams = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.count_if(F.col("least") == F.col("most")).alias("own"), (F.min("least") != F.max("most")).alias("several"))
+    shared = stage(entries.join(grams.where("several"), "gram"), "passages-shared")
+    drop_stage(entries.sparkSession, entries)
+    matched = shared.where("least <> most").select(*ENTRY)
+    texts = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    part = _partial(texts, shared.where("m > 1 and own > 0").drop("own", "several"), matched, length, group, True)
+    whole = matched.select(*ENTRY, F.array(F.struct("lo", "hi")).cast(INTERVALS).alias("repeated"))
+    spans = _spans(all_suffixes, whole.unionByName(part), length, "passage-spans")
+    for t in (all_suffixes, shared, part):
+        drop_stage(t.sparkSession, t)
+    zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
+    covered = F.aggregate(
+        F.sort_array("spans"), zero, lambda x, y: F.struct(F.greatest(x["end"], y["e"]).alias("end"), (x["n"] + F.greatest(F.lit(0), y["e"] - F.greatest(x["end"], y["s"]))).alias("n")), lambda x: x["n"].cast("long")
+    )
+    return spans.select("key", covered.alias("n_shared_words"))
+
+
 def _of_keys(texts: DataFrame, keyed: DataFrame, how: str = "inner") -> DataFrame:
     """Texts joined to a table of keys; texts without a key don't travel where the keys are few."""
     if keyed.count() <= BROADCAST_KEYS:
@@ -315,9 +410,13 @@ def remove_spans(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int,
     return b"".join(kept), removed, runs
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, batches: int = BATCHES, group: int = GROUP) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, batches: int = BATCHES, group: int = GROUP, passage: int | None = None) -> DataFrame:
     """One row per input row: ``id_col``, kept (binary), n_bytes, n_removed, n_spans.
 
+    With ``passage``, n_shared_words follows, the words inside strings of that
+    many words that another document has too (``shared_passages``). It says
+    what documents share beside what is removed, and changes neither.
+
     Texts are UTF-8 bytes, null counts as empty, and no match crosses texts.
     Every byte is removed that a string of ``length`` bytes covers which also
     starts anywhere else in the input, all copies included.
@@ -337,6 +436,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the two named are not read. An empty table gives no rows.
     """
     spans = repeated_spans(docs, id_col, text_col, length, batches, group)
+    extra = [] if passage is None else ["n_shared_words"]
+    if passage is not None:
+        spans = stage(spans.join(shared_passages(docs, id_col, text_col, passage, group), "key", "full_outer"), "suffix-found")
     kind = dict(docs.dtypes)[id_col]
     d = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     few = spans.count() <= BROADCAST_KEYS
@@ -349,10 +451,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 data = text.encode()
                 out.append((i, *remove_spans(data, [(x["s"], x["e"]) for x in found]), len(data)))
             frame = pd.DataFrame(out, columns=["id", "kept", "n_removed", "n_spans", "n_bytes"]).astype({"id": f["id"].dtype})
-            yield frame[["id", "kept", "n_bytes", "n_removed", "n_spans"]]
+            for c in extra:
+                frame[c] = f[c].to_numpy()
+            yield frame[["id", "kept", "n_bytes", "n_removed", "n_spans", *extra]]
 
-    clean = d.join(keys, "key", "left_anti").select("id", F.encode("text", "utf-8").alias("kept"), F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"))
-    hit = d.join(keys, "key", "left_semi").join(spans, "key").select("id", "text", "spans").mapInPandas(run, f"id {kind}, kept binary, n_bytes long, n_removed long, n_spans long")
+    clean = d.join(keys, "key", "left_anti").select("id", F.encode("text", "utf-8").alias("kept"), F.octet_length("text").cast("long").alias("n_bytes"), *(F.lit(0).cast("long").alias(c) for c in ("n_removed", "n_spans", *extra)))
+    found = spans.select("key", F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)).alias("spans"), *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in extra))
+    hit = d.join(keys, "key", "left_semi").join(found, "key").select("id", "text", "spans", *extra).mapInPandas(run, f"id {kind}, kept binary, n_bytes long, n_removed long, n_spans long{''.join(f', {c} long' for c in extra)}")
     return clean.unionByName(hit).withColumnRenamed("id", id_col)
 
 
@@ -374,3 +479,13 @@ def brute_force(texts: list[str | None], length: int = LENGTH) -> list[tuple[int
         runs = int((m & ~np.concatenate(([False], m[:-1]))).sum()) if len(b) else 0
         out.append((len(b), int(m.sum()), runs, hashlib.sha256(np.frombuffer(b, np.uint8)[~m].tobytes()).hexdigest()))
     return out
+
+
+def brute_force_words(docs: list[tuple], length: int = PASSAGE) -> list[int]:
+    """Words of (id, text) that different ones share, for tests."""
+    found = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for _, t in docs]
+    seen: dict[tuple, set[tuple]] = {}
+    for d, w in zip(docs, found, strict=True):
+        for i in range(len(w) - length + 1):
+            seen.setdefault(tuple(w[i : i + length]), set()).add(d)
+    return [len({j for i in range(len(w) - length + 1) if len(seen[tuple(w[i : i + length])]) > 1 for j in range(i, i + length)}) for w in found]

@@ -548,6 +548,41 @@ def test_substrings(spark, odd, empty, group):
     assert not rows(substring_dedup.substring_dedup(empty))
 
 
+def test_short_passages_that_documents_share(spark):
+    import tempfile
+
+    from attestra.llm import queries
+
+    fifty = prose(50, 41)
+    shared = " ".join("abcd"[k % 4] + str(k) for k in range(51))
+    docs = [(1, f"{prose(60, 42)} {shared} {prose(60, 43)}"), (2, f"own {shared.upper().replace(' ', ', ')}.\nand more"), (3, f"{fifty} {prose(70, 44)}"), (4, f"x {fifty} y"), (5, f"{prose(52, 45)} z {prose(52, 45)}"), (6, None), (7, shared[:-1])]
+    d = tempfile.mkdtemp()
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{d}/documents.parquet")
+    got = {r.doc_id: (r.n_removed, r.n_shared_words) for r in queries.QUERIES["op2_suffix_dedup"](spark, d).collect()}
+    # the passage is under 400 bytes; a repeat within one document is not shared, one of 50 words too short
+    assert len(shared) < 400 and got == {k: (0, 51 if k < 3 else 0) for k in range(1, 8)}
+
+
+@pytest.mark.parametrize("group", [1, 20_000])
+def test_shared_words(spark, odd, empty, group):
+    part = prose(150, 31).split()
+    extra = [" ".join(part), prose(40, 32) + " " + " ".join(part[20:90]) + " " + prose(50, 33), prose(60, 34) + " " + " ".join(part[:51]), " ".join(part[-50:]), "que " * 90, "Que, " * 60, "a b " * 60, "b a " * 30 + "é" * 9, "... " * 99]
+    extra += [prose(60, 36) + " z " + prose(60, 36), " ".join(part[40:100]) + " z " + " ".join(part[40:100])]
+    df = odd.select("doc_id", "text").union(spark.createDataFrame([(5000 + k, t) for k, t in enumerate(extra)] + [(None, " ".join(part[90:]))], "doc_id long, text string"))
+    docs = [(r.doc_id, r.text) for r in df.collect()]
+    for length in (51, 20):
+        want = sorted(((d[0], n) for d, n in zip(docs, substring_dedup.brute_force_words(docs, length), strict=True)), key=str)
+        out = substring_dedup.substring_dedup(df, group=group, passage=length)
+        assert sorted(rows(out.select("doc_id", "n_shared_words")), key=str) == want and any(n for _, n in want)
+    assert not rows(substring_dedup.substring_dedup(empty, passage=51))
+
+
+def test_shared_words_on_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    want = dict(zip([r.doc_id for r in docs.collect()], substring_dedup.brute_force_words(rows(docs)), strict=True))
+    assert dict(rows(substring_dedup.substring_dedup(docs, passage=51).select("doc_id", "n_shared_words"))) == want
+
+
 def test_suffix_family_levels(spark):
     docs = spark.createDataFrame([(k, prose(120, 500 + k % 5) + f" own {k}") for k in range(40)], "doc_id long, text string")
     want = sorted((r.doc_id, *x) for r, x in zip(docs.collect(), substring_dedup.brute_force([r.text for r in docs.collect()]), strict=True))
