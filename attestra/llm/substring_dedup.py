@@ -46,7 +46,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 _LETTER = np.array([i >= 0x80 or chr(i).isalnum() for i in range(256)])
-_LOWER = _BYTE[[i + 32 if 65 <= i <= 90 else i for i in range(256)]]
+_LOWER = np.where(_LETTER, _BYTE[[i + 32 if 65 <= i <= 90 else i for i in range(256)]], np.uint64(0))
 
 
 def words(data: bytes) -> np.ndarray:
@@ -54,9 +54,14 @@ def words(data: bytes) -> np.ndarray:
     b = np.frombuffer(data, np.uint8)
     inside = _LETTER[b]
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    size = edges[1::2] - edges[::2]
-    if not len(size):
+    first, last = edges[::2], edges[1::2]
+    if not len(first):
         return np.zeros(0, np.uint64)
+    if len(b) < len(_UP):
+        total = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum(_LOWER[b] * _UP[: len(b)], out=total[1:])
+        return _mix((total[last] - total[first]) * _DOWN[first])
+    size = last - first
     at = np.cumsum(size) - size
     place = np.arange(int(size.sum())) - np.repeat(at, size)
     return _mix(np.add.reduceat(_LOWER[b[inside]] * _UP[place % len(_UP)], at))
@@ -107,19 +112,31 @@ def anchors(data: bytes, length: int = LENGTH, by_word: bool = False) -> tuple[n
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else tuple(np.zeros(0, np.int64) for _ in range(5))
 
 
-SUFFIX = "a long, b long, batch int, p int, gram long, context long, lo int, hi int"
+SUFFIX = "a long, b long, batch int, p int, gram long, context long, lo int, hi int, n int"
 
 
 def suffixes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", length: int = LENGTH, batches: int = BATCHES, by_word: bool = False) -> DataFrame:
-    """Sampled suffixes of all rows; windows of a suffix start ``lo`` to ``hi`` bytes (or words) before it."""
+    """Sampled suffixes of all rows; windows of a suffix start ``lo`` to ``hi`` bytes (or words) before it.
+
+    Neighbours that are equal, as periodic texts have many, are one row with
+    their number ``n``: as windows follow each other, each lies
+    ``hi - lo + 1`` behind the one before.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for k in range(0, len(f), 2000):
-                out: list[list] = [[] for _ in range(8)]
+                out: list[list] = [[] for _ in range(9)]
                 for a, b, batch, t in f.iloc[k : k + 2000].itertuples(index=False):
-                    p, gram, context, s1, s2 = anchors((t or "").encode(), length, by_word)
-                    for col, x in zip(out, (np.full(len(p), a), np.full(len(p), b), np.full(len(p), batch), p, gram, context, p - s2, p - s1), strict=True):
+                    data = (t or "").encode()
+                    if len(data) < length:
+                        continue
+                    p, gram, context, s1, s2 = anchors(data, length, by_word)
+                    lo, hi = p - s2, p - s1
+                    other = (gram[1:] != gram[:-1]) | (context[1:] != context[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+                    at = np.flatnonzero(np.concatenate(([True], other))) if len(p) else np.zeros(0, np.int64)
+                    n = np.diff(np.append(at, len(p)))
+                    for col, x in zip(out, (np.full(len(at), a), np.full(len(at), b), np.full(len(at), batch), p[at], gram[at], context[at], lo[at], hi[at], n), strict=True):
                         col.append(x)
                 if out[0]:
                     yield pd.DataFrame(dict(zip([x.split()[0] for x in SUFFIX.split(", ")], [np.concatenate(x) for x in out], strict=True)))
@@ -158,7 +175,7 @@ class SuffixFamily:
         return self.tables[-1]
 
     def add(self, batch: DataFrame) -> None:
-        run = self._stage(batch.groupBy(*ENTRY).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("a", "b", "p")).alias("where")), "suffix-run")
+        run = self._stage(batch.groupBy(*ENTRY).agg(F.sum("n").alias("n"), F.min(F.struct("a", "b", "p")).alias("where")), "suffix-run")
         grams = self._stage(run.groupBy("gram").agg(F.min("context").alias("least"), F.max("context").alias("most")), "suffix-grams")
         self.whole.append(run.where("n > 1").select(*ENTRY))
         self.shared.append(grams.where("least <> most").select("gram"))
@@ -351,14 +368,17 @@ def _partial(texts: DataFrame, partly: DataFrame, matched: DataFrame, length: in
 
 
 def _spans(all_suffixes: DataFrame, verdict: DataFrame, length: int, name: str) -> DataFrame:
-    """(key, spans): where the repeated windows of all suffixes lie."""
-    spans = all_suffixes.join(verdict, ENTRY).select(
-        F.struct("a", "b").alias("key"), F.explode("repeated").alias("r"), "p"
-    )
-    return stage(
-        spans.groupBy("key").agg(F.collect_set(F.struct((F.col("p") - F.col("r.hi")).alias("s"), (F.col("p") - F.col("r.lo") + length).alias("e"))).alias("spans")),
-        name,
-    )
+    """(key, spans): where the repeated windows of all suffixes lie.
+
+    Equal neighbours that are repeated as a whole give one span, others one each.
+    """
+    step = F.col("hi") - F.col("lo") + 1
+    long = F.struct((F.col("p") - F.col("r.hi")).alias("s"), (F.col("p") + (F.col("n") - 1) * step - F.col("r.lo") + length).alias("e"))
+    each = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.struct((F.col("p") + i * step - F.col("r.hi")).alias("s"), (F.col("p") + i * step - F.col("r.lo") + length).alias("e")))
+    whole = (F.col("n") == 1) | ((F.col("r.lo") == F.col("lo")) & (F.col("r.hi") == F.col("hi")))
+    spans = all_suffixes.join(verdict, ENTRY).select(F.struct("a", "b").alias("key"), F.explode("repeated").alias("r"), "p", "lo", "hi", "n")
+    spans = spans.select("key", F.explode(F.when(whole, F.array(long)).otherwise(each)).alias("span"))
+    return stage(spans.groupBy("key").agg(F.collect_set("span").alias("spans")), name)
 
 
 def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = PASSAGE, group: int = GROUP) -> DataFrame:

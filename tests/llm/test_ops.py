@@ -577,6 +577,21 @@ def test_shared_words(spark, odd, empty, group):
     assert not rows(substring_dedup.substring_dedup(empty, passage=51))
 
 
+def test_words_and_equal_neighbours(spark):
+    text = "One, två; x9 " * 45_000
+    few = substring_dedup.words(text[:26].encode())
+    assert len(text) > len(substring_dedup._UP) and (substring_dedup.words(text.encode()).reshape(-1, 3) == few[:3]).all() and len(few) == 6
+    # a periodic text is a row or two, not one a period, and keeps its results: of 1,000 neighbours partly and wholly repeated
+    docs = [(1, "x " + "ab cde " * 1_000), (2, "ab cde " * 40 + "end"), (3, "z" * 3_000), (4, "cde " + "ab cde " * 26)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    for by_word, length in ((False, 400), (True, 51)):
+        got = rows(substring_dedup.suffixes(d, length=length, by_word=by_word).agg(F.count("p"), F.sum("n")))[0]
+        assert got[0] < 20 and got[1] > 900
+    out = substring_dedup.substring_dedup(d, passage=51).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256), "n_shared_words")
+    want = zip([k for k, _ in docs], substring_dedup.brute_force([t for _, t in docs]), substring_dedup.brute_force_words(docs), strict=True)
+    assert sorted(rows(out)) == [(k, *x, n) for k, x, n in want]
+
+
 def test_shared_words_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     want = dict(zip([r.doc_id for r in docs.collect()], substring_dedup.brute_force_words(rows(docs)), strict=True))
