@@ -80,17 +80,36 @@ def cells(queries: DataFrame, names: DataFrame, cell: int | None = None) -> tupl
     word = F.when(F.col("kind") == "f", F.col("nf")).when(F.col("kind") == "l", F.col("nl")).when(F.col("kind") == "F", F.substring("nf", 1, 3)).otherwise(F.substring("nl", 1, 4))
     q = q.select("nf", "nl", "kind", word.alias("word"))
     c = _keyed(names, "cf", "cl", ["f", "l", "F", "L"])
+    flat = lambda word, tag: [marks(word)[k].alias(f"{tag}_{k}") for k in ("n", "one", "two")]
+    return _dealt(q, c, ["kind", "word"], cell, [*flat(F.col("nf"), "nf"), *flat(F.col("nl"), "nl")], [*flat(F.col("cf"), "cf"), *flat(F.col("cl"), "cl")])
+
+
+def _dealt(q: DataFrame, c: DataFrame, by: list[str], cell: int, more_q: list[Column], more_c: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """Names of both sides that have ``by`` in common, queries with a row i and candidates with a column j of their block's cells, each in all columns or rows of it."""
     part = lambda n: F.ceil(F.col(n) / cell).cast("int")
-    block = q.groupBy("kind", "word").agg(F.count(F.lit(1)).alias("x")).join(c.groupBy("kind", "word").agg(F.count(F.lit(1)).alias("y")), ["kind", "word"]).select("kind", "word", part("x").alias("x"), part("y").alias("y"))
+    block = q.groupBy(*by).agg(F.count(F.lit(1)).alias("x")).join(c.groupBy(*by).agg(F.count(F.lit(1)).alias("y")), by).select(*by, part("x").alias("x"), part("y").alias("y"))
     span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    flat = lambda word, tag: [marks(word)[k].alias(f"{tag}_{k}") for k in ("n", "one", "two")]
-    q = q.join(block, ["kind", "word"]).select("*", *flat(F.col("nf"), "nf"), *flat(F.col("nl"), "nl"))
-    c = c.join(block, ["kind", "word"]).select("*", *flat(F.col("cf"), "cf"), *flat(F.col("cl"), "cl"))
+    q = q.join(block, by).select("*", *more_q)
+    c = c.join(block, by).select("*", *more_c)
     q = q.withColumn("i", F.pmod(F.xxhash64("nf", "nl"), F.col("x")).cast("int")).withColumn("j", span("y")).drop("x", "y")
     c = c.withColumn("j", F.pmod(F.xxhash64("cf", "cl"), F.col("y")).cast("int")).withColumn("i", span("x")).drop("x", "y")
     return q, c
 
 
+def first_names(queries: DataFrame, names: DataFrame, cell: int | None = None) -> DataFrame:
+    """Distinct (nf, cf): first names of queries and candidates that have a last name in common.
+
+    Names meet once each, however many rows have them, and those of a common
+    last name in cells, which are dealt to tasks whatever their size in bytes.
+    """
+    q = barrier(queries.select("nf", "nl").distinct(), "first-q").withColumn("word", F.col("nl"))
+    c = barrier(names.select("cf", "cl").distinct(), "first-c").withColumn("word", F.col("cl"))
+    q, c = _dealt(q, c, ["word"], cell or CELL, [], [])
+    n = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = q.select("nf", "word", "i", "j").repartition(n, "word", "i", "j").join(c.select("cf", "word", "i", "j"), ["word", "i", "j"])
+    return met.select("nf", "cf").distinct()
+
+
 def block_pairs(queries: DataFrame, names: DataFrame) -> DataFrame:
     """Candidate names with an equal first or last name; only where there is none, with an equal beginning of one.
 

@@ -73,8 +73,7 @@ def block_pairs(spark, sf_dir):
 
 @R.add("jaro_winkler_pairs", f"{WITH}, p AS (SELECT DISTINCT nf, cf FROM nm JOIN ix ON nl = cl) SELECT nf, cf, {JW.format('nf', 'cf')} AS similarity FROM p", "similarity")
 def jaro_winkler_pairs(spark, sf_dir):
-    ix = _index(spark, sf_dir).select("cf", "cl")
-    p = _rows(spark, sf_dir).select("nf", "nl").join(ix, F.col("nl") == F.col("cl")).select("nf", "cf").distinct()
+    p = name_search.first_names(_rows(spark, sf_dir), _index(spark, sf_dir))
     return p.withColumn("similarity", similarity(F.col("nf"), F.col("cf"), "floor"))
 
 
