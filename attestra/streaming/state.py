@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import contextlib
+import json
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, StructField, StructType
@@ -18,13 +18,33 @@ ACTIONS = ("status", "tag", "untag")
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
+def newest_commands(commands: DataFrame) -> DataFrame:
+    """A row (key, case) for each key of a table of commands: as JSON, the place ``seen`` of its last command, what last ``put`` its status, and for each of its ``tags`` the last command.
+
+    Of two commands at one place the greater status, and tag before untag, is the last.
+    """
+    setting, on_tag = F.col("action") == "status", (F.col("action") != "status") & (F.col("value") != "")
+    place = [F.col("at").cast("long").alias("at"), F.col("seq").cast("long").alias("seq")]
+    by_tag = commands.groupBy("key", F.when(on_tag, F.col("value")).alias("tag")).agg(
+        F.max(F.struct(*place)).alias("seen"), F.max(F.when(setting, F.struct(*place, F.col("value").alias("status")))).alias("put"), F.max(F.when(on_tag, F.struct(*place, (F.col("action") == "tag").alias("held")))).alias("last")
+    )
+    tags = F.map_from_entries(F.collect_list(F.when(F.col("tag").isNotNull(), F.struct("tag", "last"))))
+    one = by_tag.groupBy("key").agg(F.max("seen").alias("seen"), F.max("put").alias("put"), tags.alias("tags"))
+    return one.select("key", F.to_json(F.struct("seen", "put", "tags")).alias("case"))
+
+
+def _later(new: dict, old: dict | None) -> dict:
+    return new if old is None or (new["at"], new["seq"]) > (old["at"], old["seq"]) else old
+
+
 class ReviewState(StatefulProcessor):
     """The state of a case: its status with the place of the command that set it, and each tag with that of the last command on it.
 
     A command counts if it is later, by (at, seq), than the one that its
     status or tag has from before, so batches may come in any order and twice.
-    A key's tags are keys of a map in the store, read one by one and
-    never as a whole but for the row that is put out. A case without a
+    Input are rows of ``newest_commands``, and the state is such a case: one
+    value of the store, read and written once for each key of a batch, since the
+    row that is put out has all its tags anyway. A case without a
     command for ``idle`` milliseconds of processing time is put out as idle by a timer.
     """
 
@@ -33,36 +53,32 @@ class ReviewState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.status = handle.getValueState("status", "status string, at long, seq long")
-        self.seen = handle.getValueState("seen", "at long, seq long")
-        self.tags = handle.getMapState("tags", "tag string", "held boolean, at long, seq long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for frame in rows:
-            for at, seq, action, value in frame[["at", "seq", "action", "value"]].itertuples(index=False):
-                at, seq = int(at), int(seq)
-                if action == "status":
-                    if not self.status.exists() or (at, seq) > self.status.get()[1:]:
-                        self.status.update((value, at, seq))
-                elif action in ACTIONS and value:
-                    old = self.tags.getValue((value,))
-                    if old is None or (at, seq) > tuple(old[1:]):
-                        self.tags.updateValue((value,), (action == "tag", at, seq))
-                if not self.seen.exists() or (at, seq) > tuple(self.seen.get()):
-                    self.seen.update((at, seq))
+        self.case = handle.getValueState("case", "case string")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        case = self._case()
+        for row in rows:
+            new = json.loads(row.case)
+            tags = new.pop("tags")
+            case |= {part: _later(x, case.get(part)) for part, x in new.items()}
+            case["tags"] |= {tag: _later(x, case["tags"].get(tag)) for tag, x in tags.items()}
+        self.case.update((json.dumps(case),))
         if self.idle is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle)
-        yield self._row(key, False)
+        yield self._row(key, case, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield self._row(key, self._case(), True)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._row(key, True)
+    def _case(self) -> dict:
+        found = self.case.get()
+        return json.loads(found[0]) if found else {"tags": {}}
 
-    def _row(self, key, idle: bool) -> pd.DataFrame:
-        status = self.status.get()[0] if self.status.exists() else "unreviewed"
-        tags = sorted(t[0] for t, v in self.tags.iterator() if v[0])
-        return pd.DataFrame({"key": [key[0]], "reviewer_status": [status], "reviewer_tags": [tags], "at": [self.seen.get()[0]], "idle": [idle]})
+    def _row(self, key, case: dict, idle: bool) -> Row:
+        status = case["put"].get("status") if "put" in case else "unreviewed"
+        return Row(key=key[0], reviewer_status=status, reviewer_tags=sorted(t for t, x in case["tags"].items() if x["held"]), at=case["seen"]["at"], idle=idle)
 
     def close(self) -> None:
         pass
@@ -88,14 +104,21 @@ def drain(stream: DataFrame, base: str, put: Callable[[DataFrame, int], None], m
 def review_states(commands: DataFrame, base: str, idle: int | None = None) -> None:
     """Keeps the states of a stream of commands (key, at, seq, action, value), and writes what changed in a batch to ``base``/out/batch=<n>.
 
-    Commands without a key, place or action known are no commands. The store is partitioned
+    Commands without a key, place or action known are no commands. A first stream writes
+    the last ones of each key in a batch to ``base``/newest, by built-in functions; a second one
+    brings these to the store, so that has a row a key to read, however many commands came. The store is partitioned
     by key and checkpointed in ``base``, so a run that follows goes on where this one ended.
     With ``idle`` timers are kept, and a run is one batch, since clocks never have no more to come.
     """
+    spark = commands.sparkSession
     known = commands.where(F.col("key").isNotNull() & F.col("at").isNotNull() & F.col("seq").isNotNull() & F.col("action").isin(*ACTIONS))
     kind = dict(commands.dtypes)["key"]
-    held = known.groupBy("key").transformWithStateInPandas(ReviewState(idle), f"key {kind}, reviewer_status string, reviewer_tags array<string>, at long, idle boolean", "Update", "None" if idle is None else "ProcessingTime")
-    with _stored(commands.sparkSession):
+    drain(known, f"{base}/commands", lambda batch, k: newest_commands(batch).write.mode("overwrite").parquet(f"{base}/newest/batch={k}"))
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/newest")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+    newest = spark.readStream.schema(f"key {kind}, case string").option("recursiveFileLookup", True).parquet(f"{base}/newest")
+    held = newest.groupBy("key").transformWithState(ReviewState(idle), f"key {kind}, reviewer_status string, reviewer_tags array<string>, at long, idle boolean", "Update", "None" if idle is None else "ProcessingTime")
+    with _stored(spark):
         drain(held, base, lambda batch, k: batch.write.mode("overwrite").parquet(f"{base}/out/batch={k}"), "update", idle is not None)
 
 

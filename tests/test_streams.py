@@ -1,6 +1,9 @@
 """State that outlives runs, late files, batches that come twice, timers."""
 
+import random
+
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from attestra.operators import evidence as ev
@@ -40,6 +43,54 @@ def test_reviews_go_on_from_the_checkpoint(spark, feed):
     assert [(r["key"], r["reviewer_tags"]) for r in last] == [("a", ["x", "y"])]
 
 
+def _replayed(rows):
+    """States by a plain loop over all commands in their order."""
+    out = {}
+    for key, _, _, action, value in sorted((r for r in rows if None not in r[:4]), key=lambda r: r[1:3]):
+        case = out.setdefault(key, ["unreviewed", set()])
+        if action == "status":
+            case[0] = value
+        elif action in ("tag", "untag") and value:
+            (case[1].add if action == "tag" else case[1].discard)(value)
+    return {k: (s, sorted(t)) for k, (s, t) in out.items()}
+
+
+def test_many_commands_are_a_row_a_key_for_the_store(spark, feed):
+    base, put = feed
+    rand = random.Random(8)
+    rows = [
+        (rand.choice(["hot", "hot", "hot", "b", "c", "é\"", None]), rand.randrange(50), k, rand.choice(["status", "tag", "tag", "untag", "other"]), rand.choice(["x", "y", 'z"\\', "ü", "", None]))
+        for k in range(3000)
+    ]
+    rand.shuffle(rows)
+    for some in (rows[:1400], rows[1200:]):
+        state.review_states(put(some, COMMANDS), base)
+    assert {r["key"]: (r["reviewer_status"], r["reviewer_tags"]) for r in state.newest_states(spark, base, OUT).collect()} == _replayed(rows)
+    given = spark.read.schema("key string, case string, batch int").parquet(f"{base}/newest").groupBy("batch", "key").count().collect()
+    assert {r["batch"] for r in given} == {0, 1} and {r["count"] for r in given} == {1}
+
+
+def test_a_case_is_read_and_written_once(spark):
+    cases = [r["case"] for rows in ([(1, 1, "tag", "x"), (2, 2, "status", "open")], [(3, 3, "untag", "x"), (1, 4, "status", "older"), (1, 5, "tag", "y")]) for r in state.newest_commands(spark.createDataFrame([("a", *r) for r in rows], COMMANDS)).collect()]
+
+    class Store:
+        calls, kept = 0, None
+
+        def get(self):
+            self.calls += 1
+            return self.kept
+
+        def update(self, value):
+            self.calls, self.kept = self.calls + 1, value
+
+    # the rows of two runs of a first stream, in either order and twice
+    for some in (cases, cases[::-1], cases * 2):
+        review = state.ReviewState()
+        review.case = Store()
+        (out,) = review.handleInputRows(("a",), iter([Row(case=c) for c in some]), None)
+        assert (out.reviewer_status, out.reviewer_tags, out.at, review.case.calls) == ("open", ["y"], 3, 2)
+
+
 def test_idle_reviews(spark, feed):
     import time
 
